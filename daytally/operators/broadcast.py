@@ -1,0 +1,29 @@
+"""Broadcast only behind a measured size.
+
+Catalyst's own broadcast choice relies on estimated sizes, which are unknown after a
+filter on a file scan.  Here the candidate side is counted first (a cheap job over a
+dimension or an already filtered frame) and hinted for broadcast only under a row bound;
+above it the frame is returned unhinted and the join shuffles on its key, where adaptive
+execution splits skewed partitions.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+@dataclass(frozen=True)
+class Sized:
+    frame: DataFrame
+    rows: int
+    broadcast: bool
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> Sized:
+    rows = df.count()
+    if rows <= max_rows:
+        return Sized(F.broadcast(df), rows, True)
+    return Sized(df, rows, False)
