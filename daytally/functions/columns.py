@@ -1,20 +1,27 @@
-"""Small column helpers shared by the report builders."""
+"""Small column helpers shared by the report builders.
+
+They return SQL expression text: a wide projection is then parsed once by Spark instead of
+being assembled from many column objects one call at a time.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+def q(name: str) -> str:
+    """Quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def zero(col: str) -> str:
+    return f"coalesce({q(col)}, CAST(0 AS BIGINT))"
 
 
-def row_sum(columns: list[str]) -> Column:
+def row_sum(columns: list[str]) -> str:
     """Row-wise sum where a missing cell counts as 0 (the report's fill rule)."""
     if not columns:
-        return F.lit(0).cast("bigint")
-    return reduce(add, [F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in columns])
+        return "CAST(0 AS BIGINT)"
+    return "CAST(" + " + ".join(zero(c) for c in columns) + " AS BIGINT)"
 
 
-def zero_filled(columns: list[str]) -> list[Column]:
-    return [F.coalesce(F.col(c), F.lit(0).cast("bigint")).cast("bigint").alias(c) for c in columns]
+def zero_filled(columns: list[str]) -> list[str]:
+    return [f"CAST({zero(c)} AS BIGINT) AS {q(c)}" for c in columns]

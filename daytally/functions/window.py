@@ -59,9 +59,15 @@ class ReportWindow:
         return _ntz(self.start), _ntz(self.end)
 
     def contains(self, column: Column | str) -> Column:
-        col = F.col(column) if isinstance(column, str) else column
+        if isinstance(column, str):
+            return F.expr(self.contains_sql(column))
         lo, hi = self.bounds()
-        return col.between(lo, hi)
+        return column.between(lo, hi)
+
+    def contains_sql(self, column: str) -> str:
+        fmt = "%Y-%m-%d %H:%M:%S.%f"
+        return (f"{column} BETWEEN TIMESTAMP_NTZ '{self.start.strftime(fmt)}' "
+                f"AND TIMESTAMP_NTZ '{self.end.strftime(fmt)}'")
 
     def labels(self) -> tuple[str, str]:
         return self.start.strftime(LABEL_PATTERN_PY), self.end.strftime(LABEL_PATTERN_PY)

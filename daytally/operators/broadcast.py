@@ -1,15 +1,16 @@
 """Broadcast only behind a measured size.
 
 Catalyst's own broadcast choice relies on estimated sizes, which are unknown after a
-filter on a file scan.  Here the candidate side is counted first (a cheap job over a
-dimension or an already filtered frame) and hinted for broadcast only under a row bound;
-above it the frame is returned unhinted and the join shuffles on its key, where adaptive
-execution splits skewed partitions.
+filter on a file scan.  Here every candidate side is counted first – all candidates of a
+plan in one job – and hinted for broadcast only under a row bound; above it the frame is
+returned unhinted and the join shuffles on its key, where adaptive execution splits
+skewed partitions.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +23,20 @@ class Sized:
     broadcast: bool
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> Sized:
-    rows = df.count()
+def probe_rows(frames: dict[str, DataFrame]) -> dict[str, int]:
+    """Row counts of several frames, computed by a single job."""
+    if not frames:
+        return {}
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("probe"), "n")
+             for name, df in frames.items()]
+    return {r["probe"]: int(r["n"]) for r in reduce(DataFrame.unionByName, parts).collect()}
+
+
+def hinted(df: DataFrame, rows: int, max_rows: int) -> Sized:
     if rows <= max_rows:
         return Sized(F.broadcast(df), rows, True)
     return Sized(df, rows, False)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> Sized:
+    return hinted(df, probe_rows({"df": df})["df"], max_rows)

@@ -21,22 +21,19 @@ before any join, so a parent with a huge fan-out is one row after the map side.
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from ..sources.catalog import Catalog
-from .broadcast import Sized, bounded_broadcast
+from .broadcast import Sized, hinted, probe_rows
 from .specs import DISTINCT, PAIRS, Metric, ReportSpec, Source
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 
 
-def _is_integral(df: DataFrame, expr: str) -> bool:
-    return isinstance(df.select(F.expr(expr)).schema[0].dataType, _INTEGRAL)
-
-
 def _and(*conds: Column | None) -> Column:
     out = None
     for c in conds:
@@ -45,33 +42,39 @@ def _and(*conds: Column | None) -> Column:
     return out if out is not None else F.lit(True)
 
 
-def _tagged(src_df: DataFrame, metrics: list[tuple[int, Metric]], link: Column,
-            key_cols: tuple[bool, bool]) -> DataFrame:
-    """Rows (link, m, [k_num], [k_str]) – one per (source row, matching metric)."""
+def _struct(fields: list[tuple[str, str]]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {expr}" for name, expr in fields) + ")"
+
+
+def _tagged(src_df: DataFrame, metrics: list[tuple[int, Metric]], link: str,
+            key_cols: tuple[bool, bool], integral: dict[str, bool]) -> DataFrame:
+    """Rows (link, m, [k_num], [k_str]) – one per (source row, matching metric).
+
+    The projection is written as one SQL expression per output so the plan is built with a
+    handful of calls, however many metrics share the source.
+    """
     want_num, want_str = key_cols
     entries = []
     for mid, m in metrics:
-        value = F.expr(m.value)
-        integral = _is_integral(src_df, m.value)
-        fields = [F.lit(mid).alias("m")]
+        v = f"({m.value})"
+        is_int = integral[m.value]
+        fields = [("m", str(mid))]
         if want_num:
-            fields.append((value.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("k_num"))
+            fields.append(("k_num", f"CAST({v} AS BIGINT)" if is_int else "CAST(NULL AS BIGINT)"))
         if want_str:
-            fields.append((F.lit(None).cast("string") if integral else value.cast("string")).alias("k_str"))
-        cond = _and(F.expr(m.where) if m.where else None, value.isNotNull())
+            fields.append(("k_str", "CAST(NULL AS STRING)" if is_int else f"CAST({v} AS STRING)"))
+        cond = " AND ".join(([f"({m.where})"] if m.where else []) + [f"{v} IS NOT NULL"])
         entries.append((cond, fields))
 
     if len(entries) == 1:
         cond, fields = entries[0]
-        return src_df.where(cond).select(link.alias("link"), *fields)
+        return src_df.where(cond).selectExpr(f"{link} AS link", *[f"{e} AS {n}" for n, e in fields])
 
     # Push the disjunction of the metric predicates to the scan when every metric has one.
     if all(m.where for _, m in metrics):
-        src_df = src_df.where(F.expr(" OR ".join(f"({m.where})" for _, m in metrics)))
-    tags = F.array(*[F.when(cond, F.struct(*fields)) for cond, fields in entries])
-    exploded = src_df.select(link.alias("link"), F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("t"))
-    names = ["m"] + (["k_num"] if want_num else []) + (["k_str"] if want_str else [])
-    return exploded.select("link", *[F.col(f"t.{n}").alias(n) for n in names])
+        src_df = src_df.where(" OR ".join(f"({m.where})" for _, m in metrics))
+    structs = ", ".join(f"CASE WHEN {cond} THEN {_struct(fields)} END" for cond, fields in entries)
+    return src_df.selectExpr(f"{link} AS link", f"inline(filter(array({structs}), t -> t IS NOT NULL))")
 
 
 class Measure:
@@ -81,119 +84,133 @@ class Measure:
         self.catalog = catalog
         self.spec = spec
         self._account_map = account_map
-        self._sized_map: Sized | None = None
+        self._sizes: dict[str, int] = {}
+        self._integral: dict[tuple[str, str], bool] = {}
+
+    # -- sizes and types (driver side, no data scanned except by the probe job) -------
+
+    def _probe(self, candidates: dict[str, DataFrame]) -> None:
+        missing = {k: v for k, v in candidates.items() if k not in self._sizes}
+        self._sizes.update(probe_rows(missing))
+
+    def _sized(self, name: str, frame: DataFrame) -> Sized:
+        return hinted(frame, self._sizes[name], self.spec.max_broadcast_rows)
 
-    def sized_account_map(self) -> Sized:
-        if self._sized_map is None:
-            self._sized_map = bounded_broadcast(self._account_map, self.spec.max_broadcast_rows)
-        return self._sized_map
+    def account_map(self) -> Sized:
+        self._probe({"account_map": self._account_map})
+        return self._sized("account_map", self._account_map)
 
-    # -- sources ---------------------------------------------------------------------
+    def _types(self, source: Source, values: list[str]) -> dict[str, bool]:
+        todo = [v for v in dict.fromkeys(values) if (source.name, v) not in self._integral]
+        if todo:
+            schema = self.catalog.table(source.table).select(*[F.expr(v) for v in todo]).schema
+            for v, field in zip(todo, schema.fields):
+                self._integral[(source.name, v)] = isinstance(field.dataType, _INTEGRAL)
+        return {v: self._integral[(source.name, v)] for v in values}
 
     def _scan(self, source: Source) -> DataFrame:
         window = self.spec.window_of(source)
         return self.catalog.table(source.table).where(window.contains(source.time))
 
-    def _key_cols(self, metrics: list[Metric]) -> tuple[bool, bool]:
-        num = string = False
-        for m in metrics:
-            src = self.spec.source_by_name[m.source]
-            if _is_integral(self.catalog.table(src.table), m.value):
-                num = True
-            else:
-                string = True
-        return num, string
-
-    def _distinct_rows(self, metrics: list[tuple[int, Metric]]) -> DataFrame | None:
-        """(entity_id, m, keys) for every DISTINCT metric, before deduplication."""
-        if not metrics:
-            return None
-        key_cols = self._key_cols([m for _, m in metrics])
-        by_source: dict[str, list[tuple[int, Metric]]] = defaultdict(list)
-        for mid, m in metrics:
-            by_source[m.source].append((mid, m))
+    # -- plan pieces -------------------------------------------------------------------
 
-        amap = self.sized_account_map().frame
-        direct, via_header = [], []
-        for name, group in by_source.items():
-            source = self.spec.source_by_name[name]
-            scan = self._scan(source)
-            if source.header is None:
-                direct.append(_tagged(scan, group, F.expr(source.account), key_cols))
-            else:
-                via_header.append(self._through_header(source, _tagged(scan, group, F.expr(source.header.link),
-                                                                        key_cols)))
-        parts = []
-        if direct:
-            rows = direct[0]
-            for other in direct[1:]:
-                rows = rows.unionByName(other)
-            joined = rows.join(amap, rows.link == amap.account_id)
-            parts.append(joined.drop("link", "account_id"))
-        parts.extend(via_header)
-        out = parts[0]
-        for other in parts[1:]:
-            out = out.unionByName(other)
-        return out
-
-    def _through_header(self, source: Source, leaf: DataFrame) -> DataFrame:
+    def _parent(self, metric: Metric) -> DataFrame:
+        source = self.spec.source_by_name[metric.source]
+        return (self._scan(source)
+                .where(_and(F.expr(metric.where) if metric.where else None,
+                            F.expr(metric.value).isNotNull(), F.expr(source.account).isNotNull()))
+                .select(F.expr(source.account).alias("p_account"), F.expr(metric.value).alias("p_id")))
+
+    def _through_header(self, source: Source, leaf: Sized, amap: DataFrame) -> DataFrame:
         """Leaf rows keyed by header id → entity rows.
 
         The header table is not windowed and is as large as a fact table, so it must not be
         shuffled when avoidable: when the windowed leaf fits the broadcast bound, it is
-        broadcast and the header (already mapped to entities through the account map) is
-        streamed past it.
+        broadcast and the header (mapped to entities through the account map on the map
+        side) streams past it.
         """
         h = source.header
-        amap = self.sized_account_map().frame
         header = (self.catalog.table(h.table)
                   .select(F.expr(h.id).alias("h_id"), F.expr(h.account).alias("h_account")))
         header = header.join(amap, header.h_account == amap.account_id).select("h_id", "entity_id")
-        sized_leaf = bounded_broadcast(leaf, self.spec.max_broadcast_rows)
-        joined = header.join(sized_leaf.frame, header.h_id == sized_leaf.frame.link)
+        joined = header.join(leaf.frame, header.h_id == leaf.frame.link)
         return joined.drop("h_id", "link")
 
-    def _pair_rows(self, mid: int, metric: Metric) -> DataFrame:
+    def _pair_rows(self, mid: int, metric: Metric, parent: Sized, amap: DataFrame) -> DataFrame:
         """(entity_id, m, v): v = number of parent ⟕ child rows with both ids present."""
-        source = self.spec.source_by_name[metric.source]
         child = metric.child
-        parent = (self._scan(source)
-                  .where(_and(F.expr(metric.where) if metric.where else None,
-                              F.expr(metric.value).isNotNull(), F.expr(source.account).isNotNull()))
-                  .select(F.expr(source.account).alias("p_account"), F.expr(metric.value).alias("p_id")))
         kids = (self.catalog.table(child.table)
                 .where(F.expr(child.id).isNotNull())
                 .select(F.expr(child.link).alias("c_link")))
-        # Semi-reduce the (unwindowed) child by the window's parent keys when those fit a
-        # broadcast; then count children per key with a map-side partial aggregate.
-        keys = bounded_broadcast(parent.select(F.col("p_id").alias("k_id")).distinct(),
-                                 self.spec.max_broadcast_rows)
-        if keys.broadcast:
-            kids = kids.join(keys.frame, kids.c_link == keys.frame.k_id, "left_semi")
+        # The child is not windowed.  When the window's parents fit a broadcast (their row
+        # count bounds their distinct keys), semi-reduce the child scan by those keys first;
+        # then count children per key with a map-side partial aggregate.
+        if parent.broadcast:
+            keys = F.broadcast(parent.frame.select(F.col("p_id").alias("k_id")).distinct())
+            kids = kids.join(keys, kids.c_link == keys.k_id, "left_semi")
         fanout = kids.groupBy("c_link").agg(F.count(F.lit(1)).alias("n"))
-        per_account = parent.join(fanout, parent.p_id == fanout.c_link).select("p_account", "n")
-        amap = self.sized_account_map().frame
+        pframe = parent.frame
+        per_account = pframe.join(fanout, pframe.p_id == fanout.c_link).select("p_account", "n")
         joined = per_account.join(amap, per_account.p_account == amap.account_id)
         return joined.select("entity_id", F.lit(mid).alias("m"), F.col("n").alias("v"))
 
     # -- the wide frame ----------------------------------------------------------------
 
-    def wide(self, metrics: list[Metric]) -> DataFrame | None:
-        """entity_id + one nullable bigint column per measured metric; None if nothing to measure."""
+    def wide(self, metrics: list[Metric], base: DataFrame) -> DataFrame:
+        """One row per entity of ``base`` (entity_id, entity_name): entity_id, entity_name and
+        one nullable bigint column per measured metric.
+
+        The base rows enter the final aggregate as zero-valued rows instead of being joined
+        afterwards, so entities without activity are kept without another join.
+        """
         numbered = [(i, m) for i, m in enumerate(metrics) if m.measure in (DISTINCT, PAIRS)]
         if not numbered:
-            return None
+            return base
         distinct = [(i, m) for i, m in numbered if m.measure == DISTINCT]
         pairs = [(i, m) for i, m in numbered if m.measure == PAIRS]
 
+        by_source: dict[str, list[tuple[int, Metric]]] = defaultdict(list)
+        for mid, m in distinct:
+            by_source[m.source].append((mid, m))
+        integral: dict[str, dict[str, bool]] = {
+            name: self._types(self.spec.source_by_name[name], [m.value for _, m in group])
+            for name, group in by_source.items()}
+        flags = [v for types in integral.values() for v in types.values()]
+        key_cols = (any(flags), not all(flags))
+
+        direct, leaves = [], {}
+        for name, group in by_source.items():
+            source = self.spec.source_by_name[name]
+            link = source.account if source.header is None else source.header.link
+            rows = _tagged(self._scan(source), group, link, key_cols, integral[name])
+            if source.header is None:
+                direct.append(rows)
+            else:
+                leaves[name] = rows
+        parents = {m.key: self._parent(m) for _, m in pairs}
+
+        candidates = {"account_map": self._account_map}
+        candidates.update({f"leaf:{n}": f for n, f in leaves.items()})
+        candidates.update({f"parent:{k}": f for k, f in parents.items()})
+        self._probe(candidates)
+        amap = self._sized("account_map", self._account_map).frame
+
         parts = []
-        rows = self._distinct_rows(distinct)
-        if rows is not None:
+        if direct or leaves:
+            entity_rows = []
+            if direct:
+                rows = reduce(DataFrame.unionByName, direct)
+                entity_rows.append(rows.join(amap, rows.link == amap.account_id).drop("link", "account_id"))
+            for name, leaf in leaves.items():
+                sized = self._sized(f"leaf:{name}", leaf)
+                entity_rows.append(self._through_header(self.spec.source_by_name[name], sized, amap))
+            rows = reduce(DataFrame.unionByName, entity_rows)
             parts.append(rows.dropDuplicates().select("entity_id", "m", F.lit(1).cast("bigint").alias("v")))
         for i, m in pairs:
-            parts.append(self._pair_rows(i, m))
-        long = parts[0]
-        for other in parts[1:]:
-            long = long.unionByName(other)
+            parts.append(self._pair_rows(i, m, self._sized(f"parent:{m.key}", parents[m.key]), amap))
+        long = reduce(DataFrame.unionByName, parts).selectExpr("entity_id", "CAST(NULL AS STRING) AS entity_name",
+                                                               "m", "v")
+        long = long.unionByName(base.selectExpr("entity_id", "entity_name", "-1 AS m", "CAST(0 AS BIGINT) AS v"))
         return long.groupBy("entity_id").agg(
-            *[F.sum(F.when(F.col("m") == i, F.col("v"))).alias(m.column) for i, m in numbered])
+            F.expr("max(entity_name) AS entity_name"),
+            *[F.expr(f"sum(CASE WHEN m = {i} THEN v END) AS `{m.column}`") for i, m in numbered])

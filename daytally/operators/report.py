@@ -8,10 +8,10 @@ aggregation move only that many rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import row_sum, zero_filled
+from ..functions.columns import q, row_sum, zero, zero_filled
 from ..functions.window import label
 from ..sources.catalog import Catalog
 from .measure import Measure
@@ -50,16 +50,10 @@ class DailyReport:
     def wide(self, metrics: list[Metric] | None = None) -> DataFrame:
         """entity_id, entity_name and one zero-filled bigint column per metric."""
         metrics = list(self.spec.metrics if metrics is None else metrics)
-        base = self.entities()
-        measured = self.measure().wide(metrics)
-        out = base if measured is None else base.join(measured, "entity_id", "left")
-        cols = []
-        for m in metrics:
-            if m.measure == CONSTANT:
-                cols.append(F.lit(m.constant).cast("bigint").alias(m.column))
-            else:
-                cols.append(F.coalesce(F.col(m.column), F.lit(0).cast("bigint")).alias(m.column))
-        return out.select("entity_id", "entity_name", *cols)
+        out = self.measure().wide(metrics, self.entities())
+        cols = [f"CAST({m.constant} AS BIGINT) AS {q(m.column)}" if m.measure == CONSTANT
+                else f"{zero(m.column)} AS {q(m.column)}" for m in metrics]
+        return out.selectExpr("entity_id", "entity_name", *cols)
 
     def _named(self, df: DataFrame, fill_name: bool) -> DataFrame:
         name = F.col("entity_name")
@@ -91,36 +85,48 @@ class DailyReport:
     def detail(self, wide: DataFrame | None = None) -> DataFrame:
         wide = self.wide() if wide is None else wide
         cols = [m.column for m in self.spec.metrics]
-        sno = F.row_number().over(Window.orderBy(F.col("entity_id"))).cast("bigint")
-        df = wide.select(sno.alias("s_no"), "entity_id", "entity_name", *zero_filled(cols),
-                         row_sum(cols).alias(self.spec.usage_col))
+        df = wide.selectExpr("CAST(row_number() OVER (ORDER BY entity_id) AS BIGINT) AS s_no", "entity_id",
+                             "entity_name", *zero_filled(cols), f"{row_sum(cols)} AS {q(self.spec.usage_col)}")
         df = self._named(df, fill_name=True)
         return df.select("s_no", self.spec.id_col, self.spec.name_col, *cols, self.spec.usage_col)
 
     def _module_totals(self, wide: DataFrame) -> DataFrame:
-        totals = [row_sum([m.column for m in self.spec.module_metrics(mod)]).alias(mod) for mod in self.spec.modules]
-        df = wide.select("entity_id", "entity_name", *totals)
-        return df.withColumn("total", row_sum(list(self.spec.modules)))
+        totals = [f"{row_sum([m.column for m in self.spec.module_metrics(mod)])} AS {q(mod)}"
+                  for mod in self.spec.modules]
+        df = wide.selectExpr("entity_id", "entity_name", *totals)
+        return df.selectExpr("*", f"{row_sum(list(self.spec.modules))} AS total")
 
     def summary_ranked(self, wide: DataFrame | None = None) -> DataFrame:
         wide = self.wide() if wide is None else wide
         df = self._module_totals(wide)
-        order = Window.orderBy(F.col("total").desc(), F.col("entity_id").asc())
-        df = df.select(F.row_number().over(order).cast("bigint").alias("s_no"), *df.columns)
-        df = self._named(df.select("entity_id", "entity_name", "s_no", *self.spec.modules, "total"), fill_name=True)
+        df = df.selectExpr("entity_id", "entity_name",
+                           "CAST(row_number() OVER (ORDER BY total DESC, entity_id ASC) AS BIGINT) AS s_no",
+                           *[q(m) for m in self.spec.modules], "total")
+        df = self._named(df, fill_name=True)
         return df.select("s_no", self.spec.id_col, self.spec.name_col, *self.spec.modules, "total")
 
     def summary(self, wide: DataFrame | None = None) -> DataFrame:
+        """Ranked rows plus the grand-total row, in one pass.
+
+        ``GROUPING SETS ((row), ())`` over the ranked rows: each row is its own group and the
+        empty set is the total, so the measurement below is evaluated once (a union of the
+        body and a separate total aggregate would evaluate it twice).
+        """
         ranked = self.summary_ranked(wide)
         value_cols = list(self.spec.modules) + ["total"]
-        body = ranked.select(
-            F.col("s_no").cast("string").alias("s_no"),
-            F.col(self.spec.id_col).cast("string").alias(self.spec.id_col),
-            self.spec.name_col, *value_cols, F.lit(0).alias("_is_total"))
-        total = ranked.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in value_cols]).select(
-            F.lit(TOTAL_SNO).alias("s_no"), F.lit(TOTAL_ID).alias(self.spec.id_col),
-            F.lit(TOTAL_NAME).alias(self.spec.name_col), *value_cols, F.lit(1).alias("_is_total"))
-        return body.unionByName(total).drop("_is_total")
+        keys = ["s_no", self.spec.id_col, self.spec.name_col]
+        grouped = ranked.groupingSets([keys, []], *keys).agg(
+            *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in value_cols],
+            F.grouping_id().alias("_gid"))
+        is_total = F.col("_gid") > 0
+        out = grouped.select(
+            F.when(is_total, F.lit(TOTAL_SNO)).otherwise(F.col("s_no").cast("string")).alias("s_no"),
+            F.when(is_total, F.lit(TOTAL_ID)).otherwise(F.col(self.spec.id_col).cast("string"))
+            .alias(self.spec.id_col),
+            F.when(is_total, F.lit(TOTAL_NAME)).otherwise(F.col(self.spec.name_col)).alias(self.spec.name_col),
+            *value_cols, is_total.alias("_is_total"), F.col("s_no").alias("_rank"))
+        # At most one row per entity plus the total: order inside one partition, no range shuffle.
+        return out.coalesce(1).sortWithinPartitions("_is_total", "_rank").drop("_is_total", "_rank")
 
     def window_audit(self) -> DataFrame:
         """Per source: the closed window, its labels and the number of source rows inside it."""

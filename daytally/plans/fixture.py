@@ -32,6 +32,20 @@ DUMMY = "CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END"
 ORDER_FLAG = "CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'P' THEN 1 END"
 CURRENT_REGION = 1
 
+# Declared schemas of the tables the report reads: no footer inference at load time, and a
+# drifting file schema fails loudly instead of silently changing types.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 SPINE = SpineSpec(
     entity_table="nation", entity_id="n_nationkey", entity_name="n_name",
     bridge_table="customer", bridge_entity="c_nationkey", bridge_keys=("c_nationkey", "c_mktsegment"),

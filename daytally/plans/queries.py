@@ -15,7 +15,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def fixture_report(spark: SparkSession, sf_dir: str) -> DailyReport:
-    return DailyReport(Catalog.parquet_dir(spark, sf_dir), fixture.report_spec())
+    return DailyReport(fixture_catalog(spark, sf_dir), fixture.report_spec())
+
+
+def fixture_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+    return Catalog.parquet_dir(spark, sf_dir, schemas=fixture.SCHEMAS)
 
 
 def _metric(key: str) -> Query:
@@ -38,5 +42,5 @@ def queries() -> dict[str, Query]:
     out["report_detail"] = lambda spark, d: fixture_report(spark, d).detail()
     out["report_summary_ranked"] = lambda spark, d: fixture_report(spark, d).summary_ranked()
     out["report_summary"] = lambda spark, d: fixture_report(spark, d).summary()
-    out["entities_current_year"] = lambda spark, d: fixture.entities_current_year(Catalog.parquet_dir(spark, d))
+    out["entities_current_year"] = lambda spark, d: fixture.entities_current_year(fixture_catalog(spark, d))
     return out

@@ -24,9 +24,10 @@ class Catalog:
     root: str | None = None
     paths: Mapping[str, str] = field(default_factory=dict)
     frames: Mapping[str, DataFrame] = field(default_factory=dict)
-    schemas: Mapping[str, StructType] = field(default_factory=dict)
+    schemas: Mapping[str, StructType | str] = field(default_factory=dict)  # StructType or DDL text
     jdbc: JdbcConfig | None = None
     fmt: str = "parquet"
+    _loaded: dict[str, DataFrame] = field(default_factory=dict, init=False, repr=False)
 
     @classmethod
     def parquet_dir(cls, spark: SparkSession, root: str, **kw) -> "Catalog":
@@ -47,14 +48,18 @@ class Catalog:
         return f"{self.root}/{name}.{self.fmt}"
 
     def table(self, name: str) -> DataFrame:
+        """The table as a lazy DataFrame; resolved once per catalog (file listing, footer schema)."""
         if name in self.frames:
             return self.frames[name]
-        if self.jdbc is not None and name not in self.paths and self.root is None:
-            return read_jdbc(self.spark, self.jdbc, name)
-        reader = self.spark.read.format(self.fmt)
-        if name in self.schemas:
-            reader = reader.schema(self.schemas[name])
-        return reader.load(self.path(name))
+        if name not in self._loaded:
+            if self.jdbc is not None and name not in self.paths and self.root is None:
+                self._loaded[name] = read_jdbc(self.spark, self.jdbc, name)
+            else:
+                reader = self.spark.read.format(self.fmt)
+                if name in self.schemas:
+                    reader = reader.schema(self.schemas[name])
+                self._loaded[name] = reader.load(self.path(name))
+        return self._loaded[name]
 
     def register_views(self, names: list[str]) -> None:
         for name in names:
