@@ -110,21 +110,28 @@ class DailyReport:
 
         ``GROUPING SETS ((row), ())`` over the ranked rows: each row is its own group and the
         empty set is the total, so the measurement below is evaluated once (a union of the
-        body and a separate total aggregate would evaluate it twice).
+        body and a separate total aggregate would evaluate it twice).  A one-row zero seed
+        keeps the total row when there are no entities (Spark emits no ``()`` group for an
+        empty input); the seed's own group is dropped.
         """
         ranked = self.summary_ranked(wide)
         value_cols = list(self.spec.modules) + ["total"]
         keys = ["s_no", self.spec.id_col, self.spec.name_col]
-        grouped = ranked.groupingSets([keys, []], *keys).agg(
-            *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in value_cols],
-            F.grouping_id().alias("_gid"))
-        is_total = F.col("_gid") > 0
-        out = grouped.select(
-            F.when(is_total, F.lit(TOTAL_SNO)).otherwise(F.col("s_no").cast("string")).alias("s_no"),
-            F.when(is_total, F.lit(TOTAL_ID)).otherwise(F.col(self.spec.id_col).cast("string"))
-            .alias(self.spec.id_col),
-            F.when(is_total, F.lit(TOTAL_NAME)).otherwise(F.col(self.spec.name_col)).alias(self.spec.name_col),
-            *value_cols, is_total.alias("_is_total"), F.col("s_no").alias("_rank"))
+        id_type = ranked.schema[self.spec.id_col].dataType.simpleString()
+        seed = ranked.sparkSession.range(1).selectExpr(
+            "CAST(NULL AS BIGINT) AS s_no", f"CAST(NULL AS {id_type}) AS {q(self.spec.id_col)}",
+            f"CAST(NULL AS STRING) AS {q(self.spec.name_col)}", *[f"CAST(0 AS BIGINT) AS {q(c)}" for c in value_cols],
+            "true AS _seed")
+        rows = ranked.selectExpr("*", "false AS _seed").unionByName(seed)
+        grouped = rows.groupingSets([keys + ["_seed"], []], *keys, "_seed").agg(
+            *[F.expr(f"CAST(coalesce(sum({q(c)}), 0) AS BIGINT) AS {q(c)}") for c in value_cols],
+            F.expr("grouping_id() AS _gid"))
+        idc, namec = q(self.spec.id_col), q(self.spec.name_col)
+        out = grouped.where("_gid > 0 OR NOT _seed").selectExpr(
+            f"CASE WHEN _gid > 0 THEN '{TOTAL_SNO}' ELSE CAST(s_no AS STRING) END AS s_no",
+            f"CASE WHEN _gid > 0 THEN '{TOTAL_ID}' ELSE CAST({idc} AS STRING) END AS {idc}",
+            f"CASE WHEN _gid > 0 THEN '{TOTAL_NAME}' ELSE {namec} END AS {namec}",
+            *[q(c) for c in value_cols], "_gid > 0 AS _is_total", "s_no AS _rank")
         # At most one row per entity plus the total: order inside one partition, no range shuffle.
         return out.coalesce(1).sortWithinPartitions("_is_total", "_rank").drop("_is_total", "_rank")
 
