@@ -22,6 +22,7 @@ CUT_HOUR = 8
 LOOKBACK = timedelta(days=1)
 LABEL_PATTERN_SPARK = "dd-MMM-yyyy (hh:mm a)"  # e.g. 05-Jan-2024 (08:00 AM)
 LABEL_PATTERN_PY = "%d-%b-%Y (%I:%M %p)"
+DAY_LABEL_SPARK = "dd-MMM-yyyy"
 DAY_LABEL_PY = "%d-%b-%Y"
 
 
@@ -69,6 +70,10 @@ class ReportWindow:
         return (f"{column} BETWEEN TIMESTAMP_NTZ '{self.start.strftime(fmt)}' "
                 f"AND TIMESTAMP_NTZ '{self.end.strftime(fmt)}'")
 
+    def partition_days_sql(self, column: str) -> str:
+        """Predicate on a DATE partition column that keeps every day the window touches."""
+        return f"{column} BETWEEN DATE '{self.start.date().isoformat()}' AND DATE '{self.end.date().isoformat()}'"
+
     def labels(self) -> tuple[str, str]:
         return self.start.strftime(LABEL_PATTERN_PY), self.end.strftime(LABEL_PATTERN_PY)
 
@@ -79,3 +84,8 @@ class ReportWindow:
 def label(column: Column) -> Column:
     """Spark-side label of a bound, same text as :meth:`ReportWindow.labels`."""
     return F.date_format(column, LABEL_PATTERN_SPARK)
+
+
+def day_label(column: Column) -> Column:
+    """Spark-side "generated on" label, same text as :meth:`ReportWindow.generated_on`."""
+    return F.date_format(column, DAY_LABEL_SPARK)

@@ -77,6 +77,16 @@ def _tagged(src_df: DataFrame, metrics: list[tuple[int, Metric]], link: str,
     return src_df.selectExpr(f"{link} AS link", f"inline(filter(array({structs}), t -> t IS NOT NULL))")
 
 
+def scan_window(catalog: Catalog, spec: ReportSpec, source: Source) -> DataFrame:
+    """The source's rows inside its closed window; the bounds are pushed to the scan, and a
+    date-partitioned source also gets the partition predicate so whole days are pruned."""
+    window = spec.window_of(source)
+    df = catalog.table(source.table)
+    if source.date_partition:
+        df = df.where(window.partition_days_sql(source.date_partition))
+    return df.where(window.contains_sql(source.time))
+
+
 class Measure:
     """Builds the wide (entity_id, <metric columns>) frame for a subset of metrics."""
 
@@ -109,8 +119,7 @@ class Measure:
         return {v: self._integral[(source.name, v)] for v in values}
 
     def _scan(self, source: Source) -> DataFrame:
-        window = self.spec.window_of(source)
-        return self.catalog.table(source.table).where(window.contains(source.time))
+        return scan_window(self.catalog, self.spec, source)
 
     # -- plan pieces -------------------------------------------------------------------
 

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import q, row_sum, zero, zero_filled
-from ..functions.window import label
+from ..functions.window import day_label, label
 from ..sources.catalog import Catalog
-from .measure import Measure
+from .measure import Measure, scan_window
 from .spine import account_map, build_spine, entities
 from .specs import CONSTANT, Metric, ReportSpec
 
@@ -141,12 +141,12 @@ class DailyReport:
         for source in self.spec.sources:
             w = self.spec.window_of(source)
             lo, hi = w.bounds()
-            rows = self.catalog.table(source.table).where(w.contains(source.time)).agg(
-                F.count(F.lit(1)).alias("rows_in_window"))
+            rows = scan_window(self.catalog, self.spec, source).agg(F.count(F.lit(1)).alias("rows_in_window"))
             parts.append(rows.select(
                 F.lit(source.name).alias("source"), F.lit(source.table).alias("source_table"),
                 lo.alias("window_start"), hi.alias("window_end"),
-                label(lo).alias("start_label"), label(hi).alias("end_label"), "rows_in_window"))
+                label(lo).alias("start_label"), label(hi).alias("end_label"),
+                day_label(hi).alias("generated_on"), "rows_in_window"))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)

@@ -60,6 +60,7 @@ class Source:
     time: str                           # column tested against the closed window
     window: ReportWindow | None = None  # overrides the report window for this source
     header: Header | None = None
+    date_partition: str | None = None   # DATE partition column holding date(time): enables partition pruning
 
 
 @dataclass(frozen=True)

@@ -187,6 +187,7 @@ def _window_audit() -> str:
             f"SELECT '{source}' AS source, '{table}' AS source_table, "
             f"CAST({lo} AS TIMESTAMP) AS window_start, CAST({hi} AS TIMESTAMP) AS window_end, "
             f"strftime({lo}, {label}) AS start_label, strftime({hi}, {label}) AS end_label, "
+            f"strftime({hi}, '%d-%b-%Y') AS generated_on, "
             f"CAST(COUNT(*) AS BIGINT) AS rows_in_window FROM {table} WHERE {col} BETWEEN {lo} AND {hi}")
     return "\nUNION ALL\n".join(parts)
 

@@ -64,3 +64,8 @@ class Catalog:
     def register_views(self, names: list[str]) -> None:
         for name in names:
             self.table(name).createOrReplaceTempView(name)
+
+    def sql(self, text: str, tables: list[str]) -> DataFrame:
+        """Run Spark SQL over catalog tables (registered as temp views); errors raise."""
+        self.register_views(tables)
+        return self.spark.sql(text)

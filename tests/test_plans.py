@@ -53,3 +53,26 @@ def test_spine_is_broadcast_after_a_size_check(spark):
     rep = fixture_report(spark, SF001)
     sized = rep.measure().account_map()
     assert sized.broadcast and sized.rows > 0
+
+
+def test_date_partitioned_source_prunes_days(spark, scratch_dir):
+    from dataclasses import replace
+
+    from daytally import Catalog, DailyReport
+    from daytally.plans import fixture
+
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    path = f"{scratch_dir}/events_by_day"
+    events.withColumn("event_date", events.ts.cast("date")).write.partitionBy("event_date").parquet(path)
+    spec = fixture.report_spec()
+    sources = tuple(replace(s, table="events_by_day", date_partition="event_date") if s.name == "events" else s
+                    for s in spec.sources)
+    catalog = Catalog.parquet_dir(spark, SF001, paths={"events_by_day": path})
+    rep = DailyReport(catalog, replace(spec, sources=sources))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = _plan(rep.metric("metric_attendance"))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "events_by_day" in line)
+    assert "PartitionFilters: [isnotnull(event_date" in scan and "2024-01-15" in scan and "2024-01-16" in scan
+    base = fixture_report(spark, SF001)
+    assert sorted(rep.metric("metric_attendance").collect()) == sorted(base.metric("metric_attendance").collect())
