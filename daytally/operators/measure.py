@@ -169,8 +169,10 @@ class Measure:
         """One row per entity of ``base`` (entity_id, entity_name): entity_id, entity_name and
         one nullable bigint column per measured metric.
 
-        The base rows enter the final aggregate as zero-valued rows instead of being joined
-        afterwards, so entities without activity are kept without another join.
+        The base ids enter the final aggregate as zero-valued rows, so entities without activity
+        are kept; the aggregate holds only numbers (a hash aggregate: a string ``max`` would force
+        a sort-based aggregate that sorts every deduplicated row on the map side), and the
+        names come from the size-checked entity base joined to the per-entity result.
         """
         numbered = [(i, m) for i, m in enumerate(metrics) if m.measure in (DISTINCT, PAIRS)]
         if not numbered:
@@ -198,7 +200,7 @@ class Measure:
                 leaves[name] = rows
         parents = {m.key: self._parent(m) for _, m in pairs}
 
-        candidates = {"account_map": self._account_map}
+        candidates = {"account_map": self._account_map, "entities": base}
         candidates.update({f"leaf:{n}": f for n, f in leaves.items()})
         candidates.update({f"parent:{k}": f for k, f in parents.items()})
         self._probe(candidates)
@@ -217,9 +219,9 @@ class Measure:
             parts.append(rows.dropDuplicates().select("entity_id", "m", F.lit(1).cast("bigint").alias("v")))
         for i, m in pairs:
             parts.append(self._pair_rows(i, m, self._sized(f"parent:{m.key}", parents[m.key]), amap))
-        long = reduce(DataFrame.unionByName, parts).selectExpr("entity_id", "CAST(NULL AS STRING) AS entity_name",
-                                                               "m", "v")
-        long = long.unionByName(base.selectExpr("entity_id", "entity_name", "-1 AS m", "CAST(0 AS BIGINT) AS v"))
-        return long.groupBy("entity_id").agg(
-            F.expr("max(entity_name) AS entity_name"),
+        long = reduce(DataFrame.unionByName, parts).selectExpr("entity_id", "m", "v")
+        long = long.unionByName(base.selectExpr("entity_id", "-1 AS m", "CAST(0 AS BIGINT) AS v"))
+        per_entity = long.groupBy("entity_id").agg(
             *[F.expr(f"sum(CASE WHEN m = {i} THEN v END) AS `{m.column}`") for i, m in numbered])
+        names = self._sized("entities", base).frame
+        return per_entity.join(names, "entity_id")

@@ -106,34 +106,34 @@ class DailyReport:
         return df.select("s_no", self.spec.id_col, self.spec.name_col, *self.spec.modules, "total")
 
     def summary(self, wide: DataFrame | None = None) -> DataFrame:
-        """Ranked rows plus the grand-total row, in one pass.
+        """Ranked rows plus the grand-total row, in the ranking's own window stage.
 
-        ``GROUPING SETS ((row), ())`` over the ranked rows: each row is its own group and the
-        empty set is the total, so the measurement below is evaluated once (a union of the
-        body and a separate total aggregate would evaluate it twice).  A one-row zero seed
-        keeps the total row when there are no entities (Spark emits no ``()`` group for an
-        empty input); the seed's own group is dropped.
+        One zero-valued seed row joins the per-entity rows; it sorts after every entity, so
+        the serial numbers are unchanged, and it becomes the total row from ``sum(..) OVER ()``
+        computed in the same single-partition window (no union with a second aggregate,
+        which would evaluate the measurement twice).  With no entities the seed alone gives
+        a total row of zeros, as the original's column sums over an empty frame do.
         """
-        ranked = self.summary_ranked(wide)
+        wide = self.wide() if wide is None else wide
+        totals = self._module_totals(wide)
         value_cols = list(self.spec.modules) + ["total"]
-        keys = ["s_no", self.spec.id_col, self.spec.name_col]
-        id_type = ranked.schema[self.spec.id_col].dataType.simpleString()
-        seed = ranked.sparkSession.range(1).selectExpr(
-            "CAST(NULL AS BIGINT) AS s_no", f"CAST(NULL AS {id_type}) AS {q(self.spec.id_col)}",
-            f"CAST(NULL AS STRING) AS {q(self.spec.name_col)}", *[f"CAST(0 AS BIGINT) AS {q(c)}" for c in value_cols],
-            "true AS _seed")
-        rows = ranked.selectExpr("*", "false AS _seed").unionByName(seed)
-        grouped = rows.groupingSets([keys + ["_seed"], []], *keys, "_seed").agg(
-            *[F.expr(f"CAST(coalesce(sum({q(c)}), 0) AS BIGINT) AS {q(c)}") for c in value_cols],
-            F.expr("grouping_id() AS _gid"))
+        id_type = totals.schema["entity_id"].dataType.simpleString()
+        seed = totals.sparkSession.range(1).selectExpr(
+            f"CAST(NULL AS {id_type}) AS entity_id", "CAST(NULL AS STRING) AS entity_name",
+            *[f"CAST(0 AS BIGINT) AS {q(c)}" for c in value_cols], "true AS _seed")
+        rows = totals.selectExpr("*", "false AS _seed").unionByName(seed)
+        ranked = rows.selectExpr(
+            "*", "CAST(row_number() OVER (ORDER BY _seed, total DESC, entity_id ASC) AS BIGINT) AS _rank",
+            *[f"sum({q(c)}) OVER () AS {q('_sum_' + c)}" for c in value_cols])
         idc, namec = q(self.spec.id_col), q(self.spec.name_col)
-        out = grouped.where("_gid > 0 OR NOT _seed").selectExpr(
-            f"CASE WHEN _gid > 0 THEN '{TOTAL_SNO}' ELSE CAST(s_no AS STRING) END AS s_no",
-            f"CASE WHEN _gid > 0 THEN '{TOTAL_ID}' ELSE CAST({idc} AS STRING) END AS {idc}",
-            f"CASE WHEN _gid > 0 THEN '{TOTAL_NAME}' ELSE {namec} END AS {namec}",
-            *[q(c) for c in value_cols], "_gid > 0 AS _is_total", "s_no AS _rank")
-        # At most one row per entity plus the total: order inside one partition, no range shuffle.
-        return out.coalesce(1).sortWithinPartitions("_is_total", "_rank").drop("_is_total", "_rank")
+        out = ranked.selectExpr(
+            f"CASE WHEN _seed THEN '{TOTAL_SNO}' ELSE CAST(_rank AS STRING) END AS s_no",
+            f"CASE WHEN _seed THEN '{TOTAL_ID}' ELSE CAST(entity_id AS STRING) END AS {idc}",
+            f"CASE WHEN _seed THEN '{TOTAL_NAME}' ELSE coalesce(entity_name, '{MISSING_NAME}') END AS {namec}",
+            *[f"CASE WHEN _seed THEN CAST({q('_sum_' + c)} AS BIGINT) ELSE {q(c)} END AS {q(c)}" for c in value_cols],
+            "_rank")
+        # Already one partition (the window's); order it locally, no range shuffle.
+        return out.sortWithinPartitions("_rank").drop("_rank")
 
     def window_audit(self) -> DataFrame:
         """Per source: the closed window, its labels and the number of source rows inside it."""

@@ -8,7 +8,7 @@ write does not re-run the fact scans.
 Command line (original schema, Parquet exports or JDBC)::
 
     python -m daytally.plans.job --tables s3a://bucket/exports --out s3a://bucket/reports \\
-        [--report-date 2024-01-16] [--cut-hour 8]
+        [--report-date 2024-01-16] [--cut-hour 8] [--allow 9,21,27]
 """
 
 from __future__ import annotations
@@ -46,14 +46,17 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--report-date", help="YYYY-MM-DD; default: today on the driver clock")
     ap.add_argument("--cut-hour", type=int, default=CUT_HOUR)
     ap.add_argument("--lookback-days", type=int, default=1)
+    ap.add_argument("--allow", help="comma-separated entity ids; default: the original allow-list")
     args = ap.parse_args(argv)
+    allow = tuple(int(x) for x in args.allow.split(",") if x.strip()) if args.allow is not None \
+        else reference_schema.ALLOW_LIST
 
     day = date.fromisoformat(args.report_date) if args.report_date else datetime.now().date()
     window = ReportWindow.closing_on(day, args.cut_hour, timedelta(days=args.lookback_days))
     spark: SparkSession = get_session()
     catalog = (Catalog.parquet_dir(spark, args.tables) if args.tables
                else Catalog(spark, jdbc=JdbcConfig.mysql_from_env()))
-    run_daily(DailyReport(catalog, reference_schema.report_spec(window)), args.out)
+    run_daily(DailyReport(catalog, reference_schema.report_spec(window, allow=allow)), args.out)
 
 
 if __name__ == "__main__":

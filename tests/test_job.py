@@ -32,3 +32,22 @@ def test_jdbc_options():
     assert opts["partitionColumn"] == "id" and opts["numPartitions"] == "64"
     assert opts["pushDownPredicate"] == "true" and opts["user"] == "u"
     assert "partitionColumn" not in jdbc_options(cfg, "college")
+
+
+def test_cli_on_original_schema_exports(spark, scratch_dir):
+    """The production path: Parquet exports of the original tables → CLI → two tables."""
+    from daytally.plans import job
+
+    from .test_edge_cases import ROWS, SCHEMAS
+
+    tables = f"{scratch_dir}/exports"
+    for name, ddl in SCHEMAS.items():
+        spark.createDataFrame(ROWS.get(name, []), ddl).write.parquet(f"{tables}/{name}.parquet")
+    out = f"{scratch_dir}/reports"
+    job.main(["--tables", tables, "--out", out, "--report-date", "2024-01-02", "--allow", "1,2,3,4,5,6,99"])
+    summary = spark.read.parquet(f"{out}/summary").collect()
+    assert len(summary) == 7
+    by_id = {r["college_id"]: r for r in summary}
+    assert by_id["1"]["total"] == 11 and by_id["2"]["total"] == 8 and by_id["-"]["total"] == 20
+    detail = spark.read.parquet(f"{out}/detail")
+    assert detail.count() == 6 and {r.report_date for r in detail.collect()} == {date(2024, 1, 2)}
