@@ -27,7 +27,7 @@ HEADLINE = [
     "report_summary", "report_detail", "report_summary_ranked",
     "module_teach", "module_engage", "module_assess", "module_track", "module_analyse", "module_remediate",
     "metric_hook_search", "metric_gocode", "metric_remediate",
-    "spine_active_accounts", "report_window", "entities_current_year",
+    "spine_active_accounts", "report_window", "entities_current_year", "report_backfill",
 ]
 TABLES = ["region", "nation", "customer", "orders", "lineitem", "events"]
 

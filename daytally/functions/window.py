@@ -26,6 +26,10 @@ DAY_LABEL_SPARK = "dd-MMM-yyyy"
 DAY_LABEL_PY = "%d-%b-%Y"
 
 
+def _ntz_sql(ts: datetime) -> str:
+    return f"TIMESTAMP_NTZ '{ts.strftime('%Y-%m-%d %H:%M:%S.%f')}'"
+
+
 def _ntz(ts: datetime) -> Column:
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
@@ -66,14 +70,31 @@ class ReportWindow:
         return column.between(lo, hi)
 
     def contains_sql(self, column: str) -> str:
-        fmt = "%Y-%m-%d %H:%M:%S.%f"
-        return (f"{column} BETWEEN TIMESTAMP_NTZ '{self.start.strftime(fmt)}' "
-                f"AND TIMESTAMP_NTZ '{self.end.strftime(fmt)}'")
+        return f"{column} BETWEEN {_ntz_sql(self.start)} AND {_ntz_sql(self.end)}"
 
     def partition_days_sql(self, column: str) -> str:
         """Predicate on a DATE partition column that keeps every day the window touches."""
         return f"{column} BETWEEN DATE '{self.start.date().isoformat()}' AND DATE '{self.end.date().isoformat()}'"
 
+    def widened(self, runs: int) -> "ReportWindow":
+        """The span covered by this window and the ``runs - 1`` daily windows before it."""
+        return ReportWindow(self.end, self.lookback + timedelta(days=runs - 1))
+
+    def run_offsets_sql(self, column: str, runs: int) -> str:
+        """``array<int>`` of the runs ``k`` in ``[0, runs)`` whose window – this one moved ``k``
+        days back – holds the value of ``column``; empty when none does.
+
+        With ``d`` = microseconds from the value to this window's end, run ``k`` holds it iff
+        ``k·DAY <= d <= k·DAY + lookback``, i.e. ``ceil((d - lookback)/DAY) <= k <= floor(d/DAY)``:
+        one run for most rows, two for a row exactly on a cut (both ends are inclusive).
+        """
+        day = 86_400_000_000
+        lb = int(self.lookback.total_seconds() * 1_000_000)
+        d = f"timestampdiff(MICROSECOND, CAST({column} AS TIMESTAMP_NTZ), {_ntz_sql(self.end)})"
+        hi = f"least(CAST(({d} - pmod({d}, {day})) div {day} AS INT), {runs - 1})"
+        lo = f"greatest(CAST(-((({lb} - {d}) - pmod({lb} - {d}, {day})) div {day}) AS INT), 0)"
+        return f"CASE WHEN {lo} <= {hi} THEN sequence({lo}, {hi}) ELSE array() END"
+
     def labels(self) -> tuple[str, str]:
         return self.start.strftime(LABEL_PATTERN_PY), self.end.strftime(LABEL_PATTERN_PY)
 

@@ -47,7 +47,7 @@ def _struct(fields: list[tuple[str, str]]) -> str:
 
 
 def _tagged(src_df: DataFrame, metrics: list[tuple[int, Metric]], link: str,
-            key_cols: tuple[bool, bool], integral: dict[str, bool]) -> DataFrame:
+            key_cols: tuple[bool, bool], integral: dict[str, bool], carry: list[str]) -> DataFrame:
     """Rows (link, m, [k_num], [k_str]) – one per (source row, matching metric).
 
     The projection is written as one SQL expression per output so the plan is built with a
@@ -68,23 +68,34 @@ def _tagged(src_df: DataFrame, metrics: list[tuple[int, Metric]], link: str,
 
     if len(entries) == 1:
         cond, fields = entries[0]
-        return src_df.where(cond).selectExpr(f"{link} AS link", *[f"{e} AS {n}" for n, e in fields])
+        return src_df.where(cond).selectExpr(f"{link} AS link", *carry, *[f"{e} AS {n}" for n, e in fields])
 
     # Push the disjunction of the metric predicates to the scan when every metric has one.
     if all(m.where for _, m in metrics):
         src_df = src_df.where(" OR ".join(f"({m.where})" for _, m in metrics))
     structs = ", ".join(f"CASE WHEN {cond} THEN {_struct(fields)} END" for cond, fields in entries)
-    return src_df.selectExpr(f"{link} AS link", f"inline(filter(array({structs}), t -> t IS NOT NULL))")
+    return src_df.selectExpr(f"{link} AS link", *carry, f"inline(filter(array({structs}), t -> t IS NOT NULL))")
 
 
-def scan_window(catalog: Catalog, spec: ReportSpec, source: Source) -> DataFrame:
+RUN = "_run"
+
+
+def scan_window(catalog: Catalog, spec: ReportSpec, source: Source, runs: int = 1) -> DataFrame:
     """The source's rows inside its closed window; the bounds are pushed to the scan, and a
-    date-partitioned source also gets the partition predicate so whole days are pruned."""
+    date-partitioned source also gets the partition predicate so whole days are pruned.
+
+    With ``runs > 1`` the scan covers the window and the ``runs - 1`` daily windows before it,
+    and every row is repeated once per run whose window holds it (column ``_run``: 0 is the
+    latest day) – a bounded fan-out, one copy for most rows."""
     window = spec.window_of(source)
+    span = window.widened(runs)
     df = catalog.table(source.table)
     if source.date_partition:
-        df = df.where(window.partition_days_sql(source.date_partition))
-    return df.where(window.contains_sql(source.time))
+        df = df.where(span.partition_days_sql(source.date_partition))
+    df = df.where(span.contains_sql(source.time))
+    if runs > 1:
+        df = df.selectExpr("*", f"explode({window.run_offsets_sql(source.time, runs)}) AS {RUN}")
+    return df
 
 
 class Measure:
@@ -118,17 +129,15 @@ class Measure:
                 self._integral[(source.name, v)] = isinstance(field.dataType, _INTEGRAL)
         return {v: self._integral[(source.name, v)] for v in values}
 
-    def _scan(self, source: Source) -> DataFrame:
-        return scan_window(self.catalog, self.spec, source)
-
     # -- plan pieces -------------------------------------------------------------------
 
-    def _parent(self, metric: Metric) -> DataFrame:
+    def _parent(self, metric: Metric, runs: int) -> DataFrame:
         source = self.spec.source_by_name[metric.source]
-        return (self._scan(source)
+        carry = [RUN] if runs > 1 else []
+        return (scan_window(self.catalog, self.spec, source, runs)
                 .where(_and(F.expr(metric.where) if metric.where else None,
                             F.expr(metric.value).isNotNull(), F.expr(source.account).isNotNull()))
-                .select(F.expr(source.account).alias("p_account"), F.expr(metric.value).alias("p_id")))
+                .selectExpr(f"{source.account} AS p_account", f"{metric.value} AS p_id", *carry))
 
     def _through_header(self, source: Source, leaf: Sized, amap: DataFrame) -> DataFrame:
         """Leaf rows keyed by header id → entity rows.
@@ -145,8 +154,9 @@ class Measure:
         joined = header.join(leaf.frame, header.h_id == leaf.frame.link)
         return joined.drop("h_id", "link")
 
-    def _pair_rows(self, mid: int, metric: Metric, parent: Sized, amap: DataFrame) -> DataFrame:
-        """(entity_id, m, v): v = number of parent ⟕ child rows with both ids present."""
+    def _pair_rows(self, mid: int, metric: Metric, parent: Sized, amap: DataFrame,
+                   carry: list[str]) -> DataFrame:
+        """(entity_id, [_run], m, v): v = number of parent ⟕ child rows with both ids present."""
         child = metric.child
         kids = (self.catalog.table(child.table)
                 .where(F.expr(child.id).isNotNull())
@@ -159,24 +169,30 @@ class Measure:
             kids = kids.join(keys, kids.c_link == keys.k_id, "left_semi")
         fanout = kids.groupBy("c_link").agg(F.count(F.lit(1)).alias("n"))
         pframe = parent.frame
-        per_account = pframe.join(fanout, pframe.p_id == fanout.c_link).select("p_account", "n")
+        per_account = pframe.join(fanout, pframe.p_id == fanout.c_link).select("p_account", "n", *carry)
         joined = per_account.join(amap, per_account.p_account == amap.account_id)
-        return joined.select("entity_id", F.lit(mid).alias("m"), F.col("n").alias("v"))
+        return joined.selectExpr("entity_id", *carry, f"{mid} AS m", "n AS v")
 
     # -- the wide frame ----------------------------------------------------------------
 
-    def wide(self, metrics: list[Metric], base: DataFrame) -> DataFrame:
+    def wide(self, metrics: list[Metric], base: DataFrame, runs: int = 1) -> DataFrame:
         """One row per entity of ``base`` (entity_id, entity_name): entity_id, entity_name and
-        one nullable bigint column per measured metric.
+        one nullable bigint column per measured metric.  With ``runs > 1``, one row per entity
+        and run, with the run offset in ``_run`` (the daily window moved that many days back).
 
         The base ids enter the final aggregate as zero-valued rows, so entities without activity
         are kept; the aggregate holds only numbers (a hash aggregate: a string ``max`` would force
         a sort-based aggregate that sorts every deduplicated row on the map side), and the
         names come from the size-checked entity base joined to the per-entity result.
         """
+        carry = [RUN] if runs > 1 else []
+        if runs > 1:
+            base_rows = base.selectExpr("*", f"explode(sequence(0, {runs - 1})) AS {RUN}")
+        else:
+            base_rows = base
         numbered = [(i, m) for i, m in enumerate(metrics) if m.measure in (DISTINCT, PAIRS)]
         if not numbered:
-            return base
+            return base_rows
         distinct = [(i, m) for i, m in numbered if m.measure == DISTINCT]
         pairs = [(i, m) for i, m in numbered if m.measure == PAIRS]
 
@@ -193,16 +209,17 @@ class Measure:
         for name, group in by_source.items():
             source = self.spec.source_by_name[name]
             link = source.account if source.header is None else source.header.link
-            rows = _tagged(self._scan(source), group, link, key_cols, integral[name])
+            scan = scan_window(self.catalog, self.spec, source, runs)
+            rows = _tagged(scan, group, link, key_cols, integral[name], carry)
             if source.header is None:
                 direct.append(rows)
             else:
                 leaves[name] = rows
-        parents = {m.key: self._parent(m) for _, m in pairs}
+        parents = {m.key: self._parent(m, runs) for _, m in pairs}
 
         candidates = {"account_map": self._account_map, "entities": base}
-        candidates.update({f"leaf:{n}": f for n, f in leaves.items()})
-        candidates.update({f"parent:{k}": f for k, f in parents.items()})
+        candidates.update({f"leaf:{n}:{runs}": f for n, f in leaves.items()})
+        candidates.update({f"parent:{k}:{runs}": f for k, f in parents.items()})
         self._probe(candidates)
         amap = self._sized("account_map", self._account_map).frame
 
@@ -213,15 +230,15 @@ class Measure:
                 rows = reduce(DataFrame.unionByName, direct)
                 entity_rows.append(rows.join(amap, rows.link == amap.account_id).drop("link", "account_id"))
             for name, leaf in leaves.items():
-                sized = self._sized(f"leaf:{name}", leaf)
+                sized = self._sized(f"leaf:{name}:{runs}", leaf)
                 entity_rows.append(self._through_header(self.spec.source_by_name[name], sized, amap))
             rows = reduce(DataFrame.unionByName, entity_rows)
-            parts.append(rows.dropDuplicates().select("entity_id", "m", F.lit(1).cast("bigint").alias("v")))
+            parts.append(rows.dropDuplicates().selectExpr("entity_id", *carry, "m", "CAST(1 AS BIGINT) AS v"))
         for i, m in pairs:
-            parts.append(self._pair_rows(i, m, self._sized(f"parent:{m.key}", parents[m.key]), amap))
-        long = reduce(DataFrame.unionByName, parts).selectExpr("entity_id", "m", "v")
-        long = long.unionByName(base.selectExpr("entity_id", "-1 AS m", "CAST(0 AS BIGINT) AS v"))
-        per_entity = long.groupBy("entity_id").agg(
+            parts.append(self._pair_rows(i, m, self._sized(f"parent:{m.key}:{runs}", parents[m.key]), amap, carry))
+        long = reduce(DataFrame.unionByName, parts).selectExpr("entity_id", *carry, "m", "v")
+        long = long.unionByName(base_rows.selectExpr("entity_id", *carry, "-1 AS m", "CAST(0 AS BIGINT) AS v"))
+        per_entity = long.groupBy("entity_id", *carry).agg(
             *[F.expr(f"sum(CASE WHEN m = {i} THEN v END) AS `{m.column}`") for i, m in numbered])
         names = self._sized("entities", base).frame
         return per_entity.join(names, "entity_id")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import q, row_sum, zero, zero_filled
 from ..functions.window import day_label, label
 from ..sources.catalog import Catalog
-from .measure import Measure, scan_window
+from .measure import RUN, Measure, scan_window
 from .spine import account_map, build_spine, entities
 from .specs import CONSTANT, Metric, ReportSpec
 
@@ -47,13 +47,14 @@ class DailyReport:
             self._measure = Measure(self.catalog, self.spec, account_map(self.spine()))
         return self._measure
 
-    def wide(self, metrics: list[Metric] | None = None) -> DataFrame:
-        """entity_id, entity_name and one zero-filled bigint column per metric."""
+    def wide(self, metrics: list[Metric] | None = None, runs: int = 1) -> DataFrame:
+        """entity_id, entity_name and one zero-filled bigint column per metric (plus ``_run``
+        when several daily runs are measured together)."""
         metrics = list(self.spec.metrics if metrics is None else metrics)
-        out = self.measure().wide(metrics, self.entities())
+        out = self.measure().wide(metrics, self.entities(), runs)
         cols = [f"CAST({m.constant} AS BIGINT) AS {q(m.column)}" if m.measure == CONSTANT
                 else f"{zero(m.column)} AS {q(m.column)}" for m in metrics]
-        return out.selectExpr("entity_id", "entity_name", *cols)
+        return out.selectExpr("entity_id", "entity_name", *([RUN] if runs > 1 else []), *cols)
 
     def _named(self, df: DataFrame, fill_name: bool) -> DataFrame:
         name = F.col("entity_name")
@@ -90,6 +91,25 @@ class DailyReport:
         df = self._named(df, fill_name=True)
         return df.select("s_no", self.spec.id_col, self.spec.name_col, *cols, self.spec.usage_col)
 
+    def backfill_detail(self, runs: int) -> DataFrame:
+        """The detail table of ``runs`` consecutive daily reports (the latest is the report's own
+        day), measured in one pass: each fact row is scanned once and counted in every run
+        whose closed window holds it.  Each day equals the daily job run for that day.
+        ``report_date`` is the ISO day text (the same in every engine's client)."""
+        if runs < 1:
+            raise ValueError("runs must be >= 1")
+        wide = self.wide(runs=runs)
+        if runs == 1:
+            wide = wide.selectExpr("*", f"0 AS {RUN}")
+        cols = [m.column for m in self.spec.metrics]
+        day = self.spec.window.report_date.isoformat()
+        df = wide.selectExpr(
+            f"CAST(date_sub(DATE '{day}', {RUN}) AS STRING) AS report_date",  # ISO yyyy-MM-dd
+            f"CAST(row_number() OVER (PARTITION BY {RUN} ORDER BY entity_id) AS BIGINT) AS s_no",
+            "entity_id", "entity_name", *zero_filled(cols), f"{row_sum(cols)} AS {q(self.spec.usage_col)}")
+        df = self._named(df, fill_name=True)
+        return df.select("report_date", "s_no", self.spec.id_col, self.spec.name_col, *cols, self.spec.usage_col)
+
     def _module_totals(self, wide: DataFrame) -> DataFrame:
         totals = [f"{row_sum([m.column for m in self.spec.module_metrics(mod)])} AS {q(mod)}"
                   for mod in self.spec.modules]

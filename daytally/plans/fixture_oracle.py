@@ -10,6 +10,8 @@ to BIGINT, and pair keys are built with ``||`` (DuckDB ``concat`` skips NULLs).
 
 from __future__ import annotations
 
+from functools import partial
+
 from .fixture import ALLOW, CURRENT_REGION
 from .layout import METRIC_LAYOUT, MODULES
 
@@ -27,74 +29,95 @@ can AS (SELECT c_custkey AS id, c_nationkey AS dept_nation, c_mktsegment AS dept
 _CAN_ON = "can.dept_nation = cuddn.college_id AND can.dept_segment = cuddn.segment"
 
 
-def _statement(count: str, alias: str, fact_joins: str, *, dummy_in_where: bool = False) -> str:
+# Backfill: run k is the daily report moved k days back (window ends shifted by k days).
+BACKFILL_RUNS = 7
+_RUNS_CTE = f"runs AS (SELECT CAST(range AS INTEGER) AS k FROM range({BACKFILL_RUNS}))"
+_SHIFT = " - to_days(r.k)"
+
+
+def _statement(count: str, alias: str, fact_joins: str, *, dummy_in_where: bool = False,
+               runs: bool = False) -> str:
     can_on = _CAN_ON if dummy_in_where else _CAN_ON + " AND can.dummy = 0"
     where = ("can.dummy = 0 AND " if dummy_in_where else "") + f"c.id IN {_ALLOW}"
-    return f"""SELECT c.id AS college_id, c.college_name, {count} AS {alias}
-FROM college c
+    run_col, run_join, run_key = ("r.k, ", "\nCROSS JOIN runs r", "r.k, ") if runs else ("", "", "")
+    return f"""SELECT {run_col}c.id AS college_id, c.college_name, {count} AS {alias}
+FROM college c{run_join}
 LEFT JOIN cuddn ON cuddn.college_id = c.id
 LEFT JOIN can ON {can_on}
 {fact_joins}
 WHERE {where}
-GROUP BY c.id, c.college_name"""
+GROUP BY {run_key}c.id, c.college_name"""
 
 
-def _event(kind_pred: str | None) -> str:
+def _bounds(hi: str, lookback: str, runs: bool) -> tuple[str, str]:
+    end = f"({hi}{_SHIFT})" if runs else hi
+    return f"({end} - {lookback})", end
+
+
+def _event(kind_pred: str | None, runs: bool = False) -> str:
     extra = f" AND {kind_pred}" if kind_pred else ""
+    lo, hi = _bounds(_EV_HI, "INTERVAL 1 DAY", runs)
     return (f"LEFT JOIN events e ON e.user_id = can.id{extra} AND e.ts IS NOT NULL "
-            f"AND e.ts BETWEEN {_EV_LO} AND {_EV_HI}")
+            f"AND e.ts BETWEEN {lo} AND {hi}")
 
 
-def _order(pred: str | None) -> str:
+def _order(pred: str | None, runs: bool = False) -> str:
     extra = f" AND {pred}" if pred else ""
+    lo, hi = _bounds(_ORD_HI, "INTERVAL 30 DAY", runs)
     return (f"LEFT JOIN orders o ON o.o_custkey = can.id{extra} AND o.o_orderdate IS NOT NULL "
-            f"AND o.o_orderdate BETWEEN {_ORD_LO} AND {_ORD_HI}")
+            f"AND o.o_orderdate BETWEEN {lo} AND {hi}")
 
 
 _FLAG = "(CASE o.o_orderstatus WHEN 'O' THEN 0 WHEN 'P' THEN 1 END)"
 _CD = "CAST(COUNT(DISTINCT {}) AS BIGINT)"
 
 
-def _metric_statements() -> dict[str, str]:
+def _metric_statements(runs: bool = False) -> dict[str, str]:
     ev = _CD.format("e.event_id")
     od = _CD.format("o.o_orderkey")
+    ship_lo, ship_hi = _bounds(_ORD_HI, "INTERVAL 30 DAY", runs)
+    stmt = partial(_statement, runs=runs)
+    ev_join = partial(_event, runs=runs)
+    od_join = partial(_order, runs=runs)
     s = {
-        "metric_attendance": _statement(ev, "attendance_count", _event("e.event_type = 'view'")),
-        "metric_hook_search": _statement(
+        "metric_attendance": stmt(ev, "attendance_count", ev_join("e.event_type = 'view'")),
+        "metric_hook_search": stmt(
             _CD.format("l.l_orderkey * 10 + l.l_linenumber"), "hook_search_count",
             "LEFT JOIN orders hdr ON hdr.o_custkey = can.id\n"
-            f"LEFT JOIN lineitem l ON l.l_orderkey = hdr.o_orderkey AND l.l_shipdate BETWEEN {_ORD_LO} AND {_ORD_HI}",
+            f"LEFT JOIN lineitem l ON l.l_orderkey = hdr.o_orderkey AND l.l_shipdate BETWEEN {ship_lo} AND {ship_hi}",
             dummy_in_where=True),
-        "metric_teach_studio": _statement(ev, "teach_studio_count", _event("e.event_type = 'click'"),
+        "metric_teach_studio": stmt(ev, "teach_studio_count", ev_join("e.event_type = 'click'"),
                                           dummy_in_where=True),
-        "metric_live_assignment": _statement(ev, "live_assignment_count", _event("e.event_type = 'purchase'")),
-        "metric_live_survey": _statement(ev, "survey_count", _event("e.event_type = 'signup'")),
-        "metric_notifications": _statement(ev, "notify_count", _event("e.event_type = 'error'")),
-        "metric_live_class": _statement(od, "live_class_count", _order("o.o_orderpriority = '1-URGENT'")),
-        "metric_case_study": _statement(od, "case_study_count", _order("o.o_orderpriority = '2-HIGH'")),
-        "metric_projects": _statement(od, "projects_count", _order("o.o_orderpriority = '3-MEDIUM'")),
-        "metric_arena": _statement(od, "arena_count", _order("o.o_orderpriority = '4-NOT SPECIFIED'")),
-        "metric_gocode": _statement(_CD.format("json_extract_string(e.props, '$.k')"), "gocode_count", _event(None)),
-        "metric_objective": _statement(od, "objective_count", _order(None)),
-        "metric_subjective": _statement(od, "subjective_count", _order(f"{_FLAG} = 0")),
-        "metric_coding": _statement(od, "coding_count", _order("o.o_orderpriority = '5-LOW'")),
-        "metric_assignment": _statement(od, "assignment_count", _order(f"{_FLAG} = 1")),
-        "metric_regular_feedback": _statement(ev, "regular_feedback_count", _event("e.value < 20")),
-        "metric_semester_feedback": _statement(ev, "semester_feedback_count", _event("e.value BETWEEN 20 AND 80")),
-        "metric_unit_feedback": _statement(ev, "unit_feedback_count", _event("e.value > 80")),
-        "metric_analyse": f"""SELECT c.id AS college_id, c.college_name, CAST(0 AS BIGINT) AS total_analyse
-FROM college c
+        "metric_live_assignment": stmt(ev, "live_assignment_count", ev_join("e.event_type = 'purchase'")),
+        "metric_live_survey": stmt(ev, "survey_count", ev_join("e.event_type = 'signup'")),
+        "metric_notifications": stmt(ev, "notify_count", ev_join("e.event_type = 'error'")),
+        "metric_live_class": stmt(od, "live_class_count", od_join("o.o_orderpriority = '1-URGENT'")),
+        "metric_case_study": stmt(od, "case_study_count", od_join("o.o_orderpriority = '2-HIGH'")),
+        "metric_projects": stmt(od, "projects_count", od_join("o.o_orderpriority = '3-MEDIUM'")),
+        "metric_arena": stmt(od, "arena_count", od_join("o.o_orderpriority = '4-NOT SPECIFIED'")),
+        "metric_gocode": stmt(_CD.format("json_extract_string(e.props, '$.k')"), "gocode_count", ev_join(None)),
+        "metric_objective": stmt(od, "objective_count", od_join(None)),
+        "metric_subjective": stmt(od, "subjective_count", od_join(f"{_FLAG} = 0")),
+        "metric_coding": stmt(od, "coding_count", od_join("o.o_orderpriority = '5-LOW'")),
+        "metric_assignment": stmt(od, "assignment_count", od_join(f"{_FLAG} = 1")),
+        "metric_regular_feedback": stmt(ev, "regular_feedback_count", ev_join("e.value < 20")),
+        "metric_semester_feedback": stmt(ev, "semester_feedback_count", ev_join("e.value BETWEEN 20 AND 80")),
+        "metric_unit_feedback": stmt(ev, "unit_feedback_count", ev_join("e.value > 80")),
+        "metric_analyse": f"""SELECT {"r.k, " if runs else ""}c.id AS college_id, c.college_name,
+       CAST(0 AS BIGINT) AS total_analyse
+FROM college c{" CROSS JOIN runs r" if runs else ""}
 WHERE c.id IN {_ALLOW}
-GROUP BY c.id, c.college_name""",
-        "metric_remediate": _statement(
+GROUP BY {"r.k, " if runs else ""}c.id, c.college_name""",
+        "metric_remediate": stmt(
             "CAST(COUNT(CAST(o.o_orderkey AS VARCHAR) || CAST(p.l_linenumber AS VARCHAR)) AS BIGINT)",
             "remediate_count",
-            _order("o.o_orderstatus = 'F'") + "\nLEFT JOIN lineitem p ON p.l_orderkey = o.o_orderkey"),
+            od_join("o.o_orderstatus = 'F'") + "\nLEFT JOIN lineitem p ON p.l_orderkey = o.o_orderkey"),
     }
     return s
 
 
 _STATEMENTS = _metric_statements()
+_BACKFILL_STATEMENTS = _metric_statements(runs=True)
 _COLUMN = {key: col for key, _, col in METRIC_LAYOUT}
 
 
@@ -192,6 +215,24 @@ def _window_audit() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _backfill_detail() -> str:
+    keys = [k for k, _, _ in METRIC_LAYOUT]
+    ctes = {f"m{i}": _BACKFILL_STATEMENTS[k] for i, k in enumerate(keys)}
+    frm = "FROM m0"
+    for i in range(1, len(keys)):
+        frm += (f"\nLEFT JOIN m{i} ON m{i}.k = m0.k AND m{i}.college_id = m0.college_id "
+                f"AND m{i}.college_name IS NOT DISTINCT FROM m0.college_name")
+    cols = [_COLUMN[k] for k in keys]
+    filled = [f"COALESCE(m{i}.{_COLUMN[k]}, 0) AS {_COLUMN[k]}" for i, k in enumerate(keys)]
+    ctes["wide"] = ("SELECT m0.k, m0.college_id, COALESCE(m0.college_name, '0') AS college_name, "
+                    + ", ".join(filled) + "\n" + frm)
+    body = ("SELECT strftime(CAST(DATE '2024-01-16' - k AS DATE), '%Y-%m-%d') AS report_date, "
+            "CAST(row_number() OVER (PARTITION BY k ORDER BY college_id) AS BIGINT) AS s_no, "
+            f"college_id, college_name, {', '.join(cols)}, "
+            f"CAST({' + '.join(cols)} AS BIGINT) AS college_usage\nFROM wide")
+    return "WITH " + ",\n".join([_DIMS, _RUNS_CTE] + [f"{n} AS (\n{q}\n)" for n, q in ctes.items()]) + "\n" + body
+
+
 def _entities_current_year() -> str:
     return f"""SELECT DISTINCT n.n_nationkey AS college_id, n.n_name AS college_name, r.r_name AS name
 FROM customer cu
@@ -210,4 +251,5 @@ def oracle_sql() -> dict[str, str]:
     out["report_summary_ranked"] = _summary_ranked()
     out["report_summary"] = _summary()
     out["entities_current_year"] = _entities_current_year()
+    out["report_backfill"] = _backfill_detail()
     return out

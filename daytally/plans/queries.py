@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.report import DailyReport
 from ..sources.catalog import Catalog
 from . import fixture
+from .fixture_oracle import BACKFILL_RUNS
 from .layout import METRIC_LAYOUT, MODULES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,5 +43,6 @@ def queries() -> dict[str, Query]:
     out["report_detail"] = lambda spark, d: fixture_report(spark, d).detail()
     out["report_summary_ranked"] = lambda spark, d: fixture_report(spark, d).summary_ranked()
     out["report_summary"] = lambda spark, d: fixture_report(spark, d).summary()
+    out["report_backfill"] = lambda spark, d: fixture_report(spark, d).backfill_detail(BACKFILL_RUNS)
     out["entities_current_year"] = lambda spark, d: fixture.entities_current_year(fixture_catalog(spark, d))
     return out

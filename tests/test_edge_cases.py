@@ -183,3 +183,19 @@ def test_shuffle_fallback_when_broadcast_bound_is_exceeded(spark, report):
     rep = DailyReport(_catalog(spark), reference_schema.report_spec(WINDOW, allow=ALLOW, max_broadcast_rows=0))
     assert rep.detail().collect() == report.detail().collect()
     assert not rep.measure().account_map().broadcast
+
+
+def test_backfill_equals_the_daily_runs(spark, report):
+    """Three daily reports in one pass equal three separate daily runs (rows on a cut count twice)."""
+    back = report.backfill_detail(3).collect()
+    assert len(back) == 3 * 6
+    for k in range(3):
+        day = date(2024, 1, 2 - k) if k < 2 else date(2023, 12, 31)
+        daily = DailyReport(_catalog(spark), reference_schema.report_spec(ReportWindow.closing_on(day), allow=ALLOW))
+        want = [r.asDict() for r in daily.detail().collect()]
+        got = [{key: v for key, v in r.asDict().items() if key != "report_date"}
+               for r in back if r["report_date"] == day.isoformat()]
+        assert got == want, day
+    # The event at 2024-01-01 08:00:00 is in the reports of 2024-01-02 and 2024-01-01.
+    by_day = {(r["report_date"], r["college_id"]): r["attendance_count"] for r in back}
+    assert by_day[("2024-01-02", 1)] == 2 and by_day[("2024-01-01", 1)] == 2
