@@ -1,8 +1,8 @@
 """Evaluate many metrics in one plan ("long form").
 
 For every source, one scan: filter the closed window (pushed to the scan), tag each row
-with the ids of the metrics whose predicate it meets (``explode`` of a filtered array,
-so a row can feed several metrics), keep the account id and the counted value.
+with the ids of the metrics whose predicate it meets (``inline`` of a filtered array of
+structs, so a row can feed several metrics), keep the account id and the counted value.
 
 Then, for all sources together:
 
@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
@@ -34,14 +34,6 @@ from .specs import DISTINCT, PAIRS, Metric, ReportSpec, Source
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 
 
-def _and(*conds: Column | None) -> Column:
-    out = None
-    for c in conds:
-        if c is not None:
-            out = c if out is None else out & c
-    return out if out is not None else F.lit(True)
-
-
 def _struct(fields: list[tuple[str, str]]) -> str:
     return "named_struct(" + ", ".join(f"'{name}', {expr}" for name, expr in fields) + ")"
 
@@ -134,9 +126,9 @@ class Measure:
     def _parent(self, metric: Metric, runs: int) -> DataFrame:
         source = self.spec.source_by_name[metric.source]
         carry = [RUN] if runs > 1 else []
-        return (scan_window(self.catalog, self.spec, source, runs)
-                .where(_and(F.expr(metric.where) if metric.where else None,
-                            F.expr(metric.value).isNotNull(), F.expr(source.account).isNotNull()))
+        cond = " AND ".join(([f"({metric.where})"] if metric.where else [])
+                            + [f"({metric.value}) IS NOT NULL", f"({source.account}) IS NOT NULL"])
+        return (scan_window(self.catalog, self.spec, source, runs).where(cond)
                 .selectExpr(f"{source.account} AS p_account", f"{metric.value} AS p_id", *carry))
 
     def _through_header(self, source: Source, leaf: Sized, amap: DataFrame) -> DataFrame:

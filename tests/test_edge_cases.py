@@ -199,3 +199,23 @@ def test_backfill_equals_the_daily_runs(spark, report):
     # The event at 2024-01-01 08:00:00 is in the reports of 2024-01-02 and 2024-01-01.
     by_day = {(r["report_date"], r["college_id"]): r["attendance_count"] for r in back}
     assert by_day[("2024-01-02", 1)] == 2 and by_day[("2024-01-01", 1)] == 2
+
+
+def test_entities_current_year_inner_chain(spark):
+    """Dormant query of the original: DISTINCT colleges with a department mapped to the current year."""
+    frames = {
+        "academic_years": spark.createDataFrame([(1, "2024-25", 1), (2, "2023-24", 0)],
+                                                "id INT, name STRING, current_academic_year INT"),
+        "college_academic_years": spark.createDataFrame(
+            [(1, 100), (1, 101), (2, 102), (1, 103)], "academic_year_id INT, regulation_batch_mapping_id INT"),
+        "regulation_batch_mapping": spark.createDataFrame([(100, 500), (101, 501), (102, 502), (103, 503)],
+                                                          "id INT, regulation_mapping_id INT"),
+        "regulation_mappings": spark.createDataFrame([(500, 10), (501, 10), (502, 20), (503, 99)],
+                                                     "id INT, cudd_id INT"),
+        "college_university_degree_department_new": spark.createDataFrame(
+            ROWS["college_university_degree_department_new"], SCHEMAS["college_university_degree_department_new"]),
+        "college": spark.createDataFrame(ROWS["college"], SCHEMAS["college"]),
+    }
+    got = reference_schema.entities_current_year(Catalog.in_memory(spark, frames)).collect()
+    # Two mappings reach department 10 (college 1) in the current year: one row; 20 is last year; 99 has no department.
+    assert [tuple(r) for r in got] == [(1, "Alpha", "2024-25")]
