@@ -131,18 +131,24 @@ class Measure:
         return (scan_window(self.catalog, self.spec, source, runs).where(cond)
                 .selectExpr(f"{source.account} AS p_account", f"{metric.value} AS p_id", *carry))
 
-    def _through_header(self, source: Source, leaf: Sized, amap: DataFrame) -> DataFrame:
+    def _through_header(self, source: Source, leaf: Sized, amap: DataFrame, runs: int) -> DataFrame:
         """Leaf rows keyed by header id → entity rows.
 
-        The header table is not windowed and is as large as a fact table, so it must not be
-        shuffled when avoidable: when the windowed leaf fits the broadcast bound, it is
-        broadcast and the header (mapped to entities through the account map on the map
-        side) streams past it.
+        The header table is not windowed and is as large as a fact table, so it is not
+        shuffled when a bounded side exists.  First choice: the windowed leaf fits the bound,
+        is broadcast, and the header (mapped to entities through the account map on the map
+        side) streams past it.  Otherwise the header reduced to the report's real accounts is
+        counted; under the bound it is broadcast and the leaf streams.  Only when neither side
+        is bounded do both shuffle on the header id (adaptive execution splits a hot header).
         """
         h = source.header
         header = (self.catalog.table(h.table)
-                  .select(F.expr(h.id).alias("h_id"), F.expr(h.account).alias("h_account")))
+                  .selectExpr(f"{h.id} AS h_id", f"{h.account} AS h_account"))
         header = header.join(amap, header.h_account == amap.account_id).select("h_id", "entity_id")
+        if not leaf.broadcast:
+            name = f"header:{source.name}"
+            self._probe({name: header})
+            header = self._sized(name, header).frame
         joined = header.join(leaf.frame, header.h_id == leaf.frame.link)
         return joined.drop("h_id", "link")
 
@@ -223,7 +229,7 @@ class Measure:
                 entity_rows.append(rows.join(amap, rows.link == amap.account_id).drop("link", "account_id"))
             for name, leaf in leaves.items():
                 sized = self._sized(f"leaf:{name}:{runs}", leaf)
-                entity_rows.append(self._through_header(self.spec.source_by_name[name], sized, amap))
+                entity_rows.append(self._through_header(self.spec.source_by_name[name], sized, amap, runs))
             rows = reduce(DataFrame.unionByName, entity_rows)
             parts.append(rows.dropDuplicates().selectExpr("entity_id", *carry, "m", "CAST(1 AS BIGINT) AS v"))
         for i, m in pairs:

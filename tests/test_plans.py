@@ -76,3 +76,16 @@ def test_date_partitioned_source_prunes_days(spark, scratch_dir):
     assert "PartitionFilters: [isnotnull(event_date" in scan and "2024-01-15" in scan and "2024-01-16" in scan
     base = fixture_report(spark, SF001)
     assert sorted(rep.metric("metric_attendance").collect()) == sorted(base.metric("metric_attendance").collect())
+
+
+def test_header_hop_broadcasts_the_reduced_header_when_the_leaf_is_large(spark):
+    want = sorted(fixture_report(spark, SF001).metric("metric_hook_search").collect())
+    rep = fixture_report(spark, SF001)
+    m = rep.measure()
+    # Pretend the windowed leaf is over the bound: the reduced header must be broadcast instead.
+    m._sizes["leaf:shipments:1"] = rep.spec.max_broadcast_rows + 1
+    df = rep.metric("metric_hook_search")
+    assert sorted(df.collect()) == want
+    assert m._sizes["header:shipments"] <= rep.spec.max_broadcast_rows
+    join = next(line for line in _plan(df).splitlines() if "BroadcastHashJoin [h_id" in line)
+    assert "BuildLeft" in join  # header side built, leaf streamed
