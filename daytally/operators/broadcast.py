@@ -23,12 +23,16 @@ class Sized:
     broadcast: bool
 
 
-def probe_rows(frames: dict[str, DataFrame]) -> dict[str, int]:
-    """Row counts of several frames, computed by a single job."""
-    if not frames:
+def probe_rows(frames: dict[str, DataFrame], scalars: dict[str, DataFrame] | None = None) -> dict[str, int]:
+    """Row counts of several frames (plus one-row frames that already hold a count in ``n``),
+    computed by a single job."""
+    scalars = scalars or {}
+    if not frames and not scalars:
         return {}
     parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("probe"), "n")
              for name, df in frames.items()]
+    parts += [df.select(F.lit(name).alias("probe"), F.col("n").cast("bigint").alias("n"))
+              for name, df in scalars.items()]
     return {r["probe"]: int(r["n"]) for r in reduce(DataFrame.unionByName, parts).collect()}
 
 

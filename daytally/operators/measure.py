@@ -29,6 +29,7 @@ from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from ..sources.catalog import Catalog
 from .broadcast import Sized, hinted, probe_rows
+from .spine import account_map, account_map_size, department_map, entities
 from .specs import DISTINCT, PAIRS, Metric, ReportSpec, Source
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
@@ -93,25 +94,34 @@ def scan_window(catalog: Catalog, spec: ReportSpec, source: Source, runs: int =
 class Measure:
     """Builds the wide (entity_id, <metric columns>) frame for a subset of metrics."""
 
-    def __init__(self, catalog: Catalog, spec: ReportSpec, account_map: DataFrame):
+    def __init__(self, catalog: Catalog, spec: ReportSpec):
         self.catalog = catalog
         self.spec = spec
-        self._account_map = account_map
+        self.entities = entities(catalog, spec.spine, spec.allow)
+        self._departments = department_map(catalog, spec.spine, spec.allow)
+        self._account_map: Sized | None = None
         self._sizes: dict[str, int] = {}
         self._integral: dict[tuple[str, str], bool] = {}
 
     # -- sizes and types (driver side, no data scanned except by the probe job) -------
 
     def _probe(self, candidates: dict[str, DataFrame]) -> None:
-        missing = {k: v for k, v in candidates.items() if k not in self._sizes}
-        self._sizes.update(probe_rows(missing))
+        """Count every candidate not yet sized, together with the spine's dimensions, in one job."""
+        candidates = {"departments": self._departments, "entities": self.entities, **candidates}
+        scalars = {"account_map": account_map_size(self.catalog, self.spec.spine, self._departments)}
+        self._sizes.update(probe_rows({k: v for k, v in candidates.items() if k not in self._sizes},
+                                      {k: v for k, v in scalars.items() if k not in self._sizes}))
 
     def _sized(self, name: str, frame: DataFrame) -> Sized:
         return hinted(frame, self._sizes[name], self.spec.max_broadcast_rows)
 
     def account_map(self) -> Sized:
-        self._probe({"account_map": self._account_map})
-        return self._sized("account_map", self._account_map)
+        """(account_id, entity_id), broadcast when its counted size is under the bound."""
+        if self._account_map is None:
+            self._probe({})
+            departments = self._sized("departments", self._departments).frame
+            self._account_map = self._sized("account_map", account_map(self.catalog, self.spec.spine, departments))
+        return self._account_map
 
     def _types(self, source: Source, values: list[str]) -> dict[str, bool]:
         todo = [v for v in dict.fromkeys(values) if (source.name, v) not in self._integral]
@@ -173,7 +183,7 @@ class Measure:
 
     # -- the wide frame ----------------------------------------------------------------
 
-    def wide(self, metrics: list[Metric], base: DataFrame, runs: int = 1) -> DataFrame:
+    def wide(self, metrics: list[Metric], runs: int = 1) -> DataFrame:
         """One row per entity of ``base`` (entity_id, entity_name): entity_id, entity_name and
         one nullable bigint column per measured metric.  With ``runs > 1``, one row per entity
         and run, with the run offset in ``_run`` (the daily window moved that many days back).
@@ -183,6 +193,7 @@ class Measure:
         a sort-based aggregate that sorts every deduplicated row on the map side), and the
         names come from the size-checked entity base joined to the per-entity result.
         """
+        base = self.entities
         carry = [RUN] if runs > 1 else []
         if runs > 1:
             base_rows = base.selectExpr("*", f"explode(sequence(0, {runs - 1})) AS {RUN}")
@@ -215,11 +226,10 @@ class Measure:
                 leaves[name] = rows
         parents = {m.key: self._parent(m, runs) for _, m in pairs}
 
-        candidates = {"account_map": self._account_map, "entities": base}
-        candidates.update({f"leaf:{n}:{runs}": f for n, f in leaves.items()})
+        candidates = {f"leaf:{n}:{runs}": f for n, f in leaves.items()}
         candidates.update({f"parent:{k}:{runs}": f for k, f in parents.items()})
         self._probe(candidates)
-        amap = self._sized("account_map", self._account_map).frame
+        amap = self.account_map().frame
 
         parts = []
         if direct or leaves:

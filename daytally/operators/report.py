@@ -15,7 +15,7 @@ from ..functions.columns import q, row_sum, zero, zero_filled
 from ..functions.window import day_label, label
 from ..sources.catalog import Catalog
 from .measure import RUN, Measure, scan_window
-from .spine import account_map, build_spine, entities
+from .spine import build_spine
 from .specs import CONSTANT, Metric, ReportSpec
 
 # Fixed values of the original summary's total row.
@@ -39,19 +39,16 @@ class DailyReport:
             self._spine = build_spine(self.catalog, self.spec.spine, self.spec.allow)
         return self._spine
 
-    def entities(self) -> DataFrame:
-        return entities(self.catalog, self.spec.spine, self.spec.allow)
-
     def measure(self) -> Measure:
         if self._measure is None:
-            self._measure = Measure(self.catalog, self.spec, account_map(self.spine()))
+            self._measure = Measure(self.catalog, self.spec)
         return self._measure
 
     def wide(self, metrics: list[Metric] | None = None, runs: int = 1) -> DataFrame:
         """entity_id, entity_name and one zero-filled bigint column per metric (plus ``_run``
         when several daily runs are measured together)."""
         metrics = list(self.spec.metrics if metrics is None else metrics)
-        out = self.measure().wide(metrics, self.entities(), runs)
+        out = self.measure().wide(metrics, runs)
         cols = [f"CAST({m.constant} AS BIGINT) AS {q(m.column)}" if m.measure == CONSTANT
                 else f"{zero(m.column)} AS {q(m.column)}" for m in metrics]
         return out.selectExpr("entity_id", "entity_name", *([RUN] if runs > 1 else []), *cols)
@@ -76,7 +73,7 @@ class DailyReport:
         m = self.spec.metric(key)
         df = self.wide([m])
         if m.account_filter == "where":
-            has_account = account_map(self.spine()).select("entity_id")
+            has_account = self.measure().account_map().frame.select("entity_id")
             df = df.join(has_account, "entity_id", "left_semi")
         return self._named(df, fill_name=False)
 

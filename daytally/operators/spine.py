@@ -1,9 +1,14 @@
 """The entity → account spine.
 
-``entity ⟕ bridge ⟕ account(dummy = 0)``: one row per (entity, real account), and one
-row with a NULL account for an allow-listed entity that has none.  The spine is never
-deduplicated: a repeated bridge row repeats the account, and pair counts depend on that
-multiplicity exactly as the original left-join chain does.
+``entity ⟕ bridge ⟕ account(dummy = 0)``: one row per (entity, real account), and a row
+with a NULL account for a bridge row (or entity) without a real account.  The spine is
+never deduplicated: a repeated bridge row repeats the account, and pair counts depend on
+that multiplicity exactly as the original left-join chain does.
+
+The metrics only need its inner part, the account map ``account → entity``.  That is
+built as ``real accounts ⋈ department map`` with the (small, size-checked) department map
+broadcast, so the large account table streams instead of being shuffled; the full left
+chain is built only for the ``spine_active_accounts`` output.
 """
 
 from __future__ import annotations
@@ -51,6 +56,39 @@ def build_spine(catalog: Catalog, spec: SpineSpec, allow: tuple[int, ...] | None
     return joined.join(acc, cond, "left").select("entity_id", "entity_name", "account_id")
 
 
-def account_map(spine: DataFrame) -> DataFrame:
-    """(account_id, entity_id) pairs that can receive activity."""
-    return spine.where(F.col("account_id").isNotNull()).select("account_id", "entity_id")
+def department_map(catalog: Catalog, spec: SpineSpec, allow: tuple[int, ...] | None) -> DataFrame:
+    """(b_key0.., entity_id): the bridge rows of the allow-listed entities (a small dimension)."""
+    ent = entities(catalog, spec, allow).select("entity_id")
+    br = bridge(catalog, spec)
+    return br.join(ent, br.b_entity == ent.entity_id).drop("b_entity")
+
+
+def _key_match(acc: DataFrame, departments: DataFrame, n: int):
+    cond = None
+    for i in range(n):
+        c = acc[f"a_key{i}"] == departments[f"b_key{i}"]
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def account_map_size(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> DataFrame:
+    """One row, column ``n``: how many rows :func:`account_map` will have, without building
+    it – real accounts counted per department key (a map-side partial aggregate, so at most
+    one row per key leaves each task), matched to the department map and summed."""
+    acc = real_accounts(catalog, spec)
+    keys = [f"a_key{i}" for i in range(len(spec.account_keys))]
+    per_key = acc.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+    matched = per_key.join(departments, _key_match(per_key, departments, len(keys)))
+    return matched.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
+
+
+def account_map(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> DataFrame:
+    """(account_id, entity_id) for every real account of an allow-listed entity.
+
+    The inner part of the spine: a repeated bridge row repeats the account, as in the chain.
+    ``departments`` comes size-checked from the caller, so the large account table streams
+    past a broadcast department map instead of being shuffled.
+    """
+    acc = real_accounts(catalog, spec)
+    return acc.join(departments, _key_match(acc, departments, len(spec.account_keys))).select(
+        "account_id", "entity_id")
