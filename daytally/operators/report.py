@@ -1,8 +1,8 @@
 """Report frames built from one measurement plan.
 
-Every output is ``entities ⟕ wide`` with the report's fill rule (a missing count is 0, a
-missing entity name is ``'0'``).  The entity base is the allow-listed entity table, which
-bounds every output: one row per entity, so ordering and serial numbers after the
+Every output has one row per allow-listed entity (see :class:`~.measure.Measure`), with the
+report's fill rule: a missing count is 0, a missing entity name is ``'0'``.  The entity
+dimension therefore bounds every output, so ordering and serial numbers after the
 aggregation move only that many rows.
 """
 
