@@ -82,7 +82,7 @@ def scan_window(catalog: Catalog, spec: ReportSpec, source: Source, runs: int =
     latest day) – a bounded fan-out, one copy for most rows."""
     window = spec.window_of(source)
     span = window.widened(runs)
-    df = catalog.table(source.table)
+    df = catalog.scan(source.table, source.time, span.start, span.end)
     if source.date_partition:
         df = df.where(span.partition_days_sql(source.date_partition))
     df = df.where(span.contains_sql(source.time))

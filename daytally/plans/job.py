@@ -47,6 +47,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--cut-hour", type=int, default=CUT_HOUR)
     ap.add_argument("--lookback-days", type=int, default=1)
     ap.add_argument("--allow", help="comma-separated entity ids; default: the original allow-list")
+    ap.add_argument("--jdbc-time-slices", type=int, default=16,
+                    help="JDBC only: parallel time-range queries per windowed fact table")
     args = ap.parse_args(argv)
     allow = tuple(int(x) for x in args.allow.split(",") if x.strip()) if args.allow is not None \
         else reference_schema.ALLOW_LIST
@@ -55,7 +57,7 @@ def main(argv: list[str] | None = None) -> None:
     window = ReportWindow.closing_on(day, args.cut_hour, timedelta(days=args.lookback_days))
     spark: SparkSession = get_session()
     catalog = (Catalog.parquet_dir(spark, args.tables) if args.tables
-               else Catalog(spark, jdbc=JdbcConfig.mysql_from_env()))
+               else Catalog(spark, jdbc=JdbcConfig.mysql_from_env(time_slices=args.jdbc_time_slices)))
     run_daily(DailyReport(catalog, reference_schema.report_spec(window, allow=allow)), args.out)
 
 

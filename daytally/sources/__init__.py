@@ -1,5 +1,6 @@
 from .catalog import Catalog
-from .jdbc import JdbcConfig, Partitioning, jdbc_options, read_jdbc
+from .jdbc import JdbcConfig, Partitioning, jdbc_options, read_jdbc, read_jdbc_window, time_slice_predicates
 from .sinks import write_partitioned
 
-__all__ = ["Catalog", "JdbcConfig", "Partitioning", "jdbc_options", "read_jdbc", "write_partitioned"]
+__all__ = ["Catalog", "JdbcConfig", "Partitioning", "jdbc_options", "read_jdbc", "read_jdbc_window",
+           "time_slice_predicates", "write_partitioned"]

@@ -11,11 +11,12 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from .jdbc import JdbcConfig, read_jdbc
+from .jdbc import JdbcConfig, read_jdbc, read_jdbc_window
 
 
 @dataclass
@@ -61,6 +62,15 @@ class Catalog:
                 self._loaded[name] = reader.load(self.path(name))
         return self._loaded[name]
 
+    def scan(self, name: str, time_col: str, start: datetime, end: datetime) -> DataFrame:
+        """The table for a windowed read.  Files: the table itself (the caller's window filter
+        is pushed to the scan).  JDBC with ``time_slices``: parallel time-range queries that
+        cover ``[start, end]``; the caller still applies the exact window."""
+        if (name not in self.frames and name not in self.paths and self.root is None
+                and self.jdbc is not None and self.jdbc.time_slices > 0):
+            return read_jdbc_window(self.spark, self.jdbc, name, time_col, start, end)
+        return self.table(name)
+
     def register_views(self, names: list[str]) -> None:
         for name in names:
             self.table(name).createOrReplaceTempView(name)

@@ -2,7 +2,8 @@
 
 Only the scan is delegated to the database: Spark pushes the column list and the simple
 predicates (window bounds, flags) into the generated ``SELECT``, and reads fact tables in
-parallel ranges of a numeric column.  The aggregation itself stays in Spark, so the
+parallel: by ranges of a numeric column, or – for windowed facts – by time slices of the
+report window, one query per slice.  The aggregation itself stays in Spark, so the
 database is never asked to run the whole report.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,7 @@ class JdbcConfig:
     fetch_size: int = 10_000
     connect_timeout_s: int = 20
     partitioning: dict[str, Partitioning] = field(default_factory=dict)
+    time_slices: int = 0   # > 0: read a windowed table as this many parallel time-range queries
 
     @classmethod
     def mysql_from_env(cls, prefix: str = "DB_", **kw) -> "JdbcConfig":
@@ -71,3 +74,26 @@ def jdbc_options(cfg: JdbcConfig, table: str) -> dict[str, str]:
 
 def read_jdbc(spark: SparkSession, cfg: JdbcConfig, table: str) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(cfg, table)).load()
+
+
+def time_slice_predicates(column: str, start: datetime, end: datetime, slices: int) -> list[str]:
+    """``slices`` disjoint predicates covering the closed range ``[start, end]`` exactly once
+    (half-open slices, the last one closed), as database-side SQL text."""
+    step = (end - start) / slices
+    fmt = "%Y-%m-%d %H:%M:%S.%f"
+    cuts = [start + step * i for i in range(slices)] + [end]
+    preds = []
+    for i in range(slices):
+        upper = "<=" if i == slices - 1 else "<"
+        preds.append(f"{column} >= '{cuts[i].strftime(fmt)}' AND {column} {upper} '{cuts[i + 1].strftime(fmt)}'")
+    return preds
+
+
+def read_jdbc_window(spark: SparkSession, cfg: JdbcConfig, table: str, column: str,
+                     start: datetime, end: datetime) -> DataFrame:
+    """A windowed table read as ``cfg.time_slices`` parallel queries, one per time slice; each
+    query carries its slice predicate (and Spark's pushed filters) to the database."""
+    opts = {k: v for k, v in jdbc_options(cfg, table).items()
+            if k not in ("url", "dbtable", "partitionColumn", "lowerBound", "upperBound", "numPartitions")}
+    return spark.read.jdbc(cfg.url, table, predicates=time_slice_predicates(column, start, end, cfg.time_slices),
+                           properties=opts)

@@ -51,3 +51,17 @@ def test_cli_on_original_schema_exports(spark, scratch_dir):
     assert by_id["1"]["total"] == 11 and by_id["2"]["total"] == 8 and by_id["-"]["total"] == 20
     detail = spark.read.parquet(f"{out}/detail")
     assert detail.count() == 6 and {r.report_date for r in detail.collect()} == {date(2024, 1, 2)}
+
+
+def test_jdbc_time_slices_cover_the_closed_window_once():
+    from datetime import datetime
+
+    from daytally.sources.jdbc import time_slice_predicates
+
+    preds = time_slice_predicates("created_at", datetime(2024, 1, 1, 8), datetime(2024, 1, 2, 8), 4)
+    assert preds == [
+        "created_at >= '2024-01-01 08:00:00.000000' AND created_at < '2024-01-01 14:00:00.000000'",
+        "created_at >= '2024-01-01 14:00:00.000000' AND created_at < '2024-01-01 20:00:00.000000'",
+        "created_at >= '2024-01-01 20:00:00.000000' AND created_at < '2024-01-02 02:00:00.000000'",
+        "created_at >= '2024-01-02 02:00:00.000000' AND created_at <= '2024-01-02 08:00:00.000000'",
+    ]
