@@ -7,9 +7,13 @@ structs, so a row can feed several metrics), keep the account id and the counted
 Then, for all sources together:
 
 * join the account → entity map once (broadcast after a row count, shuffled above it);
-* ``dropDuplicates(entity, metric, value)`` – exact ``COUNT(DISTINCT)``; the shuffle is
-  hashed on the value too, so one entity holding most of the activity still spreads over
-  all partitions, and the partial aggregate drops repeats before the shuffle;
+* ``groupBy(entity, metric, value).count()`` – exact ``COUNT(DISTINCT)`` as the number of
+  groups; the shuffle is hashed on the value too, so one entity holding most of the
+  activity still spreads over all partitions, and the partial aggregate drops repeats
+  before the shuffle.  A metric that counts its source's primary key, over an account map
+  that reaches each entity once (checked by the size probe), gets a NULL value instead:
+  its rows collapse map-side into one row per (entity, metric) and task, and the count
+  is summed – no fact row crosses the network;
 * one ``groupBy(entity)`` with a conditional sum per metric (partial aggregation on the
   map side, so each task ships at most one row per entity) – no ``Expand``, however many
   distinct metrics there are.
@@ -40,10 +44,12 @@ def _struct(fields: list[tuple[str, str]]) -> str:
 
 
 def _tagged(src_df: DataFrame, metrics: list[tuple[int, Metric]], link: str,
-            key_cols: tuple[bool, bool], integral: dict[str, bool], carry: list[str]) -> DataFrame:
+            key_cols: tuple[bool, bool], integral: dict[str, bool], carry: list[str],
+            counted: frozenset[int] = frozenset()) -> DataFrame:
     """Rows (link, m, [k_num], [k_str]) – one per (source row, matching metric).
 
-    The projection is written as one SQL expression per output so the plan is built with a
+    Metrics in ``counted`` get NULL keys: their rows are counted, not deduplicated.  The
+    projection is written as one SQL expression per output so the plan is built with a
     handful of calls, however many metrics share the source.
     """
     want_num, want_str = key_cols
@@ -51,11 +57,13 @@ def _tagged(src_df: DataFrame, metrics: list[tuple[int, Metric]], link: str,
     for mid, m in metrics:
         v = f"({m.value})"
         is_int = integral[m.value]
+        keyless = mid in counted
         fields = [("m", str(mid))]
         if want_num:
-            fields.append(("k_num", f"CAST({v} AS BIGINT)" if is_int else "CAST(NULL AS BIGINT)"))
+            fields.append(("k_num", f"CAST({v} AS BIGINT)" if is_int and not keyless else "CAST(NULL AS BIGINT)"))
         if want_str:
-            fields.append(("k_str", "CAST(NULL AS STRING)" if is_int else f"CAST({v} AS STRING)"))
+            fields.append(("k_str", f"CAST({v} AS STRING)" if not is_int and not keyless
+                           else "CAST(NULL AS STRING)"))
         cond = " AND ".join(([f"({m.where})"] if m.where else []) + [f"{v} IS NOT NULL"])
         entries.append((cond, fields))
 
@@ -107,7 +115,9 @@ class Measure:
 
     def _probe(self, candidates: dict[str, DataFrame]) -> None:
         """Count every candidate not yet sized, together with the spine's dimensions, in one job."""
-        candidates = {"departments": self._departments, "entities": self.entities, **candidates}
+        keys = [c for c in self._departments.columns if c.startswith("b_key")]
+        candidates = {"departments": self._departments, "entities": self.entities,
+                      "department_keys": self._departments.select(*keys).distinct(), **candidates}
         scalars = {"account_map": account_map_size(self.catalog, self.spec.spine, self._departments)}
         self._sizes.update(probe_rows({k: v for k, v in candidates.items() if k not in self._sizes},
                                       {k: v for k, v in scalars.items() if k not in self._sizes}))
@@ -115,6 +125,11 @@ class Measure:
     def _sized(self, name: str, frame: DataFrame) -> Sized:
         return hinted(frame, self._sizes[name], self.spec.max_broadcast_rows)
 
+    def account_map_is_function(self) -> bool:
+        """Each account reaches at most one entity row: no department key repeats."""
+        self._probe({})
+        return self._sizes["departments"] == self._sizes["department_keys"]
+
     def account_map(self) -> Sized:
         """(account_id, entity_id), broadcast when its counted size is under the bound."""
         if self._account_map is None:
@@ -214,16 +229,12 @@ class Measure:
         flags = [v for types in integral.values() for v in types.values()]
         key_cols = (any(flags), not all(flags))
 
-        direct, leaves = [], {}
+        leaves = {}
         for name, group in by_source.items():
             source = self.spec.source_by_name[name]
-            link = source.account if source.header is None else source.header.link
-            scan = scan_window(self.catalog, self.spec, source, runs)
-            rows = _tagged(scan, group, link, key_cols, integral[name], carry)
-            if source.header is None:
-                direct.append(rows)
-            else:
-                leaves[name] = rows
+            if source.header is not None:
+                scan = scan_window(self.catalog, self.spec, source, runs)
+                leaves[name] = _tagged(scan, group, source.header.link, key_cols, integral[name], carry)
         parents = {m.key: self._parent(m, runs) for _, m in pairs}
 
         candidates = {f"leaf:{n}:{runs}": f for n, f in leaves.items()}
@@ -231,6 +242,19 @@ class Measure:
         self._probe(candidates)
         amap = self.account_map().frame
 
+        # COUNT(DISTINCT primary key) over rows that reach one entity once is a row count:
+        # those metrics skip deduplication (NULL keys), so their rows collapse in the
+        # map-side partial aggregate instead of crossing the network one by one.
+        functional = self.account_map_is_function()
+        counted = frozenset(mid for mid, m in distinct if m.value_unique and functional
+                            and self.spec.source_by_name[m.source].header is None)
+        direct = []
+        for name, group in by_source.items():
+            source = self.spec.source_by_name[name]
+            if source.header is None:
+                scan = scan_window(self.catalog, self.spec, source, runs)
+                direct.append(_tagged(scan, group, source.account, key_cols, integral[name], carry, counted))
+
         parts = []
         if direct or leaves:
             entity_rows = []
@@ -241,7 +265,12 @@ class Measure:
                 sized = self._sized(f"leaf:{name}:{runs}", leaf)
                 entity_rows.append(self._through_header(self.spec.source_by_name[name], sized, amap, runs))
             rows = reduce(DataFrame.unionByName, entity_rows)
-            parts.append(rows.dropDuplicates().selectExpr("entity_id", *carry, "m", "CAST(1 AS BIGINT) AS v"))
+            # One row per distinct (entity, [run], metric, key) with its multiplicity ``c``: a
+            # distinct metric counts groups (v = 1), a counted metric sums ``c``.
+            groups = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("c"))
+            v = (f"CASE WHEN m IN ({', '.join(map(str, sorted(counted)))}) THEN c ELSE CAST(1 AS BIGINT) END"
+                 if counted else "CAST(1 AS BIGINT)")
+            parts.append(groups.selectExpr("entity_id", *carry, "m", f"{v} AS v"))
         for i, m in pairs:
             parts.append(self._pair_rows(i, m, self._sized(f"parent:{m.key}:{runs}", parents[m.key]), amap, carry))
         long = reduce(DataFrame.unionByName, parts).selectExpr("entity_id", *carry, "m", "v")

@@ -74,7 +74,9 @@ def metrics() -> tuple[Metric, ...]:
     for key, module, column in ((k, MODULE_OF[k], COLUMN_OF[k]) for k in MODULE_OF):
         if key in _DISTINCT:
             source, value, where, placement = _DISTINCT[key]
-            out.append(Metric(key, module, column, source, value=value, where=where, account_filter=placement))
+            # ``id`` is each fact table's primary key; ``question_id`` is not.
+            out.append(Metric(key, module, column, source, value=value, where=where, account_filter=placement,
+                              value_unique=value == "id"))
         elif key == "metric_analyse":
             out.append(Metric(key, module, column, measure=CONSTANT, constant=0))
         elif key == "metric_remediate":

@@ -9,6 +9,7 @@ from the same declarations (the original job's shape).
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 from datetime import date, timedelta
 
 import duckdb
@@ -31,7 +32,7 @@ def _columns(ddl: str) -> list[tuple[str, str]]:
     return [tuple(part.strip().split(" ", 1)) for part in ddl.split(",")]
 
 
-def _tables(seed: int) -> dict[str, list[tuple]]:
+def _tables(seed: int, unique_ids: bool, repeat_bridge: bool) -> dict[str, list[tuple]]:
     rnd = random.Random(seed)
     lo, hi = WINDOW.start, WINDOW.end
 
@@ -51,7 +52,8 @@ def _tables(seed: int) -> dict[str, list[tuple]]:
 
     colleges = [(i, None if rnd.random() < 0.15 else f"C{i}") for i in range(1, 8)]
     depts = [(10 + i, rnd.randint(1, 8)) for i in range(12)]
-    depts += rnd.sample(depts, 2)  # repeated bridge rows
+    if repeat_bridge:
+        depts += rnd.sample(depts, 2)  # repeated bridge rows: accounts reach an entity twice
     dept_ids = [d for d, _ in depts] + [99]
     accounts = [(100 + i, rnd.choice(dept_ids), rnd.choice([0, 0, 0, 1, None])) for i in range(30)]
     acc_ids = [a for a, _, _ in accounts] + [None, 999]
@@ -71,10 +73,14 @@ def _tables(seed: int) -> dict[str, list[tuple]]:
             continue
         cols = _columns(ddl)
         rows = []
-        for _ in range(rnd.randint(40, 120)):
+        n = rnd.randint(40, 120)
+        pk = rnd.sample(range(1, 10 * n), n)  # a primary key: unique ids
+        for r in range(n):
             row = []
             for col, typ in cols:
-                if col in ("college_account_id", "faculty_id"):
+                if col == "id" and unique_ids and name != "questionnaire_remedial_path":
+                    row.append(pk[r])
+                elif col in ("college_account_id", "faculty_id"):
                     row.append(rnd.choice(acc_ids))
                 elif col == "college_account_co_pilot_search_id":
                     row.append(rnd.choice([h for h, _ in headers] + [None]))
@@ -134,9 +140,13 @@ def _oracle_statements(spec) -> dict[str, str]:
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3, 4, 5])
-def test_engine_equals_per_metric_sql(spark, seed):
-    tables = _tables(seed)
+@pytest.mark.parametrize("seed,declared,repeat_bridge", [
+    (1, True, False), (2, True, False),   # primary keys + functional account map: rows are counted
+    (3, True, True),                      # repeated bridge rows: the probe refuses the shortcut
+    (4, False, True), (5, False, False),  # ids repeat, nothing declared: deduplicated
+])
+def test_engine_equals_per_metric_sql(spark, seed, declared, repeat_bridge):
+    tables = _tables(seed, unique_ids=declared, repeat_bridge=repeat_bridge)
     con = duckdb.connect()
     frames = {}
     for name, ddl in SCHEMAS.items():
@@ -146,7 +156,10 @@ def test_engine_equals_per_metric_sql(spark, seed):
         con.register(name, arrow)
         frames[name] = spark.createDataFrame(rows, ddl)
     spec = reference_schema.report_spec(WINDOW, allow=ALLOW)
+    if not declared:
+        spec = replace(spec, metrics=tuple(replace(m, value_unique=False) for m in spec.metrics))
     report = DailyReport(Catalog.in_memory(spark, frames), spec)
+    assert report.measure().account_map_is_function() == (not repeat_bridge)
 
     expected: dict[str, dict[int, int]] = {}
     for key, sql in _oracle_statements(spec).items():
