@@ -88,29 +88,39 @@ class DailyReport:
         df = self._named(df, fill_name=True)
         return df.select("s_no", self.spec.id_col, self.spec.name_col, *cols, self.spec.usage_col)
 
-    def backfill_detail(self, runs: int) -> DataFrame:
+    def backfill_detail(self, runs: int, wide: DataFrame | None = None) -> DataFrame:
         """The detail table of ``runs`` consecutive daily reports (the latest is the report's own
         day), measured in one pass: each fact row is scanned once and counted in every run
         whose closed window holds it.  Each day equals the daily job run for that day.
         ``report_date`` is the ISO day text (the same in every engine's client)."""
-        if runs < 1:
-            raise ValueError("runs must be >= 1")
-        wide = self.wide(runs=runs)
-        if runs == 1:
-            wide = wide.selectExpr("*", f"0 AS {RUN}")
+        wide = self._runs_wide(runs, wide)
         cols = [m.column for m in self.spec.metrics]
-        day = self.spec.window.report_date.isoformat()
         df = wide.selectExpr(
-            f"CAST(date_sub(DATE '{day}', {RUN}) AS STRING) AS report_date",  # ISO yyyy-MM-dd
+            f"{self._report_date_sql()} AS report_date",
             f"CAST(row_number() OVER (PARTITION BY {RUN} ORDER BY entity_id) AS BIGINT) AS s_no",
             "entity_id", "entity_name", *zero_filled(cols), f"{row_sum(cols)} AS {q(self.spec.usage_col)}")
         df = self._named(df, fill_name=True)
         return df.select("report_date", "s_no", self.spec.id_col, self.spec.name_col, *cols, self.spec.usage_col)
 
+    def _runs_wide(self, runs: int, wide: DataFrame | None) -> DataFrame:
+        if runs < 1:
+            raise ValueError("runs must be >= 1")
+        wide = self.wide(runs=runs) if wide is None else wide
+        return wide if RUN in wide.columns else wide.selectExpr("*", f"0 AS {RUN}")
+
+    def _report_date_sql(self) -> str:
+        """ISO text (yyyy-MM-dd) of the run's report day: the report day moved ``_run`` days back."""
+        return f"CAST(date_sub(DATE '{self.spec.window.report_date.isoformat()}', {RUN}) AS STRING)"
+
+    def backfill_summary(self, runs: int, wide: DataFrame | None = None) -> DataFrame:
+        """The summary (ranked rows and a total row) of each of ``runs`` daily reports, in one pass."""
+        wide = self._runs_wide(runs, wide)
+        return self._summary(self._module_totals(wide), runs=runs)
+
     def _module_totals(self, wide: DataFrame) -> DataFrame:
         totals = [f"{row_sum([m.column for m in self.spec.module_metrics(mod)])} AS {q(mod)}"
                   for mod in self.spec.modules]
-        df = wide.selectExpr("entity_id", "entity_name", *totals)
+        df = wide.selectExpr("entity_id", "entity_name", *([RUN] if RUN in wide.columns else []), *totals)
         return df.selectExpr("*", f"{row_sum(list(self.spec.modules))} AS total")
 
     def summary_ranked(self, wide: DataFrame | None = None) -> DataFrame:
@@ -132,23 +142,32 @@ class DailyReport:
         a total row of zeros, as the original's column sums over an empty frame do.
         """
         wide = self.wide() if wide is None else wide
-        totals = self._module_totals(wide)
+        return self._summary(self._module_totals(wide), runs=None)
+
+    def _summary(self, totals: DataFrame, runs: int | None) -> DataFrame:
+        """Ranked rows + total row; per run (window partitioned by run) when ``runs`` is given."""
         value_cols = list(self.spec.modules) + ["total"]
         id_type = totals.schema["entity_id"].dataType.simpleString()
+        run_seed = [f"explode(sequence(0, {runs - 1})) AS {RUN}"] if runs else []
         seed = totals.sparkSession.range(1).selectExpr(
-            f"CAST(NULL AS {id_type}) AS entity_id", "CAST(NULL AS STRING) AS entity_name",
+            f"CAST(NULL AS {id_type}) AS entity_id", "CAST(NULL AS STRING) AS entity_name", *run_seed,
             *[f"CAST(0 AS BIGINT) AS {q(c)}" for c in value_cols], "true AS _seed")
         rows = totals.selectExpr("*", "false AS _seed").unionByName(seed)
+        part = f"PARTITION BY {RUN} " if runs else ""
         ranked = rows.selectExpr(
-            "*", "CAST(row_number() OVER (ORDER BY _seed, total DESC, entity_id ASC) AS BIGINT) AS _rank",
-            *[f"sum({q(c)}) OVER () AS {q('_sum_' + c)}" for c in value_cols])
+            "*", f"CAST(row_number() OVER ({part}ORDER BY _seed, total DESC, entity_id ASC) AS BIGINT) AS _rank",
+            *[f"sum({q(c)}) OVER ({part.strip()}) AS {q('_sum_' + c)}" for c in value_cols])
         idc, namec = q(self.spec.id_col), q(self.spec.name_col)
         out = ranked.selectExpr(
+            *([f"{self._report_date_sql()} AS report_date", RUN] if runs else []),
             f"CASE WHEN _seed THEN '{TOTAL_SNO}' ELSE CAST(_rank AS STRING) END AS s_no",
             f"CASE WHEN _seed THEN '{TOTAL_ID}' ELSE CAST(entity_id AS STRING) END AS {idc}",
             f"CASE WHEN _seed THEN '{TOTAL_NAME}' ELSE coalesce(entity_name, '{MISSING_NAME}') END AS {namec}",
             *[f"CASE WHEN _seed THEN CAST({q('_sum_' + c)} AS BIGINT) ELSE {q(c)} END AS {q(c)}" for c in value_cols],
             "_rank")
+        if runs:
+            # Each run's rows sit in the window's partition for that run: order them locally.
+            return out.sortWithinPartitions(RUN, "_rank").drop(RUN, "_rank")
         # Already one partition (the window's); order it locally, no range shuffle.
         return out.sortWithinPartitions("_rank").drop("_rank")
 

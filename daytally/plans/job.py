@@ -8,7 +8,7 @@ write does not re-run the fact scans.
 Command line (original schema, Parquet exports or JDBC)::
 
     python -m daytally.plans.job --tables s3a://bucket/exports --out s3a://bucket/reports \\
-        [--report-date 2024-01-16] [--cut-hour 8] [--allow 9,21,27]
+        [--report-date 2024-01-16] [--cut-hour 8] [--allow 9,21,27] [--backfill-days 30]
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from ..operators.report import DailyReport
 from ..session import ensure_checkpoint_dir, get_session
 from ..sources.catalog import Catalog
 from ..sources.jdbc import JdbcConfig
-from ..sources.sinks import write_partitioned
+from ..sources.sinks import DETAIL_ORDER, SUMMARY_ORDER, write_partitioned
 from . import reference_schema
 
 
@@ -34,8 +34,21 @@ def run_daily(report: DailyReport, out_dir: str, *, report_date: date | None = N
     day = report_date or report.spec.window.report_date
     wide = report.wide().checkpoint(eager=True)
     paths = {"detail": f"{out_dir}/detail", "summary": f"{out_dir}/summary"}
-    write_partitioned(report.detail(wide), paths["detail"], day)
-    write_partitioned(report.summary(wide), paths["summary"], day)
+    write_partitioned(report.detail(wide), paths["detail"], day, order_by=DETAIL_ORDER)
+    write_partitioned(report.summary(wide), paths["summary"], day, order_by=SUMMARY_ORDER)
+    return paths
+
+
+def run_backfill(report: DailyReport, out_dir: str, days: int, *,
+                 local_checkpoint_fallback: bool = False) -> dict[str, str]:
+    """The daily job for ``days`` consecutive report days (the latest is the report's own day),
+    measured in one pass over the facts; each day lands in (and replaces) its own partition."""
+    spark = report.catalog.spark
+    ensure_checkpoint_dir(spark, local_fallback=local_checkpoint_fallback)
+    wide = report.wide(runs=days).checkpoint(eager=True)
+    paths = {"detail": f"{out_dir}/detail", "summary": f"{out_dir}/summary"}
+    write_partitioned(report.backfill_detail(days, wide), paths["detail"], order_by=DETAIL_ORDER)
+    write_partitioned(report.backfill_summary(days, wide), paths["summary"], order_by=SUMMARY_ORDER)
     return paths
 
 
@@ -47,6 +60,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--cut-hour", type=int, default=CUT_HOUR)
     ap.add_argument("--lookback-days", type=int, default=1)
     ap.add_argument("--allow", help="comma-separated entity ids; default: the original allow-list")
+    ap.add_argument("--backfill-days", type=int, default=1,
+                    help="write this many consecutive report days ending at --report-date, in one pass")
     ap.add_argument("--jdbc-time-slices", type=int, default=16,
                     help="JDBC only: parallel time-range queries per windowed fact table")
     args = ap.parse_args(argv)
@@ -58,7 +73,11 @@ def main(argv: list[str] | None = None) -> None:
     spark: SparkSession = get_session()
     catalog = (Catalog.parquet_dir(spark, args.tables) if args.tables
                else Catalog(spark, jdbc=JdbcConfig.mysql_from_env(time_slices=args.jdbc_time_slices)))
-    run_daily(DailyReport(catalog, reference_schema.report_spec(window, allow=allow)), args.out)
+    report = DailyReport(catalog, reference_schema.report_spec(window, allow=allow))
+    if args.backfill_days > 1:
+        run_backfill(report, args.out, args.backfill_days)
+    else:
+        run_daily(report, args.out)
 
 
 if __name__ == "__main__":

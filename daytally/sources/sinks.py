@@ -12,17 +12,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, report_date: date, *, fmt: str = "parquet",
-                      partition_col: str = "report_date") -> None:
+def write_partitioned(df: DataFrame, path: str, report_date: date | None = None, *, fmt: str = "parquet",
+                      partition_col: str = "report_date", order_by: list[str] | None = None) -> None:
+    """Write ``df`` under ``path`` partitioned by report day, replacing only the days written.
+
+    With ``report_date`` every row belongs to that day; without it ``df`` carries the day in
+    ``partition_col`` (ISO text or DATE), as a backfill does.  Each day is one file, its
+    rows in the order of the SQL expressions ``order_by``.
+    """
     spark = df.sparkSession
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    day = F.lit(report_date.isoformat()) if report_date is not None else F.col(partition_col)
     try:
-        (df.withColumn(partition_col, F.lit(report_date.isoformat()).cast("date"))
-           .coalesce(1)  # a report day is one small file, not one per shuffle partition
+        (df.withColumn(partition_col, day.cast("date"))
+           .repartition(partition_col)  # one small file per report day, not one per shuffle partition
+           .sortWithinPartitions(partition_col, *[F.expr(e) for e in order_by or []])
            .write.mode("overwrite").partitionBy(partition_col).format(fmt).save(path))
     finally:
         if previous is None:
             spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
         else:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+
+
+# Row order of the two report tables inside a day's file.
+DETAIL_ORDER = ["s_no"]
+SUMMARY_ORDER = ["s_no = 'Total'", "try_cast(s_no AS BIGINT)"]

@@ -219,3 +219,13 @@ def test_entities_current_year_inner_chain(spark):
     got = reference_schema.entities_current_year(Catalog.in_memory(spark, frames)).collect()
     # Two mappings reach department 10 (college 1) in the current year: one row; 20 is last year; 99 has no department.
     assert [tuple(r) for r in got] == [(1, "Alpha", "2024-25")]
+
+
+def test_backfill_summary_equals_the_daily_summaries(spark, report):
+    back = report.backfill_summary(2).collect()
+    for k, day in enumerate((date(2024, 1, 2), date(2024, 1, 1))):
+        daily = DailyReport(_catalog(spark), reference_schema.report_spec(ReportWindow.closing_on(day), allow=ALLOW))
+        want = [r.asDict() for r in daily.summary().collect()]
+        got = [{key: v for key, v in r.asDict().items() if key != "report_date"}
+               for r in back if r["report_date"] == day.isoformat()]
+        assert got == want, day

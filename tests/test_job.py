@@ -65,3 +65,24 @@ def test_jdbc_time_slices_cover_the_closed_window_once():
         "created_at >= '2024-01-01 20:00:00.000000' AND created_at < '2024-01-02 02:00:00.000000'",
         "created_at >= '2024-01-02 02:00:00.000000' AND created_at <= '2024-01-02 08:00:00.000000'",
     ]
+
+
+def test_backfill_job_writes_each_day(spark, scratch_dir):
+    from daytally.plans.job import run_backfill
+
+    paths = run_backfill(fixture_report(spark, SF001), scratch_dir, 3)
+    detail = spark.read.parquet(paths["detail"])
+    summary = spark.read.parquet(paths["summary"])
+    days = {date(2024, 1, 16), date(2024, 1, 15), date(2024, 1, 14)}
+    assert {r.report_date for r in detail.select("report_date").distinct().collect()} == days
+    assert detail.count() == 3 * 23 and summary.count() == 3 * 24
+    # The newest day equals the daily job's numbers.
+    daily = {r["college_id"]: r["college_usage"] for r in fixture_report(spark, SF001).detail().collect()}
+    newest = {r["college_id"]: r["college_usage"] for r in detail.where("report_date = DATE'2024-01-16'").collect()}
+    assert newest == daily
+
+
+def test_written_summary_keeps_report_order(spark, scratch_dir):
+    paths = run_daily(fixture_report(spark, SF001), scratch_dir)
+    rows = spark.read.parquet(paths["summary"]).collect()  # one file for the day
+    assert [r["s_no"] for r in rows] == [str(i) for i in range(1, 24)] + ["Total"]
