@@ -215,7 +215,7 @@ def _window_audit() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _backfill_detail() -> str:
+def _backfill_wide() -> dict[str, str]:
     keys = [k for k, _, _ in METRIC_LAYOUT]
     ctes = {f"m{i}": _BACKFILL_STATEMENTS[k] for i, k in enumerate(keys)}
     frm = "FROM m0"
@@ -226,11 +226,43 @@ def _backfill_detail() -> str:
     filled = [f"COALESCE(m{i}.{_COLUMN[k]}, 0) AS {_COLUMN[k]}" for i, k in enumerate(keys)]
     ctes["wide"] = ("SELECT m0.k, m0.college_id, COALESCE(m0.college_name, '0') AS college_name, "
                     + ", ".join(filled) + "\n" + frm)
-    body = ("SELECT strftime(CAST(DATE '2024-01-16' - k AS DATE), '%Y-%m-%d') AS report_date, "
+    return ctes
+
+
+_RUN_DAY = "strftime(CAST(DATE '2024-01-16' - k AS DATE), '%Y-%m-%d')"
+
+
+def _with_runs(ctes: dict[str, str], body: str) -> str:
+    return "WITH " + ",\n".join([_DIMS, _RUNS_CTE] + [f"{n} AS (\n{q}\n)" for n, q in ctes.items()]) + "\n" + body
+
+
+def _backfill_detail() -> str:
+    ctes = _backfill_wide()
+    cols = [col for _, _, col in METRIC_LAYOUT]
+    body = (f"SELECT {_RUN_DAY} AS report_date, "
             "CAST(row_number() OVER (PARTITION BY k ORDER BY college_id) AS BIGINT) AS s_no, "
             f"college_id, college_name, {', '.join(cols)}, "
             f"CAST({' + '.join(cols)} AS BIGINT) AS college_usage\nFROM wide")
-    return "WITH " + ",\n".join([_DIMS, _RUNS_CTE] + [f"{n} AS (\n{q}\n)" for n, q in ctes.items()]) + "\n" + body
+    return _with_runs(ctes, body)
+
+
+def _backfill_summary() -> str:
+    ctes = _backfill_wide()
+    mods = [f'CAST({" + ".join(_COLUMN[k] for k in _module_keys(mod))} AS BIGINT) AS "{mod}"' for mod in MODULES]
+    ctes["modtot"] = "SELECT k, college_id, college_name, " + ", ".join(mods) + " FROM wide"
+    quoted = [f'"{m}"' for m in MODULES]
+    total = " + ".join(quoted)
+    ctes["ranked"] = (f"SELECT k, CAST(row_number() OVER (PARTITION BY k ORDER BY ({total}) DESC, college_id ASC) "
+                      f"AS BIGINT) AS s_no, college_id, college_name, {', '.join(quoted)}, "
+                      f"CAST({total} AS BIGINT) AS total FROM modtot")
+    vals = quoted + ['"total"']
+    body = (f"SELECT {_RUN_DAY} AS report_date, CAST(s_no AS VARCHAR) AS s_no, "
+            "CAST(college_id AS VARCHAR) AS college_id, college_name, " + ", ".join(vals) + " FROM ranked\n"
+            "UNION ALL\n"
+            f"SELECT {_RUN_DAY} AS report_date, 'Total' AS s_no, '-' AS college_id, 'Overall Total' AS college_name, "
+            + ", ".join(f"CAST(COALESCE(SUM({v}), 0) AS BIGINT) AS {v}" for v in vals)
+            + " FROM runs LEFT JOIN ranked USING (k) GROUP BY k")
+    return _with_runs(ctes, body)
 
 
 def _entities_current_year() -> str:
@@ -252,4 +284,5 @@ def oracle_sql() -> dict[str, str]:
     out["report_summary"] = _summary()
     out["entities_current_year"] = _entities_current_year()
     out["report_backfill"] = _backfill_detail()
+    out["report_backfill_summary"] = _backfill_summary()
     return out

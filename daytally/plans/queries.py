@@ -44,5 +44,6 @@ def queries() -> dict[str, Query]:
     out["report_summary_ranked"] = lambda spark, d: fixture_report(spark, d).summary_ranked()
     out["report_summary"] = lambda spark, d: fixture_report(spark, d).summary()
     out["report_backfill"] = lambda spark, d: fixture_report(spark, d).backfill_detail(BACKFILL_RUNS)
+    out["report_backfill_summary"] = lambda spark, d: fixture_report(spark, d).backfill_summary(BACKFILL_RUNS)
     out["entities_current_year"] = lambda spark, d: fixture.entities_current_year(fixture_catalog(spark, d))
     return out
