@@ -23,16 +23,17 @@ class Sized:
     broadcast: bool
 
 
-def probe_rows(frames: dict[str, DataFrame], scalars: dict[str, DataFrame] | None = None) -> dict[str, int]:
-    """Row counts of several frames (plus one-row frames that already hold a count in ``n``),
-    computed by a single job."""
-    scalars = scalars or {}
-    if not frames and not scalars:
+def probe_rows(frames: dict[str, DataFrame], values: list[DataFrame] | None = None) -> dict[str, int]:
+    """Row counts of several frames, plus ready-made one-row frames whose columns are named
+    counts, all computed by a single job."""
+    values = values or []
+    if not frames and not values:
         return {}
     parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("probe"), "n")
              for name, df in frames.items()]
-    parts += [df.select(F.lit(name).alias("probe"), F.col("n").cast("bigint").alias("n"))
-              for name, df in scalars.items()]
+    for df in values:
+        pairs = ", ".join(f"'{c}', CAST(`{c}` AS BIGINT)" for c in df.columns)
+        parts.append(df.selectExpr(f"stack({len(df.columns)}, {pairs}) AS (probe, n)"))
     return {r["probe"]: int(r["n"]) for r in reduce(DataFrame.unionByName, parts).collect()}
 
 

@@ -33,7 +33,7 @@ from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from ..sources.catalog import Catalog
 from .broadcast import Sized, hinted, probe_rows
-from .spine import account_map, account_map_size, department_map, entities
+from .spine import account_map, department_map, department_stats, entities
 from .specs import DISTINCT, PAIRS, Metric, ReportSpec, Source
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
@@ -115,12 +115,10 @@ class Measure:
 
     def _probe(self, candidates: dict[str, DataFrame]) -> None:
         """Count every candidate not yet sized, together with the spine's dimensions, in one job."""
-        keys = [c for c in self._departments.columns if c.startswith("b_key")]
-        candidates = {"departments": self._departments, "entities": self.entities,
-                      "department_keys": self._departments.select(*keys).distinct(), **candidates}
-        scalars = {"account_map": account_map_size(self.catalog, self.spec.spine, self._departments)}
-        self._sizes.update(probe_rows({k: v for k, v in candidates.items() if k not in self._sizes},
-                                      {k: v for k, v in scalars.items() if k not in self._sizes}))
+        candidates = {"entities": self.entities, **candidates}
+        values = [] if "departments" in self._sizes else [
+            department_stats(self.catalog, self.spec.spine, self._departments)]
+        self._sizes.update(probe_rows({k: v for k, v in candidates.items() if k not in self._sizes}, values))
 
     def _sized(self, name: str, frame: DataFrame) -> Sized:
         return hinted(frame, self._sizes[name], self.spec.max_broadcast_rows)

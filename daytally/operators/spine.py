@@ -71,15 +71,19 @@ def _key_match(acc: DataFrame, departments: DataFrame, n: int):
     return cond
 
 
-def account_map_size(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> DataFrame:
-    """One row, column ``n``: how many rows :func:`account_map` will have, without building
-    it – real accounts counted per department key (a map-side partial aggregate, so at most
-    one row per key leaves each task), matched to the department map and summed."""
-    acc = real_accounts(catalog, spec)
+def department_stats(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> DataFrame:
+    """One row: ``departments`` (rows of the department map), ``department_keys`` (its distinct
+    keys; equal to ``departments`` when each account reaches at most one entity row) and
+    ``account_map`` (how many rows :func:`account_map` will have), without building the
+    account map: real accounts are counted per key (a map-side partial aggregate, at most one
+    row per key leaves each task) and attached to the department rows."""
     keys = [f"a_key{i}" for i in range(len(spec.account_keys))]
-    per_key = acc.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
-    matched = per_key.join(departments, _key_match(per_key, departments, len(keys)))
-    return matched.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
+    per_key = real_accounts(catalog, spec).groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+    joined = departments.join(per_key, _key_match(per_key, departments, len(keys)), "left")
+    bkeys = ", ".join(f"b_key{i}" for i in range(len(keys)))
+    return joined.agg(F.expr("count(1) AS departments"),
+                      F.expr(f"count(DISTINCT struct({bkeys})) AS department_keys"),
+                      F.expr("coalesce(sum(c), 0) AS account_map"))
 
 
 def account_map(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> DataFrame:
