@@ -1,8 +1,8 @@
 from .broadcast import Sized, bounded_broadcast
 from .measure import Measure
 from .report import DailyReport
-from .spine import account_map, build_spine, department_map, department_stats
+from .spine import account_map, account_stats, build_spine, department_map, department_stats
 from .specs import CONSTANT, DISTINCT, PAIRS, Child, Header, Metric, ReportSpec, Source, SpineSpec
 
-__all__ = ["Sized", "bounded_broadcast", "Measure", "DailyReport", "account_map", "build_spine", "department_map", "department_stats", "CONSTANT",
+__all__ = ["Sized", "bounded_broadcast", "Measure", "DailyReport", "account_map", "account_stats", "build_spine", "department_map", "department_stats", "CONSTANT",
            "DISTINCT", "PAIRS", "Child", "Header", "Metric", "ReportSpec", "Source", "SpineSpec"]

@@ -11,7 +11,8 @@ Then, for all sources together:
   groups; the shuffle is hashed on the value too, so one entity holding most of the
   activity still spreads over all partitions, and the partial aggregate drops repeats
   before the shuffle.  A metric that counts its source's primary key, over an account map
-  that reaches each entity once (checked by the size probe), gets a NULL value instead:
+  that reaches each entity once (no repeated department key or account id, checked by the
+  size probe), gets a NULL value instead:
   its rows collapse map-side into one row per (entity, metric) and task, and the count
   is summed – no fact row crosses the network;
 * one ``groupBy(entity)`` with a conditional sum per metric (partial aggregation on the
@@ -33,7 +34,7 @@ from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from ..sources.catalog import Catalog
 from .broadcast import Sized, hinted, probe_rows
-from .spine import account_map, department_map, department_stats, entities
+from .spine import account_map, account_stats, department_map, department_stats, entities
 from .specs import DISTINCT, PAIRS, Metric, ReportSpec, Source
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
@@ -117,16 +118,19 @@ class Measure:
         """Count every candidate not yet sized, together with the spine's dimensions, in one job."""
         candidates = {"entities": self.entities, **candidates}
         values = [] if "departments" in self._sizes else [
-            department_stats(self.catalog, self.spec.spine, self._departments)]
+            department_stats(self.catalog, self.spec.spine, self._departments),
+            account_stats(self.catalog, self.spec.spine)]
         self._sizes.update(probe_rows({k: v for k, v in candidates.items() if k not in self._sizes}, values))
 
     def _sized(self, name: str, frame: DataFrame) -> Sized:
         return hinted(frame, self._sizes[name], self.spec.max_broadcast_rows)
 
     def account_map_is_function(self) -> bool:
-        """Each account reaches at most one entity row: no department key repeats."""
+        """Each account reaches at most one entity row: no department key and no real account
+        id repeats (checked on the data by the size probe)."""
         self._probe({})
-        return self._sizes["departments"] == self._sizes["department_keys"]
+        s = self._sizes
+        return s["departments"] == s["department_keys"] and s["accounts"] == s["account_ids"]
 
     def account_map(self) -> Sized:
         """(account_id, entity_id), broadcast when its counted size is under the bound."""

@@ -86,6 +86,13 @@ def department_stats(catalog: Catalog, spec: SpineSpec, departments: DataFrame)
                       F.expr("coalesce(sum(c), 0) AS account_map"))
 
 
+def account_stats(catalog: Catalog, spec: SpineSpec) -> DataFrame:
+    """One row: ``accounts`` and ``account_ids`` (distinct ids) of the real accounts; equal when
+    no account id repeats."""
+    return real_accounts(catalog, spec).agg(F.expr("count(1) AS accounts"),
+                                            F.expr("count(DISTINCT account_id) AS account_ids"))
+
+
 def account_map(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> DataFrame:
     """(account_id, entity_id) for every real account of an allow-listed entity.
 

@@ -229,3 +229,13 @@ def test_backfill_summary_equals_the_daily_summaries(spark, report):
         got = [{key: v for key, v in r.asDict().items() if key != "report_date"}
                for r in back if r["report_date"] == day.isoformat()]
         assert got == want, day
+
+
+def test_repeated_account_row_keeps_distinct_counts(spark):
+    """An account listed twice reaches its college twice: ids are still counted once, pairs twice."""
+    accounts = ROWS["college_account_new"] + [(11, 10, 0)]
+    rep = DailyReport(_catalog(spark, {"college_account_new": accounts}),
+                      reference_schema.report_spec(WINDOW, allow=ALLOW))
+    assert not rep.measure().account_map_is_function()  # the row-count shortcut is refused
+    assert _by_id(rep.metric("metric_attendance"), "attendance_count")[1] == 2
+    assert _by_id(rep.metric("metric_remediate"), "remediate_count")[1] == 2

@@ -92,3 +92,8 @@ def test_header_hop_broadcasts_the_reduced_header_when_the_leaf_is_large(spark):
     assert m._sizes["header:shipments"] <= rep.spec.max_broadcast_rows
     join = next(line for line in _plan(df).splitlines() if "BroadcastHashJoin [h_id" in line)
     assert "BuildLeft" in join  # header side built, leaf streamed
+
+
+def test_fixture_account_map_is_a_function(spark):
+    """Unique department keys and account ids: primary-key metrics take the row-count path."""
+    assert fixture_report(spark, SF001).measure().account_map_is_function()
