@@ -19,8 +19,9 @@ Then, for all sources together:
   map side, so each task ships at most one row per entity) – no ``Expand``, however many
   distinct metrics there are.
 
-Pair metrics (``COUNT`` of parent ⟕ child rows) pre-aggregate the child per parent key
-before any join, so a parent with a huge fan-out is one row after the map side.
+Pair metrics (``COUNT`` of parent ⟕ child rows) stream the child past the broadcast
+window's parents and let the partial aggregate collapse the pairs; above the broadcast
+bound the child is pre-aggregated per parent key before the join.
 """
 
 from __future__ import annotations
@@ -181,21 +182,25 @@ class Measure:
 
     def _pair_rows(self, mid: int, metric: Metric, parent: Sized, amap: DataFrame,
                    carry: list[str]) -> DataFrame:
-        """(entity_id, [_run], m, v): v = number of parent ⟕ child rows with both ids present."""
+        """(entity_id, [_run], m, v): v counts parent ⟕ child rows with both ids present.
+
+        The child is not windowed.  When the window's parents fit the broadcast bound, the
+        child streams past them once – one row per matching pair, collapsed by the map-side
+        partial aggregate downstream, so the child is never shuffled and a parent with a
+        huge fan-out costs nothing extra.  Above the bound, children are first counted per
+        parent key (map-side partial aggregate) and that small result is joined.
+        """
         child = metric.child
-        kids = (self.catalog.table(child.table)
-                .where(F.expr(child.id).isNotNull())
-                .select(F.expr(child.link).alias("c_link")))
-        # The child is not windowed.  When the window's parents fit a broadcast (their row
-        # count bounds their distinct keys), semi-reduce the child scan by those keys first;
-        # then count children per key with a map-side partial aggregate.
-        if parent.broadcast:
-            keys = F.broadcast(parent.frame.select(F.col("p_id").alias("k_id")).distinct())
-            kids = kids.join(keys, kids.c_link == keys.k_id, "left_semi")
-        fanout = kids.groupBy("c_link").agg(F.count(F.lit(1)).alias("n"))
+        kids = (self.catalog.table(child.table).where(f"({child.id}) IS NOT NULL")
+                .selectExpr(f"{child.link} AS c_link"))
         pframe = parent.frame
-        per_account = pframe.join(fanout, pframe.p_id == fanout.c_link).select("p_account", "n", *carry)
-        joined = per_account.join(amap, per_account.p_account == amap.account_id)
+        if parent.broadcast:
+            pairs = kids.join(pframe, kids.c_link == pframe.p_id).selectExpr(
+                "p_account", *carry, "CAST(1 AS BIGINT) AS n")
+        else:
+            fanout = kids.groupBy("c_link").agg(F.count(F.lit(1)).alias("n"))
+            pairs = pframe.join(fanout, pframe.p_id == fanout.c_link).select("p_account", *carry, "n")
+        joined = pairs.join(amap, pairs.p_account == amap.account_id)
         return joined.selectExpr("entity_id", *carry, f"{mid} AS m", "n AS v")
 
     # -- the wide frame ----------------------------------------------------------------
