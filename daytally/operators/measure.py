@@ -126,6 +126,15 @@ class Measure:
     def _sized(self, name: str, frame: DataFrame) -> Sized:
         return hinted(frame, self._sizes[name], self.spec.max_broadcast_rows)
 
+    def departments(self) -> Sized:
+        """The department map (b_key.., entity_id), hinted for broadcast under the bound."""
+        self._probe({})
+        return self._sized("departments", self._departments)
+
+    def entity_base(self) -> Sized:
+        self._probe({})
+        return self._sized("entities", self.entities)
+
     def account_map_is_function(self) -> bool:
         """Each account reaches at most one entity row: no department key and no real account
         id repeats (checked on the data by the size probe)."""
@@ -136,8 +145,7 @@ class Measure:
     def account_map(self) -> Sized:
         """(account_id, entity_id), broadcast when its counted size is under the bound."""
         if self._account_map is None:
-            self._probe({})
-            departments = self._sized("departments", self._departments).frame
+            departments = self.departments().frame
             self._account_map = self._sized("account_map", account_map(self.catalog, self.spec.spine, departments))
         return self._account_map
 

@@ -36,7 +36,10 @@ class DailyReport:
 
     def spine(self) -> DataFrame:
         if self._spine is None:
-            self._spine = build_spine(self.catalog, self.spec.spine, self.spec.allow)
+            m = self.measure()
+            departments = m.departments()
+            self._spine = build_spine(self.catalog, self.spec.spine, departments.frame, m.entity_base().frame,
+                                      small_keys=departments.broadcast)
         return self._spine
 
     def measure(self) -> Measure:

@@ -43,17 +43,37 @@ def real_accounts(catalog: Catalog, spec: SpineSpec) -> DataFrame:
     return catalog.table(spec.account_table).where(F.expr(spec.account_dummy) == 0).select(*cols)
 
 
-def build_spine(catalog: Catalog, spec: SpineSpec, allow: tuple[int, ...] | None) -> DataFrame:
-    """Columns: entity_id, entity_name, account_id (NULL when the entity has no real account)."""
-    ent = entities(catalog, spec, allow)
-    br = bridge(catalog, spec)
+def build_spine(catalog: Catalog, spec: SpineSpec, departments: DataFrame, entity_base: DataFrame,
+                small_keys: bool) -> DataFrame:
+    """Columns: entity_id, entity_name, account_id – the rows of the left chain
+    ``entity ⟕ bridge ⟕ account(dummy = 0)``, without shuffling the account table:
+
+    * each (department row, real account) pair: accounts stream past the department map,
+      which the caller passes size-checked (broadcast under the bound);
+    * a NULL account for each department row no real account reaches;
+    * a NULL account for each entity without any department row.
+
+    ``small_keys`` says the department map is under the broadcast bound, so the (at most as
+    many) matched keys may be broadcast for the anti join.
+    """
     acc = real_accounts(catalog, spec)
-    joined = ent.join(br, ent.entity_id == br.b_entity, "left")
+    n = len(spec.account_keys)
+    bkeys = [f"b_key{i}" for i in range(n)]
+    inner = acc.join(departments, _key_match(acc, departments, n))
+    matched = inner.select(*bkeys).distinct()
+    if small_keys:
+        matched = F.broadcast(matched)
     cond = None
-    for i in range(len(spec.bridge_keys)):
-        c = joined[f"b_key{i}"] == acc[f"a_key{i}"]
+    for k in bkeys:
+        c = departments[k] == matched[k]
         cond = c if cond is None else cond & c
-    return joined.join(acc, cond, "left").select("entity_id", "entity_name", "account_id")
+    lonely = departments.join(matched, cond, "left_anti").selectExpr("entity_id", "CAST(NULL AS BIGINT) AS account_id")
+    covered = departments.select("entity_id").distinct()
+    bare = entity_base.select("entity_id").join(covered, "entity_id", "left_anti").selectExpr(
+        "entity_id", "CAST(NULL AS BIGINT) AS account_id")
+    rows = (inner.selectExpr("entity_id", "CAST(account_id AS BIGINT) AS account_id")
+            .unionByName(lonely).unionByName(bare))
+    return rows.join(entity_base, "entity_id").select("entity_id", "entity_name", "account_id")
 
 
 def department_map(catalog: Catalog, spec: SpineSpec, allow: tuple[int, ...] | None) -> DataFrame:

@@ -174,3 +174,24 @@ def test_engine_equals_per_metric_sql(spark, seed, declared, repeat_bridge):
         if m.account_filter == "where":  # the raw statement drops colleges without a real account
             got = {r["college_id"]: r[m.column] for r in report.metric(m.key).collect()}
             assert got == expected[m.key], (seed, m.key)
+
+
+@pytest.mark.parametrize("seed,repeat_bridge", [(6, True), (7, False)])
+def test_spine_equals_the_left_chain(spark, seed, repeat_bridge):
+    tables = _tables(seed, unique_ids=True, repeat_bridge=repeat_bridge)
+    con = duckdb.connect()
+    frames = {}
+    for name in ("college", "college_university_degree_department_new", "college_account_new"):
+        cols = _columns(SCHEMAS[name])
+        rows = tables[name]
+        con.register(name, pa.table({c: pa.array([r[i] for r in rows], type=ARROW[t]) for i, (c, t) in enumerate(cols)}))
+        frames[name] = spark.createDataFrame(rows, SCHEMAS[name])
+    allow = "(" + ", ".join(map(str, ALLOW)) + ")"
+    want = con.execute(f"""SELECT c.id, c.college_name, a.id FROM college c
+        LEFT JOIN college_university_degree_department_new d ON d.college_id = c.id
+        LEFT JOIN college_account_new a ON a.college_university_degree_department_id = d.id AND a.dummy = 0
+        WHERE c.id IN {allow}""").fetchall()
+    report = DailyReport(Catalog.in_memory(spark, frames), reference_schema.report_spec(WINDOW, allow=ALLOW))
+    got = [tuple(r) for r in report.spine_active_accounts().collect()]
+    key = lambda r: (r[0], r[2] is None, r[2] or 0)
+    assert sorted(got, key=key) == sorted(want, key=key)
