@@ -120,7 +120,7 @@ class Measure:
         candidates = {"entities": self.entities, **candidates}
         values = [] if "departments" in self._sizes else [
             department_stats(self.catalog, self.spec.spine, self._departments),
-            account_stats(self.catalog, self.spec.spine)]
+            account_stats(self.catalog, self.spec.spine, self._departments)]
         self._sizes.update(probe_rows({k: v for k, v in candidates.items() if k not in self._sizes}, values))
 
     def _sized(self, name: str, frame: DataFrame) -> Sized:

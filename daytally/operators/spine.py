@@ -106,11 +106,13 @@ def department_stats(catalog: Catalog, spec: SpineSpec, departments: DataFrame)
                       F.expr("coalesce(sum(c), 0) AS account_map"))
 
 
-def account_stats(catalog: Catalog, spec: SpineSpec) -> DataFrame:
-    """One row: ``accounts`` and ``account_ids`` (distinct ids) of the real accounts; equal when
-    no account id repeats."""
-    return real_accounts(catalog, spec).agg(F.expr("count(1) AS accounts"),
-                                            F.expr("count(DISTINCT account_id) AS account_ids"))
+def account_stats(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> DataFrame:
+    """One row: ``accounts`` and ``account_ids`` (distinct ids) of the real accounts that reach
+    a department of the report; equal when none of them repeats an id.  Only those accounts
+    are deduplicated, not the whole account table."""
+    acc = real_accounts(catalog, spec)
+    reached = acc.join(departments, _key_match(acc, departments, len(spec.account_keys)), "left_semi")
+    return reached.agg(F.expr("count(1) AS accounts"), F.expr("count(DISTINCT account_id) AS account_ids"))
 
 
 def account_map(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> DataFrame:
