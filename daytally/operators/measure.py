@@ -214,7 +214,7 @@ class Measure:
     # -- the wide frame ----------------------------------------------------------------
 
     def wide(self, metrics: list[Metric], runs: int = 1) -> DataFrame:
-        """One row per entity of ``base`` (entity_id, entity_name): entity_id, entity_name and
+        """One row per allow-listed entity: entity_id, entity_name and
         one nullable bigint column per measured metric.  With ``runs > 1``, one row per entity
         and run, with the run offset in ``_run`` (the daily window moved that many days back).
 
