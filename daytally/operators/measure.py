@@ -115,12 +115,15 @@ class Measure:
 
     # -- sizes and types (driver side, no data scanned except by the probe job) -------
 
-    def _probe(self, candidates: dict[str, DataFrame]) -> None:
-        """Count every candidate not yet sized, together with the spine's dimensions, in one job."""
+    def _probe(self, candidates: dict[str, DataFrame], accounts: bool = True) -> None:
+        """Count every candidate not yet sized, together with the spine's dimensions, in one job
+        (the account-id check only when ``accounts``: the metrics need it, the spine does not)."""
         candidates = {"entities": self.entities, **candidates}
-        values = [] if "departments" in self._sizes else [
-            department_stats(self.catalog, self.spec.spine, self._departments),
-            account_stats(self.catalog, self.spec.spine, self._departments)]
+        values = []
+        if "departments" not in self._sizes:
+            values.append(department_stats(self.catalog, self.spec.spine, self._departments))
+        if accounts and "accounts" not in self._sizes:
+            values.append(account_stats(self.catalog, self.spec.spine, self._departments))
         self._sizes.update(probe_rows({k: v for k, v in candidates.items() if k not in self._sizes}, values))
 
     def _sized(self, name: str, frame: DataFrame) -> Sized:
@@ -128,11 +131,11 @@ class Measure:
 
     def departments(self) -> Sized:
         """The department map (b_key.., entity_id), hinted for broadcast under the bound."""
-        self._probe({})
+        self._probe({}, accounts=False)
         return self._sized("departments", self._departments)
 
     def entity_base(self) -> Sized:
-        self._probe({})
+        self._probe({}, accounts=False)
         return self._sized("entities", self.entities)
 
     def account_map_is_function(self) -> bool:
