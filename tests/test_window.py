@@ -30,3 +30,22 @@ def test_closed_bounds_on_spark_types(spark):
     row = spark.range(1).select(label(lo).alias("a"), label(hi).alias("b")).first()
     assert (row.a, row.b) == w.labels()
     assert dict(df.select(w.contains("t").alias("x")).dtypes)["x"] == "boolean"
+
+
+def test_run_offsets_on_the_bounds(spark):
+    """Run k holds [end - k days - lookback, end - k days]; a value on a cut is in two runs."""
+    w = ReportWindow.closing_on(date(2024, 1, 16))
+    values = [datetime(2024, 1, 16, 8), datetime(2024, 1, 15, 8), datetime(2024, 1, 15, 8, 0, 0, 1),
+              datetime(2024, 1, 15, 7, 59, 59, 999999), datetime(2024, 1, 14, 12), datetime(2024, 1, 16, 8, 0, 0, 1),
+              datetime(2024, 1, 9, 8), datetime(2024, 1, 8, 8)]
+    df = spark.createDataFrame([(v,) for v in values], "t TIMESTAMP_NTZ")
+    got = [r.k for r in df.selectExpr(f"{w.run_offsets_sql('t', 7)} AS k").collect()]
+    # Run 6 is [01-09 08:00, 01-10 08:00]; its lower bound would also open run 7, outside the range.
+    assert got == [[0], [0, 1], [0], [1], [1], [], [6], []]
+
+
+def test_catalog_sql_runs_over_catalog_tables(spark):
+    from daytally import Catalog
+
+    cat = Catalog.parquet_dir(spark, "/root/testdata/sf0.001")
+    assert cat.sql("SELECT count(*) AS n FROM nation", ["nation"]).first().n == 25
