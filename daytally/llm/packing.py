@@ -1,7 +1,7 @@
 """Bounded-space online best-fit packing of documents into fixed-length token sequences.
 
-Every input task tokenises its rows and packs them batch by batch (longer pieces of a batch
-first): at most ``open_bins`` sequences are open, kept in stacks keyed by free space with one bit per free
+Every input task tokenises its rows and packs them in groups of ``open_bins`` pieces
+(longer ones of a group first): at most ``open_bins`` sequences are open, kept in stacks keyed by free space with one bit per free
 space that occurs.  A piece goes to the open sequence with the least sufficient free space
 (lowest set bit at or above its length); if none fits, a new one opens, and at the limit the
 fullest (lowest set bit of all) closes first.  No shuffle is needed, memory per task is the
@@ -144,11 +144,10 @@ def pack(docs: DataFrame, path: str, ranks_path: str | None = None, pattern: str
                     part = tokens[start : start + size]
                     pieces.append((doc_id, piece, start, size, zlib.crc32(part.tobytes()),
                                    part.astype(np.int32) if with_ids else None))
-            # Within a batch the order of arrival is free: longer pieces first leave less space unused.
-            pieces.sort(key=lambda p: -p[3])
-            for at in range(0, len(pieces), 4096):
+            # The order of arrival is free: within as many pieces as may be open, longer ones first leave less unused.
+            for at in range(0, len(pieces), open_bins):
                 rows = []
-                for doc_id, piece, start, size, crc, part in pieces[at : at + 4096]:
+                for doc_id, piece, start, size, crc, part in sorted(pieces[at : at + open_bins], key=lambda p: -p[3]):
                     bin_, offset = bins.place(size)
                     row = (doc_id, piece, start, size, crc, base + bin_, offset)
                     rows.append((*row, part) if with_ids else row)
