@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from daytally.llm import decontam, exact_dedup, language_id, near_dup, packing
 from daytally.llm.queries import table, vocabulary
 from daytally.llm.scratch import cut
+from daytally.llm.ship import ship
 
 ORACLE_SQL: str | None = None
 
@@ -26,6 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     The model learns from the rows with a language label; the prediction replaces nothing.
     """
+    ship(spark)
     model = language_id.train(docs)
     names = docs.columns
     return language_id.identify(docs, model).filter(F.col("lang_pred") != language_id.UNKNOWN).select(*names)
@@ -33,11 +35,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays."""
+    ship(spark)
     return exact_dedup.keep_rows(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8) stays."""
+    ship(spark)
     return near_dup.keep_rows(docs)
 
 
@@ -48,6 +52,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents' pieces with their place in the packed sequences."""
+    ship(spark)
     return packing.pack(docs, **vocabulary())
 
 

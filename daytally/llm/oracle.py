@@ -16,6 +16,30 @@ FROM normal
 WINDOW best AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)
 """
 
+URL_FILTER = r"""
+WITH places AS (
+    SELECT page_id,
+           CASE WHEN contains(url, '://')
+                THEN regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1) ELSE '' END AS raw_host,
+           CASE WHEN contains(url, '://')
+                THEN regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) ELSE '' END AS path
+    FROM pages),
+hosts AS (
+    SELECT page_id, path,
+           translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+    FROM places),
+rules (rule_host, rule_path, action) AS (
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+           ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fitting AS (
+    SELECT page_id, rule_host || rule_path AS rule, action,
+           row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS place
+    FROM hosts JOIN rules
+      ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT h.page_id, h.host, h.path, f.rule, coalesce(f.action, 'allow') AS verdict
+FROM hosts h LEFT JOIN fitting f ON f.page_id = h.page_id AND f.place = 1
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_DEDUP}
+    return {"op3_exact_dedup": EXACT_DEDUP, "op4_url_filter": URL_FILTER}

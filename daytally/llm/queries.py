@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import decontam, exact_dedup, language_id, near_dup, packing
+from daytally.llm import decontam, exact_dedup, language_id, near_dup, packing, pii, quality, suffix_dedup, toxicity, url_filter
+from daytally.llm.ship import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,6 +45,43 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        pii.joined(F.col("spans")).alias("spans"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(~language_id.held_out("doc_id", 4, 2)))
+    rows = docs.select("doc_id", language_id.held_out("doc_id", 4, 2).alias("held_out"), "text")
+    return toxicity.score(rows, model).drop("text").withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
@@ -55,5 +94,5 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_exact_dedup, op9_decontamination,
+    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_exact_dedup, op4_url_filter, op5_pii, op6_quality, op7_suffix_dedup, op8_toxicity, op9_decontamination,
                                     op10_minhash_near_dup)}
