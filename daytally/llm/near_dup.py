@@ -13,11 +13,13 @@ components of the links.
    ``MAX_ODD`` differing bits (5 standard deviations below 0.8) are dropped before the sets are read.
 4. Pairs that remain, and keep the length bound, are confirmed on the full sets.
 
-No band bucket emits all its pairs.  In a star round every class is compared with the heads of
-its buckets; the confirmed links give components, and a bucket that lies in one component is done.
-What the star rounds leave, buckets with several components, is finished exactly: every
-member outside the bucket's largest component meets the members of the other components.
-So any two linked classes that share a band end in one component.
+No band bucket emits all its pairs.  In a star round every class is compared with one head: the class
+among its buckets' heads that shares most bands with others (mostly the original of the copies).
+The confirmed links give components, and a bucket that lies in one component is done.  What that
+leaves, buckets with several components, is finished exactly: members outside the bucket's largest
+component meet the members of the other components, in the least bucket of a pair only, and only
+pairs that a second odd sketch, of the whole sets, allows (its differing bits never exceed the sets'
+differing shingles) are confirmed.  So any two linked classes that share a band end in one component.
 
 Defined cases: a text with fewer words than a shingle has its whole word sequence as its one
 shingle; without words (null, empty) the set is empty and linked with nothing; a null id names
@@ -41,7 +43,7 @@ from daytally.llm.scratch import cut
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 40, 5
 BITS, MAX_ODD = 512, 119
-STAR_ROUNDS = 2
+FULL_BITS = 2048
 _LONGS = BITS // 64
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -137,20 +139,27 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of each document (columns node, text)."""
+    """(node, shingles, odd) of each document (columns node, text): the set and its own odd sketch."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = FULL_BITS // 64
         for batch in batches:
             data, offsets = B.text_bytes(batch.column(1))
             for i, j in B.chunks(offsets):
                 sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
                 ends = np.cumsum([0, *(len(s) for s in sets)]).astype(np.int32)
+                every = np.concatenate(sets)
+                row = np.repeat(np.arange(len(sets)), np.diff(ends))
+                bit = (B.mix(every ^ _STEP) >> np.uint64(64 - 11)).astype(np.int64)
+                odd = (np.bincount(row * FULL_BITS + bit, minlength=len(sets) * FULL_BITS) & 1).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))],
-                    ["node", "shingles"])
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(every.view(np.int64))),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * longs),
+                                              pa.array(np.packbits(odd).view(np.int64)))],
+                    ["node", "shingles", "odd"])
 
-    return docs.mapInArrow(build, "node long, shingles array<long>")
+    return docs.mapInArrow(build, "node long, shingles array<long>, odd array<long>")
 
 
 def _near(a: str, b: str, percent: int) -> Column:
@@ -160,6 +169,20 @@ def _near(a: str, b: str, percent: int) -> Column:
     return (small * 100 >= large * percent) & (odd <= MAX_ODD)
 
 
+def _near_full(a: str, b: str, percent: int) -> Column:
+    """Whether the odd sketches of the whole sets allow a link.
+
+    At the threshold the sets differ in ``most`` shingles.  No more bits than that can differ, and
+    since several fall on one bit in large sets, the expected count plus six standard deviations
+    bounds them too.
+    """
+    odd = sum((F.bit_count(F.col(f"{a}.o{k}").bitwiseXOR(F.col(f"{b}.o{k}"))) for k in range(FULL_BITS // 64)), F.lit(0))
+    most = F.floor((F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - percent) / (100.0 + percent))
+    share = most / FULL_BITS
+    spread = F.sqrt(FULL_BITS / 4 * (1 - F.exp(-4 * share) * (1 + 4 * share)) + 1)
+    return odd <= F.least(most.cast("double"), FULL_BITS / 2 * (1 - F.exp(-2 * share)) + 6 * spread)
+
+
 class Linker:
     """Finds the links between classes, round by round."""
 
@@ -176,9 +199,11 @@ class Linker:
         self.classes = cut(classes, "classes")
         self.sketches = self.classes.select("node", "n", *sketch)
         member = self.classes.select("node", F.explode("bands").alias("bucket"))
-        shared = (member.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("size"))
-                  .filter("size > 1"))
-        self.buckets = cut(member.join(shared, "bucket").select("bucket", "node", "head"), "buckets")
+        shared = member.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+        placed = cut(member.join(shared, "bucket"), "placed")
+        # The original of many copies shares more bands with them than they share with each other.
+        weight = placed.groupBy("node").agg(F.sum("size").alias("weight"))
+        self.buckets = cut(placed.drop("size").join(weight, "node"), "buckets")
         active = self.buckets.select("node").distinct()
         self.sets = cut(full_sets(docs.join(active, docs["doc_id"] == active["node"]).select("node", "text"), size),
                         "sets")
@@ -199,48 +224,49 @@ class Linker:
         return linked.select("a", "b").distinct()  # an id with several texts has several sets
 
     def labelled(self, links: DataFrame) -> DataFrame:
-        """The members of buckets that lie in several components: bucket, node, component, head."""
+        """The members of buckets that lie in several components, with their component."""
         part = components(links)
         every = (self.buckets.join(part, "node", "left")
-                 .select("bucket", "node", "head", F.coalesce("component", "node").alias("component")))
+                 .withColumn("component", F.coalesce("component", "node")))
         mixed = (every.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                  .filter("low < high").select("bucket"))
         return every.join(mixed, "bucket")
 
     def star(self, members: DataFrame) -> DataFrame:
-        """Each member with the least head among its buckets."""
-        return (members.filter("head < node").groupBy("node").agg(F.min("head").alias("a"))
-                .select("a", F.col("node").alias("b")))
+        """Each member with the weightiest head of its buckets that lies in another component."""
+        rank = F.struct("weight", (-F.col("node")).alias("first"))
+        head = (members.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("node")).alias("first"), "component"))
+                                              .alias("head")))
+        return (members.join(head, "bucket").filter(F.col("component") != F.col("head.component"))
+                .filter(rank < F.struct("head.weight", "head.first"))
+                .groupBy("node").agg(F.max(F.struct("head.weight", "head.first")).alias("head"))
+                .select((-F.col("head.first")).alias("a"), F.col("node").alias("b")))
 
     def rest(self, members: DataFrame) -> DataFrame:
-        """Members outside their bucket's largest component, with the other components' members."""
+        """Members outside their bucket's largest component, with the other components' members.
+
+        A pair is met in the least of its shared buckets only, and only if both sketches allow a link.
+        """
         sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("size"))
         largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
-        rows = members.join(self.sketches, "node").join(largest, "bucket")
+        fine = self.sets.select("node", *(F.get("odd", F.lit(k)).alias(f"o{k}") for k in range(FULL_BITS // 64)))
+        nodes = members.select("node").distinct()
+        facts = (self.classes.select("node", "n", "bands", *(f"s{k}" for k in range(_LONGS)))
+                 .join(nodes, "node").join(fine, "node"))
+        rows = members.join(facts, "node").join(largest, "bucket")
         x, y = rows.filter("component <> main").alias("x"), rows.alias("y")
         once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+        first = F.col("x.bucket") == F.array_min(F.array_intersect("x.bands", "y.bands"))
         return (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component"))
-                       & once & _near("x", "y", self.percent))
+                       & once & _near("x", "y", self.percent) & _near_full("x", "y", self.percent) & first)
                 .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
 
     def links(self) -> DataFrame:
         """Links enough to connect all classes that belong together."""
-        members = self.buckets
-        found: DataFrame | None = None
-        for step in range(STAR_ROUNDS + 1):
-            pairs = self.rest(members) if step == STAR_ROUNDS else self.proposed(self.star(members))
-            new = cut(self.confirmed(cut(pairs, "pairs")), "found")
-            found = new if found is None else found.unionByName(new)
-            if step < STAR_ROUNDS:
-                mixed = self.labelled(found)
-                if step + 1 < STAR_ROUNDS:
-                    # The next head: the least member that is not in the first head's component.
-                    first = mixed.filter("node = head").select("bucket", F.col("component").alias("first"))
-                    head = (mixed.join(first, "bucket").filter("component <> first")
-                            .groupBy("bucket").agg(F.min("node").alias("other")))
-                    mixed = mixed.join(head, "bucket").select("bucket", "node", "component", F.col("other").alias("head"))
-                members = cut(mixed, "members")
-        return found
+        alone = self.buckets.withColumn("component", F.col("node"))
+        found = cut(self.confirmed(cut(self.proposed(self.star(alone)), "pairs")), "found")
+        mixed = cut(self.labelled(found), "members")
+        return found.unionByName(cut(self.confirmed(cut(self.rest(mixed), "pairs")), "found"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
