@@ -164,7 +164,7 @@ def _votes(match: Column, value: Column, before: Column, after: Column, kind: Co
         (kind == "iban") & match.rlike(r"^(?:DE[0-9]{20}|FR[0-9]{12}|ES[0-9]{22}|GB[0-9]{2}[A-Z]{4}[0-9]{14})"))
     return {
         "regex_form": F.when(form, 1).when(value.rlike(r"^[a-z]+$"), -1).otherwise(0),
-        "regex_mix": F.when(mixed, 1).when(kind == "secret", -1).otherwise(0),
+        "regex_mix": F.when(mixed, 1).when((kind == "secret") & ~form, -1).otherwise(0),
         "gazetteer_secret": F.when(_any(match, SECRET_WORDS), 1).when(_any(match, PLAIN_WORDS), -1).otherwise(0),
         "gazetteer_name": F.when((kind == "name") & _any(match, FIRST_NAMES), 1).otherwise(0),
         "context_cue": F.when(_any(before, CUES), 1).otherwise(0),
