@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,12 +47,20 @@ class ReportWindow:
         return cls(datetime.combine(day, time(cut_hour)), lookback)
 
     @classmethod
-    def for_run(cls, now: datetime | None = None, cut_hour: int = CUT_HOUR,
+    def for_run(cls, zone: str = "UTC", now: datetime | None = None, cut_hour: int = CUT_HOUR,
                 lookback: timedelta = LOOKBACK) -> "ReportWindow":
-        """The window a run started at ``now`` reports on (default: the driver clock, read once)."""
-        now = now or datetime.now()
+        """The window a run started at ``now`` (default: the clock, read once) reports on, in wall-clock time of
+        ``zone``: the zone of the fact times, of the report day and of the cut hour."""
+        now = now or datetime.now(ZoneInfo(zone))
+        if now.tzinfo is not None:
+            now = now.astimezone(ZoneInfo(zone))
         return cls.closing_on(now.date(), cut_hour, lookback)
 
+    def zone_offset(self, zone: str) -> str:
+        """The zone's offset at the window's end, as ``+05:30``."""
+        text = self.end.replace(tzinfo=ZoneInfo(zone)).strftime("%z")
+        return f"{text[:3]}:{text[3:5]}"
+
     @property
     def start(self) -> datetime:
         return self.end - self.lookback
@@ -80,20 +89,25 @@ class ReportWindow:
         """The span covered by this window and the ``runs - 1`` daily windows before it."""
         return ReportWindow(self.end, self.lookback + timedelta(days=runs - 1))
 
-    def run_offsets_sql(self, column: str, runs: int) -> str:
-        """``array<int>`` of the runs ``k`` in ``[0, runs)`` whose window – this one moved ``k``
-        days back – holds the value of ``column``; empty when none does.
+    def run_range_sql(self, column: str, runs: int) -> tuple[str, str]:
+        """(first, last) of the runs ``k`` in ``[0, runs)`` whose window – this one moved ``k``
+        days back – holds the value of ``column``; first > last when none does.
 
         With ``d`` = microseconds from the value to this window's end, run ``k`` holds it iff
-        ``k·DAY <= d <= k·DAY + lookback``, i.e. ``ceil((d - lookback)/DAY) <= k <= floor(d/DAY)``:
-        one run for most rows, two for a row exactly on a cut (both ends are inclusive).
+        ``k·DAY <= d <= k·DAY + lookback``, i.e. ``ceil((d - lookback)/DAY) <= k <= floor(d/DAY)``.
         """
         day = 86_400_000_000
         lb = int(self.lookback.total_seconds() * 1_000_000)
         d = f"timestampdiff(MICROSECOND, CAST({column} AS TIMESTAMP_NTZ), {_ntz_sql(self.end)})"
-        hi = f"least(CAST(({d} - pmod({d}, {day})) div {day} AS INT), {runs - 1})"
-        lo = f"greatest(CAST(-((({lb} - {d}) - pmod({lb} - {d}, {day})) div {day}) AS INT), 0)"
-        return f"CASE WHEN {lo} <= {hi} THEN sequence({lo}, {hi}) ELSE array() END"
+        last = f"least(CAST(({d} - pmod({d}, {day})) div {day} AS INT), {runs - 1})"
+        first = f"greatest(CAST(-((({lb} - {d}) - pmod({lb} - {d}, {day})) div {day}) AS INT), 0)"
+        return first, last
+
+    def run_offsets_sql(self, column: str, runs: int) -> str:
+        """``array<int>`` of the runs in :meth:`run_range_sql`: one for most rows of a daily window, two for
+        a row exactly on a cut (both ends are inclusive), more where the lookback is longer."""
+        first, last = self.run_range_sql(column, runs)
+        return f"CASE WHEN {first} <= {last} THEN sequence({first}, {last}) ELSE array() END"
 
     def labels(self) -> tuple[str, str]:
         return self.start.strftime(LABEL_PATTERN_PY), self.end.strftime(LABEL_PATTERN_PY)

@@ -1,12 +1,12 @@
-from .broadcast import Sized, bounded_broadcast, hinted, probe_rows
+from .broadcast import Sized, hinted, probe_rows
 from .measure import Measure
 from .report import DailyReport
-from .spine import account_map, account_stats, build_spine, department_map, department_stats
+from .spine import account_map, build_spine, department_map
 from .specs import CONSTANT, DISTINCT, PAIRS, Child, Header, Metric, ReportSpec, Source, SpineSpec
 
 __all__ = [
-    "Sized", "bounded_broadcast", "hinted", "probe_rows",
+    "Sized", "hinted", "probe_rows",
     "Measure", "DailyReport",
-    "account_map", "account_stats", "build_spine", "department_map", "department_stats",
+    "account_map", "build_spine", "department_map",
     "CONSTANT", "DISTINCT", "PAIRS", "Child", "Header", "Metric", "ReportSpec", "Source", "SpineSpec",
 ]

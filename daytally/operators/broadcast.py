@@ -1,9 +1,9 @@
 """Broadcast only behind a measured size.
 
 Catalyst's own broadcast choice relies on estimated sizes, which are unknown after a
-filter on a file scan.  Here every candidate side is counted first – all candidates of a
-plan in one job – and hinted for broadcast only under a row bound; above it the frame is
-returned unhinted and the join shuffles on its key, where adaptive execution splits
+filter on a file scan.  Where a filtered side meets an unwindowed fact table it is counted
+first – all candidates of a plan in one job – and hinted for broadcast only under a row bound; above
+it the frame is returned unhinted and the join shuffles on its key, where adaptive execution splits
 skewed partitions.
 """
 
@@ -23,17 +23,12 @@ class Sized:
     broadcast: bool
 
 
-def probe_rows(frames: dict[str, DataFrame], values: list[DataFrame] | None = None) -> dict[str, int]:
-    """Row counts of several frames, plus ready-made one-row frames whose columns are named
-    counts, all computed by a single job."""
-    values = values or []
-    if not frames and not values:
+def probe_rows(frames: dict[str, DataFrame]) -> dict[str, int]:
+    """Row counts of several frames, computed by a single job."""
+    if not frames:
         return {}
     parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("probe"), "n")
              for name, df in frames.items()]
-    for df in values:
-        pairs = ", ".join(f"'{c}', CAST(`{c}` AS BIGINT)" for c in df.columns)
-        parts.append(df.selectExpr(f"stack({len(df.columns)}, {pairs}) AS (probe, n)"))
     return {r["probe"]: int(r["n"]) for r in reduce(DataFrame.unionByName, parts).collect()}
 
 
@@ -41,7 +36,3 @@ def hinted(df: DataFrame, rows: int, max_rows: int) -> Sized:
     if rows <= max_rows:
         return Sized(F.broadcast(df), rows, True)
     return Sized(df, rows, False)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> Sized:
-    return hinted(df, probe_rows({"df": df})["df"], max_rows)

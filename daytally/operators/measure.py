@@ -1,32 +1,28 @@
-"""Evaluate many metrics in one plan ("long form").
-
-For every source, one scan: filter the closed window (pushed to the scan), tag each row
-with the ids of the metrics whose predicate it meets (``inline`` of a filtered array of
-structs, so a row can feed several metrics), keep the account id and the counted value.
-
-Then, for all sources together:
-
-* join the account → entity map once (broadcast after a row count, shuffled above it);
-* ``groupBy(entity, metric, value).count()`` – exact ``COUNT(DISTINCT)`` as the number of
-  groups; the shuffle is hashed on the value too, so one entity holding most of the
-  activity still spreads over all partitions, and the partial aggregate drops repeats
-  before the shuffle.  A metric that counts its source's primary key, over an account map
-  that reaches each entity once (no repeated department key or account id, checked by the
-  size probe), gets a NULL value instead:
-  its rows collapse map-side into one row per (entity, metric) and task, and the count
-  is summed – no fact row crosses the network;
-* one ``groupBy(entity)`` with a conditional sum per metric (partial aggregation on the
-  map side, so each task ships at most one row per entity) – no ``Expand``, however many
-  distinct metrics there are.
-
-Pair metrics (``COUNT`` of parent ⟕ child rows) stream the child past the broadcast
-window's parents and let the partial aggregate collapse the pairs; above the broadcast
-bound the child is pre-aggregated per parent key before the join.
+"""Evaluate many metrics in one plan.
+
+For every source, one scan: filter the closed window (pushed to the scan), keep the account id, the
+counted value and a bit per metric whose predicate the row meets.  Then, for all of them together:
+
+* join the account → entity map once (Spark chooses broadcast or shuffle by its size in bytes);
+* ``groupBy(entity, counted expression, value)`` with ``bit_or`` of the metric bits: one row per
+  distinct key crosses the network, whatever the number of metrics, and repeated rows count once.
+  The shuffle is hashed on the value too, so one entity holding most of the activity still
+  spreads over all partitions;
+* one ``groupBy(entity)`` with a conditional sum per metric (partial aggregation on the map side, so
+  each task ships at most one row per entity) – no ``Expand``, and a row copy only where a source counts
+  several expressions.
+
+Pair metrics (``COUNT`` of parent ⟕ child rows) map the window's parents to entities first and stream the
+child past them; what leaves a task is one row per entity.  Beyond the broadcast bound the child is
+pre-aggregated per parent key before the join.
+
+A backfill measures several daily windows in one scan: a key keeps the distinct (first run, last run,
+metric bits) of its rows, and is spread over the runs only after the shuffle.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -35,61 +31,66 @@ from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from ..sources.catalog import Catalog
 from .broadcast import Sized, hinted, probe_rows
-from .spine import account_map, account_stats, department_map, department_stats, entities
+from .spine import account_map, department_map, entities
 from .specs import DISTINCT, PAIRS, Metric, ReportSpec, Source
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 
 
-def _struct(fields: list[tuple[str, str]]) -> str:
-    return "named_struct(" + ", ".join(f"'{name}', {expr}" for name, expr in fields) + ")"
-
-
-def _tagged(src_df: DataFrame, metrics: list[tuple[int, Metric]], link: str,
-            key_cols: tuple[bool, bool], integral: dict[str, bool], carry: list[str],
-            counted: frozenset[int] = frozenset()) -> DataFrame:
-    """Rows (link, m, [k_num], [k_str]) – one per (source row, matching metric).
-
-    Metrics in ``counted`` get NULL keys: their rows are counted, not deduplicated.  The
-    projection is written as one SQL expression per output so the plan is built with a
-    handful of calls, however many metrics share the source.
-    """
-    want_num, want_str = key_cols
-    entries = []
-    for mid, m in metrics:
-        v = f"({m.value})"
-        is_int = integral[m.value]
-        keyless = mid in counted
-        fields = [("m", str(mid))]
-        if want_num:
-            fields.append(("k_num", f"CAST({v} AS BIGINT)" if is_int and not keyless else "CAST(NULL AS BIGINT)"))
-        if want_str:
-            fields.append(("k_str", f"CAST({v} AS STRING)" if not is_int and not keyless
-                           else "CAST(NULL AS STRING)"))
-        cond = " AND ".join(([f"({m.where})"] if m.where else []) + [f"{v} IS NOT NULL"])
-        entries.append((cond, fields))
-
-    if len(entries) == 1:
-        cond, fields = entries[0]
-        return src_df.where(cond).selectExpr(f"{link} AS link", *carry, *[f"{e} AS {n}" for n, e in fields])
-
-    # Push the disjunction of the metric predicates to the scan when every metric has one.
-    if all(m.where for _, m in metrics):
-        src_df = src_df.where(" OR ".join(f"({m.where})" for _, m in metrics))
-    structs = ", ".join(f"CASE WHEN {cond} THEN {_struct(fields)} END" for cond, fields in entries)
-    return src_df.selectExpr(f"{link} AS link", *carry, f"inline(filter(array({structs}), t -> t IS NOT NULL))")
+MAX_METRICS = 62
+"""Metric bits in one BIGINT mask."""
+
+
+def _bit(mid: int) -> str:
+    return f"CAST({1 << mid} AS BIGINT)"
+
+
+@dataclass(frozen=True)
+class KeyGroup:
+    """The metrics of a source that count the same expression."""
+
+    number: int
+    value: str
+    integral: bool
+    metrics: tuple[tuple[int, Metric], ...]
+
+    def keep(self) -> str:
+        """Rows that any of the metrics counts."""
+        if all(m.where for _, m in self.metrics):
+            return f"({self.value}) IS NOT NULL AND (" + " OR ".join(f"({m.where})" for _, m in self.metrics) + ")"
+        return f"({self.value}) IS NOT NULL"
+
+    def columns(self) -> dict[str, str]:
+        """g, k_num, k_str and the mask with the bits of the metrics whose predicate holds."""
+        num, text = (("CAST({0} AS BIGINT)", "CAST(NULL AS STRING)") if self.integral
+                     else ("CAST(NULL AS BIGINT)", "CAST({0} AS STRING)"))
+        bits = [f"CASE WHEN {m.where} THEN {_bit(i)} ELSE CAST(0 AS BIGINT) END" if m.where else _bit(i)
+                for i, m in self.metrics]
+        return {"g": str(self.number), "k_num": num.format(f"({self.value})"),
+                "k_str": text.format(f"({self.value})"), "mask": " | ".join(f"({b})" for b in bits)}
+
+
+def _flagged(src_df: DataFrame, groups: list[KeyGroup], link: str, carry: list[str]) -> DataFrame:
+    """Rows (link, [run range], g, k_num, k_str, mask): one per source row and key group that counts it."""
+    src_df = src_df.where(" OR ".join(f"({g.keep()})" for g in groups))
+    if len(groups) == 1:
+        return src_df.selectExpr(f"{link} AS link", *carry, *[f"{e} AS {n}" for n, e in groups[0].columns().items()])
+    # Several counted expressions: still one scan, each row once per expression.
+    rows = ", ".join("named_struct(" + ", ".join(f"'{n}', {e}" for n, e in g.columns().items()) + ")" for g in groups)
+    return (src_df.selectExpr(f"{link} AS link", *carry, f"inline(array({rows}))")
+            .where("mask <> 0 AND (k_num IS NOT NULL OR k_str IS NOT NULL)"))
 
 
 RUN = "_run"
+RANGE = ["_first", "_last"]
 
 
 def scan_window(catalog: Catalog, spec: ReportSpec, source: Source, runs: int = 1) -> DataFrame:
     """The source's rows inside its closed window; the bounds are pushed to the scan, and a
     date-partitioned source also gets the partition predicate so whole days are pruned.
 
-    With ``runs > 1`` the scan covers the window and the ``runs - 1`` daily windows before it,
-    and every row is repeated once per run whose window holds it (column ``_run``: 0 is the
-    latest day) – a bounded fan-out, one copy for most rows."""
+    With ``runs > 1`` the scan covers the window and the ``runs - 1`` daily windows before it;
+    ``_first`` and ``_last`` are the runs (0 is the latest day) whose window holds the row."""
     window = spec.window_of(source)
     span = window.widened(runs)
     df = catalog.scan(source.table, source.time, span.start, span.end)
@@ -97,7 +98,8 @@ def scan_window(catalog: Catalog, spec: ReportSpec, source: Source, runs: int =
         df = df.where(span.partition_days_sql(source.date_partition))
     df = df.where(span.contains_sql(source.time))
     if runs > 1:
-        df = df.selectExpr("*", f"explode({window.run_offsets_sql(source.time, runs)}) AS {RUN}")
+        first, last = window.run_range_sql(source.time, runs)
+        df = df.selectExpr("*", f"{first} AS {RANGE[0]}", f"{last} AS {RANGE[1]}").where(f"{RANGE[0]} <= {RANGE[1]}")
     return df
 
 
@@ -108,49 +110,23 @@ class Measure:
         self.catalog = catalog
         self.spec = spec
         self.entities = entities(catalog, spec.spine, spec.allow)
-        self._departments = department_map(catalog, spec.spine, spec.allow)
-        self._account_map: Sized | None = None
+        self.departments = department_map(catalog, spec.spine, spec.allow)
+        self.account_map = account_map(catalog, spec.spine, self.departments)
         self._sizes: dict[str, int] = {}
         self._integral: dict[tuple[str, str], bool] = {}
 
-    # -- sizes and types (driver side, no data scanned except by the probe job) -------
-
-    def _probe(self, candidates: dict[str, DataFrame], accounts: bool = True) -> None:
-        """Count every candidate not yet sized, together with the spine's dimensions, in one job
-        (the account-id check only when ``accounts``: the metrics need it, the spine does not)."""
-        candidates = {"entities": self.entities, **candidates}
-        values = []
-        if "departments" not in self._sizes:
-            values.append(department_stats(self.catalog, self.spec.spine, self._departments))
-        if accounts and "accounts" not in self._sizes:
-            values.append(account_stats(self.catalog, self.spec.spine, self._departments))
-        self._sizes.update(probe_rows({k: v for k, v in candidates.items() if k not in self._sizes}, values))
-
-    def _sized(self, name: str, frame: DataFrame) -> Sized:
-        return hinted(frame, self._sizes[name], self.spec.max_broadcast_rows)
-
-    def departments(self) -> Sized:
-        """The department map (b_key.., entity_id), hinted for broadcast under the bound."""
-        self._probe({}, accounts=False)
-        return self._sized("departments", self._departments)
-
-    def entity_base(self) -> Sized:
-        self._probe({}, accounts=False)
-        return self._sized("entities", self.entities)
-
-    def account_map_is_function(self) -> bool:
-        """Each account reaches at most one entity row: no department key and no real account
-        id repeats (checked on the data by the size probe)."""
-        self._probe({})
-        s = self._sizes
-        return s["departments"] == s["department_keys"] and s["accounts"] == s["account_ids"]
-
-    def account_map(self) -> Sized:
-        """(account_id, entity_id), broadcast when its counted size is under the bound."""
-        if self._account_map is None:
-            departments = self.departments().frame
-            self._account_map = self._sized("account_map", account_map(self.catalog, self.spec.spine, departments))
-        return self._account_map
+    # -- sizes and types -----------------------------------------------------------------
+
+    def _sized(self, candidates: dict[str, DataFrame]) -> dict[str, Sized]:
+        """Candidates counted in one job and hinted for broadcast under the bound (0: never, and no job).
+
+        Only the windowed sides that Spark's static sizes cannot judge are counted: a leaf behind a
+        header and the parents of a pair metric, whose other side is an unwindowed fact table.
+        """
+        bound = self.spec.max_broadcast_rows
+        if bound > 0:
+            self._sizes.update(probe_rows({k: v for k, v in candidates.items() if k not in self._sizes}))
+        return {k: hinted(v, self._sizes.get(k, bound + 1), bound) for k, v in candidates.items()}
 
     def _types(self, source: Source, values: list[str]) -> dict[str, bool]:
         todo = [v for v in dict.fromkeys(values) if (source.name, v) not in self._integral]
@@ -163,56 +139,63 @@ class Measure:
     # -- plan pieces -------------------------------------------------------------------
 
     def _parent(self, metric: Metric, runs: int) -> DataFrame:
+        """(p_id, entity_id, [_run], copies): the window's parents, mapped to entities."""
         source = self.spec.source_by_name[metric.source]
-        carry = [RUN] if runs > 1 else []
         cond = " AND ".join(([f"({metric.where})"] if metric.where else [])
                             + [f"({metric.value}) IS NOT NULL", f"({source.account}) IS NOT NULL"])
-        return (scan_window(self.catalog, self.spec, source, runs).where(cond)
-                .selectExpr(f"{source.account} AS p_account", f"{metric.value} AS p_id", *carry))
-
-    def _through_header(self, source: Source, leaf: Sized, amap: DataFrame, runs: int) -> DataFrame:
+        rows = scan_window(self.catalog, self.spec, source, runs).where(cond)
+        runs_of = [f"explode(sequence({RANGE[0]}, {RANGE[1]})) AS {RUN}"] if runs > 1 else []
+        rows = rows.selectExpr(f"{source.account} AS p_account", f"{metric.value} AS p_id", *runs_of)
+        amap = self.account_map
+        keys = ["p_id", "entity_id", *([RUN] if runs > 1 else [])]
+        return (rows.join(amap, rows.p_account == amap.account_id).groupBy(*keys)
+                .agg(F.count(F.lit(1)).alias("copies")))
+
+    def _through_header(self, source: Source, leaf: Sized) -> DataFrame:
         """Leaf rows keyed by header id → entity rows.
 
-        The header table is not windowed and is as large as a fact table, so it is not
-        shuffled when a bounded side exists.  First choice: the windowed leaf fits the bound,
-        is broadcast, and the header (mapped to entities through the account map on the map
-        side) streams past it.  Otherwise the header reduced to the report's real accounts is
-        counted; under the bound it is broadcast and the leaf streams.  Only when neither side
-        is bounded do both shuffle on the header id (adaptive execution splits a hot header).
+        The header table is not windowed and is as large as a fact table.  Where the windowed leaf
+        fits the bound it is broadcast and the header, mapped to entities on the map side, streams
+        past it; otherwise both shuffle on the header id (adaptive execution splits a hot header).
         """
         h = source.header
+        amap = self.account_map
         header = (self.catalog.table(h.table)
                   .selectExpr(f"{h.id} AS h_id", f"{h.account} AS h_account"))
         header = header.join(amap, header.h_account == amap.account_id).select("h_id", "entity_id")
-        if not leaf.broadcast:
-            name = f"header:{source.name}"
-            self._probe({name: header})
-            header = self._sized(name, header).frame
-        joined = header.join(leaf.frame, header.h_id == leaf.frame.link)
-        return joined.drop("h_id", "link")
-
-    def _pair_rows(self, mid: int, metric: Metric, parent: Sized, amap: DataFrame,
-                   carry: list[str]) -> DataFrame:
-        """(entity_id, [_run], m, v): v counts parent ⟕ child rows with both ids present.
-
-        The child is not windowed.  When the window's parents fit the broadcast bound, the
-        child streams past them once – one row per matching pair, collapsed by the map-side
-        partial aggregate downstream, so the child is never shuffled and a parent with a
-        huge fan-out costs nothing extra.  Above the bound, children are first counted per
-        parent key (map-side partial aggregate) and that small result is joined.
+        return header.join(leaf.frame, header.h_id == leaf.frame.link).drop("h_id", "link")
+
+    def _pair_rows(self, mid: int, metric: Metric, parent: Sized, carry: list[str]) -> DataFrame:
+        """(entity_id, [_run], mask, n): n counts parent ⟕ child rows with both ids present.
+
+        The child is not windowed.  Parents already carry their entity, so a child row that streams
+        past broadcast parents becomes part of one count per entity in its own task; a parent
+        with a huge fan-out is never shuffled by key.  Above the bound, children are first counted
+        per parent key (map-side partial aggregate) and that result is joined.
         """
         child = metric.child
         kids = (self.catalog.table(child.table).where(f"({child.id}) IS NOT NULL")
                 .selectExpr(f"{child.link} AS c_link"))
-        pframe = parent.frame
         if parent.broadcast:
-            pairs = kids.join(pframe, kids.c_link == pframe.p_id).selectExpr(
-                "p_account", *carry, "CAST(1 AS BIGINT) AS n")
+            pairs = kids.join(parent.frame, kids.c_link == parent.frame.p_id).selectExpr("entity_id", *carry, "copies AS n")
         else:
-            fanout = kids.groupBy("c_link").agg(F.count(F.lit(1)).alias("n"))
-            pairs = pframe.join(fanout, pframe.p_id == fanout.c_link).select("p_account", *carry, "n")
-        joined = pairs.join(amap, pairs.p_account == amap.account_id)
-        return joined.selectExpr("entity_id", *carry, f"{mid} AS m", "n AS v")
+            fanout = kids.groupBy("c_link").agg(F.count(F.lit(1)).alias("kids"))
+            pairs = (parent.frame.join(fanout, parent.frame.p_id == fanout.c_link)
+                     .selectExpr("entity_id", *carry, "copies * kids AS n"))
+        return pairs.selectExpr("entity_id", *carry, f"{_bit(mid)} AS mask", "n")
+
+    def _distinct_rows(self, rows: DataFrame, runs: int) -> DataFrame:
+        """(entity_id, [_run], mask, n): one row per distinct key (and run) with the bits of its metrics."""
+        keys = ["entity_id", "g", "k_num", "k_str"]
+        if runs == 1:
+            one = rows.groupBy(*keys).agg(F.bit_or("mask").alias("mask"))
+            return one.selectExpr("entity_id", "mask", "CAST(1 AS BIGINT) AS n")
+        # A key's rows differ by at most runs x runs ranges and the masks of its source.
+        spans = rows.groupBy(*keys).agg(F.collect_set(F.struct(*RANGE, "mask")).alias("spans"))
+        per_run = (f"transform(sequence(0, {runs - 1}), r -> aggregate(filter(spans, s -> s.{RANGE[0]} <= r AND "
+                   f"r <= s.{RANGE[1]}), CAST(0 AS BIGINT), (a, s) -> a | s.mask))")
+        return (spans.selectExpr("entity_id", f"posexplode({per_run}) AS ({RUN}, mask)").where("mask <> 0")
+                .selectExpr("entity_id", RUN, "mask", "CAST(1 AS BIGINT) AS n"))
 
     # -- the wide frame ----------------------------------------------------------------
 
@@ -224,76 +207,53 @@ class Measure:
         The base ids enter the final aggregate as zero-valued rows, so entities without activity
         are kept; the aggregate holds only numbers (a hash aggregate: a string ``max`` would force
         a sort-based aggregate that sorts every deduplicated row on the map side), and the
-        names come from the size-checked entity base joined to the per-entity result.
+        names come from the entity base joined to the per-entity result.
         """
         base = self.entities
         carry = [RUN] if runs > 1 else []
-        if runs > 1:
-            base_rows = base.selectExpr("*", f"explode(sequence(0, {runs - 1})) AS {RUN}")
-        else:
-            base_rows = base
+        base_rows = base.selectExpr("*", f"explode(sequence(0, {runs - 1})) AS {RUN}") if runs > 1 else base
         numbered = [(i, m) for i, m in enumerate(metrics) if m.measure in (DISTINCT, PAIRS)]
         if not numbered:
             return base_rows
-        distinct = [(i, m) for i, m in numbered if m.measure == DISTINCT]
+        if numbered[-1][0] > MAX_METRICS:
+            raise ValueError(f"at most {MAX_METRICS + 1} metrics can be measured in one plan")
         pairs = [(i, m) for i, m in numbered if m.measure == PAIRS]
 
-        by_source: dict[str, list[tuple[int, Metric]]] = defaultdict(list)
-        for mid, m in distinct:
-            by_source[m.source].append((mid, m))
-        integral: dict[str, dict[str, bool]] = {
-            name: self._types(self.spec.source_by_name[name], [m.value for _, m in group])
-            for name, group in by_source.items()}
-        flags = [v for types in integral.values() for v in types.values()]
-        key_cols = (any(flags), not all(flags))
-
-        leaves = {}
-        for name, group in by_source.items():
-            source = self.spec.source_by_name[name]
-            if source.header is not None:
-                scan = scan_window(self.catalog, self.spec, source, runs)
-                leaves[name] = _tagged(scan, group, source.header.link, key_cols, integral[name], carry)
-        parents = {m.key: self._parent(m, runs) for _, m in pairs}
-
-        candidates = {f"leaf:{n}:{runs}": f for n, f in leaves.items()}
-        candidates.update({f"parent:{k}:{runs}": f for k, f in parents.items()})
-        self._probe(candidates)
-        amap = self.account_map().frame
-
-        # COUNT(DISTINCT primary key) over rows that reach one entity once is a row count:
-        # those metrics skip deduplication (NULL keys), so their rows collapse in the
-        # map-side partial aggregate instead of crossing the network one by one.
-        functional = self.account_map_is_function()
-        counted = frozenset(mid for mid, m in distinct if m.value_unique and functional
-                            and self.spec.source_by_name[m.source].header is None)
-        direct = []
-        for name, group in by_source.items():
+        # One scan per source, one key group per counted expression.
+        by_source: dict[str, dict[str, list[tuple[int, Metric]]]] = {}
+        for mid, m in numbered:
+            if m.measure == DISTINCT:
+                by_source.setdefault(m.source, {}).setdefault(m.value, []).append((mid, m))
+        direct: list[DataFrame] = []
+        leaves: dict[str, DataFrame] = {}
+        number = 0
+        for name, values in by_source.items():
             source = self.spec.source_by_name[name]
-            if source.header is None:
-                scan = scan_window(self.catalog, self.spec, source, runs)
-                direct.append(_tagged(scan, group, source.account, key_cols, integral[name], carry, counted))
+            integral = self._types(source, list(values))
+            groups = [KeyGroup(number + k, v, integral[v], tuple(ms)) for k, (v, ms) in enumerate(values.items())]
+            number += len(groups)
+            rows = _flagged(scan_window(self.catalog, self.spec, source, runs), groups,
+                            source.header.link if source.header else source.account, RANGE if runs > 1 else [])
+            if source.header:
+                leaves[name] = rows
+            else:
+                direct.append(rows)
+        parents = {f"parent:{m.key}:{runs}": self._parent(m, runs) for _, m in pairs}
+        sized = self._sized({**{f"leaf:{n}:{runs}": f for n, f in leaves.items()}, **parents})
 
         parts = []
-        if direct or leaves:
-            entity_rows = []
-            if direct:
-                rows = reduce(DataFrame.unionByName, direct)
-                entity_rows.append(rows.join(amap, rows.link == amap.account_id).drop("link", "account_id"))
-            for name, leaf in leaves.items():
-                sized = self._sized(f"leaf:{name}:{runs}", leaf)
-                entity_rows.append(self._through_header(self.spec.source_by_name[name], sized, amap, runs))
-            rows = reduce(DataFrame.unionByName, entity_rows)
-            # One row per distinct (entity, [run], metric, key) with its multiplicity ``c``: a
-            # distinct metric counts groups (v = 1), a counted metric sums ``c``.
-            groups = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("c"))
-            v = (f"CASE WHEN m IN ({', '.join(map(str, sorted(counted)))}) THEN c ELSE CAST(1 AS BIGINT) END"
-                 if counted else "CAST(1 AS BIGINT)")
-            parts.append(groups.selectExpr("entity_id", *carry, "m", f"{v} AS v"))
-        for i, m in pairs:
-            parts.append(self._pair_rows(i, m, self._sized(f"parent:{m.key}:{runs}", parents[m.key]), amap, carry))
-        long = reduce(DataFrame.unionByName, parts).selectExpr("entity_id", *carry, "m", "v")
-        long = long.unionByName(base_rows.selectExpr("entity_id", *carry, "-1 AS m", "CAST(0 AS BIGINT) AS v"))
+        entity_rows = []
+        if direct:
+            rows = reduce(DataFrame.unionByName, direct)
+            entity_rows.append(rows.join(self.account_map, rows.link == self.account_map.account_id)
+                               .drop("link", "account_id"))
+        entity_rows += [self._through_header(self.spec.source_by_name[n], sized[f"leaf:{n}:{runs}"]) for n in leaves]
+        if entity_rows:
+            parts.append(self._distinct_rows(reduce(DataFrame.unionByName, entity_rows), runs))
+        parts += [self._pair_rows(i, m, sized[f"parent:{m.key}:{runs}"], carry) for i, m in pairs]
+        long = reduce(DataFrame.unionByName, parts)
+        long = long.unionByName(base_rows.selectExpr("entity_id", *carry, "CAST(0 AS BIGINT) AS mask",
+                                                     "CAST(0 AS BIGINT) AS n"))
         per_entity = long.groupBy("entity_id", *carry).agg(
-            *[F.expr(f"sum(CASE WHEN m = {i} THEN v END) AS `{m.column}`") for i, m in numbered])
-        names = self._sized("entities", base).frame
-        return per_entity.join(names, "entity_id")
+            *[F.expr(f"sum(CASE WHEN (mask & {_bit(i)}) <> 0 THEN n END) AS `{m.column}`") for i, m in numbered])
+        return per_entity.join(base, "entity_id")

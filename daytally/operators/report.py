@@ -37,9 +37,7 @@ class DailyReport:
     def spine(self) -> DataFrame:
         if self._spine is None:
             m = self.measure()
-            departments = m.departments()
-            self._spine = build_spine(self.catalog, self.spec.spine, departments.frame, m.entity_base().frame,
-                                      small_keys=departments.broadcast)
+            self._spine = build_spine(self.catalog, self.spec.spine, m.departments, m.entities)
         return self._spine
 
     def measure(self) -> Measure:
@@ -76,7 +74,8 @@ class DailyReport:
         m = self.spec.metric(key)
         df = self.wide([m])
         if m.account_filter == "where":
-            has_account = self.measure().account_map().frame.select("entity_id")
+            # Distinct first: a few ids per task leave the account map, however large one entity is.
+            has_account = self.measure().account_map.select("entity_id").distinct()
             df = df.join(has_account, "entity_id", "left_semi")
         return self._named(df, fill_name=False)
 

@@ -75,7 +75,6 @@ class Metric:
     account_filter: str = "on"           # "where": entities with no real account drop out of the raw metric
     child: Child | None = None
     constant: int = 0
-    value_unique: bool = False           # the counted value is the source's primary key (declare only then)
 
 
 @dataclass(frozen=True)

@@ -6,8 +6,8 @@ never deduplicated: a repeated bridge row repeats the account, and pair counts d
 that multiplicity exactly as the original left-join chain does.
 
 The metrics only need its inner part, the account map ``account → entity``.  That is
-built as ``real accounts ⋈ department map`` with the (small, size-checked) department map
-broadcast, so the large account table streams instead of being shuffled; the full left
+built as ``real accounts ⋈ department map``, where Spark broadcasts the small department map by
+its size, so the large account table streams instead of being shuffled; the full left
 chain is built only for the ``spine_active_accounts`` output.
 """
 
@@ -43,36 +43,28 @@ def real_accounts(catalog: Catalog, spec: SpineSpec) -> DataFrame:
     return catalog.table(spec.account_table).where(F.expr(spec.account_dummy) == 0).select(*cols)
 
 
-def build_spine(catalog: Catalog, spec: SpineSpec, departments: DataFrame, entity_base: DataFrame,
-                small_keys: bool) -> DataFrame:
+def build_spine(catalog: Catalog, spec: SpineSpec, departments: DataFrame, entity_base: DataFrame) -> DataFrame:
     """Columns: entity_id, entity_name, account_id – the rows of the left chain
     ``entity ⟕ bridge ⟕ account(dummy = 0)``, without shuffling the account table:
 
-    * each (department row, real account) pair: accounts stream past the department map,
-      which the caller passes size-checked (broadcast under the bound);
+    * each (department row, real account) pair: accounts stream past the department map;
     * a NULL account for each department row no real account reaches;
     * a NULL account for each entity without any department row.
-
-    ``small_keys`` says the department map is under the broadcast bound, so the (at most as
-    many) matched keys may be broadcast for the anti join.
     """
     acc = real_accounts(catalog, spec)
     n = len(spec.account_keys)
     bkeys = [f"b_key{i}" for i in range(n)]
     inner = acc.join(departments, _key_match(acc, departments, n))
     matched = inner.select(*bkeys).distinct()
-    if small_keys:
-        matched = F.broadcast(matched)
     cond = None
     for k in bkeys:
         c = departments[k] == matched[k]
         cond = c if cond is None else cond & c
-    lonely = departments.join(matched, cond, "left_anti").selectExpr("entity_id", "CAST(NULL AS BIGINT) AS account_id")
+    none = F.lit(None).cast(acc.schema["account_id"].dataType).alias("account_id")
+    lonely = departments.join(matched, cond, "left_anti").select("entity_id", none)
     covered = departments.select("entity_id").distinct()
-    bare = entity_base.select("entity_id").join(covered, "entity_id", "left_anti").selectExpr(
-        "entity_id", "CAST(NULL AS BIGINT) AS account_id")
-    rows = (inner.selectExpr("entity_id", "CAST(account_id AS BIGINT) AS account_id")
-            .unionByName(lonely).unionByName(bare))
+    bare = entity_base.select("entity_id").join(covered, "entity_id", "left_anti").select("entity_id", none)
+    rows = inner.select("entity_id", "account_id").unionByName(lonely).unionByName(bare)
     return rows.join(entity_base, "entity_id").select("entity_id", "entity_name", "account_id")
 
 
@@ -91,36 +83,12 @@ def _key_match(acc: DataFrame, departments: DataFrame, n: int):
     return cond
 
 
-def department_stats(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> DataFrame:
-    """One row: ``departments`` (rows of the department map), ``department_keys`` (its distinct
-    keys; equal to ``departments`` when each account reaches at most one entity row) and
-    ``account_map`` (how many rows :func:`account_map` will have), without building the
-    account map: real accounts are counted per key (a map-side partial aggregate, at most one
-    row per key leaves each task) and attached to the department rows."""
-    keys = [f"a_key{i}" for i in range(len(spec.account_keys))]
-    per_key = real_accounts(catalog, spec).groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
-    joined = departments.join(per_key, _key_match(per_key, departments, len(keys)), "left")
-    bkeys = ", ".join(f"b_key{i}" for i in range(len(keys)))
-    return joined.agg(F.expr("count(1) AS departments"),
-                      F.expr(f"count(DISTINCT struct({bkeys})) AS department_keys"),
-                      F.expr("coalesce(sum(c), 0) AS account_map"))
-
-
-def account_stats(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> DataFrame:
-    """One row: ``accounts`` and ``account_ids`` (distinct ids) of the real accounts that reach
-    a department of the report; equal when none of them repeats an id.  Only those accounts
-    are deduplicated, not the whole account table."""
-    acc = real_accounts(catalog, spec)
-    reached = acc.join(departments, _key_match(acc, departments, len(spec.account_keys)), "left_semi")
-    return reached.agg(F.expr("count(1) AS accounts"), F.expr("count(DISTINCT account_id) AS account_ids"))
-
-
 def account_map(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> DataFrame:
     """(account_id, entity_id) for every real account of an allow-listed entity.
 
     The inner part of the spine: a repeated bridge row repeats the account, as in the chain.
-    ``departments`` comes size-checked from the caller, so the large account table streams
-    past a broadcast department map instead of being shuffled.
+    The department map is a small dimension: Spark broadcasts it by its size in bytes, and the
+    large account table streams past it.
     """
     acc = real_accounts(catalog, spec)
     return acc.join(departments, _key_match(acc, departments, len(spec.account_keys))).select(

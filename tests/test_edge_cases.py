@@ -179,10 +179,17 @@ def test_empty_allow_list(spark):
 
 
 def test_shuffle_fallback_when_broadcast_bound_is_exceeded(spark, report):
-    """With a zero row bound nothing is broadcast; the numbers must not change."""
+    """With a zero row bound and no automatic broadcast everything shuffles; the numbers must not change."""
+    want = report.detail().collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     rep = DailyReport(_catalog(spark), reference_schema.report_spec(WINDOW, allow=ALLOW, max_broadcast_rows=0))
-    assert rep.detail().collect() == report.detail().collect()
-    assert not rep.measure().account_map().broadcast
+    df = rep.detail()
+    assert df.collect() == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
 
 
 def test_backfill_equals_the_daily_runs(spark, report):
@@ -236,6 +243,5 @@ def test_repeated_account_row_keeps_distinct_counts(spark):
     accounts = ROWS["college_account_new"] + [(11, 10, 0)]
     rep = DailyReport(_catalog(spark, {"college_account_new": accounts}),
                       reference_schema.report_spec(WINDOW, allow=ALLOW))
-    assert not rep.measure().account_map_is_function()  # the row-count shortcut is refused
     assert _by_id(rep.metric("metric_attendance"), "attendance_count")[1] == 2
     assert _by_id(rep.metric("metric_remediate"), "remediate_count")[1] == 2

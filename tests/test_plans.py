@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from daytally.plans.queries import fixture_report
+from daytally.plans.queries import fixture_report, queries
 
 from .conftest import SF001
 
@@ -14,9 +14,7 @@ def _plan(df) -> str:
 
 
 def test_no_cartesian_and_no_python_in_any_query(spark):
-    import __spark_entry__ as entry
-
-    for key, fn in entry.queries().items():
+    for key, fn in queries().items():
         plan = _plan(fn(spark, SF001))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                     "FlatMapGroupsInPandas", "MapInPandas"):
@@ -52,10 +50,53 @@ def test_single_partition_only_after_aggregation(spark):
     assert text.count("Exchange SinglePartition") <= 1
 
 
-def test_spine_is_broadcast_after_a_size_check(spark):
-    rep = fixture_report(spark, SF001)
-    sized = rep.measure().account_map()
-    assert sized.broadcast and sized.rows > 0
+def _jobs(spark) -> int:
+    return spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+
+
+def test_account_map_needs_no_job_and_is_broadcast_by_its_size(spark):
+    fixture_report(spark, SF001).metric("metric_attendance")  # file schemas are read once per application
+    before = _jobs(spark)
+    plan = _plan(fixture_report(spark, SF001).metric("metric_attendance"))
+    assert _jobs(spark) == before  # building the query runs nothing
+    assert "BroadcastHashJoin [link" in plan
+    assert "hashpartitioning(account_id" not in plan
+
+
+def test_entities_with_an_account_are_reduced_before_the_semi_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = _plan(replace_bound(fixture_report(spark, SF001), 0).metric("metric_teach_studio"))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    semi = plan[plan.index("LeftSemi"):]
+    # What is shuffled for the semi join comes out of a partial aggregate, not straight from the accounts.
+    assert re.search(r"HashAggregate\(keys=\[entity_id[^\n]*\n[^\n]*Exchange hashpartitioning\(entity_id[^\n]*\n"
+                     r"[^\n]*HashAggregate\(keys=\[entity_id", semi)
+
+
+def test_parents_reach_their_entity_before_the_child(spark):
+    """Whichever side is over the bound, no row per pair is shuffled by account."""
+    want = sorted(fixture_report(spark, SF001).metric("metric_remediate").collect())
+    for bound, threshold in ((2_000_000, "-1"), (0, "-1")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        df = replace_bound(fixture_report(spark, SF001), bound).metric("metric_remediate")
+        plan = _plan(df)
+        got = sorted(df.collect())
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert got == want
+        # The account join lies below the join with the child table.
+        lines = plan.splitlines()
+        child = next(i for i, x in enumerate(lines) if "lineitem.parquet" in x)
+        account = [i for i, x in enumerate(lines) if "p_account" in x and "Join" in x]
+        child_join = next(i for i, x in enumerate(lines) if "Join" in x and "c_link" in x)
+        assert account and min(account) > child_join and child > child_join
+
+
+def replace_bound(report, rows: int):
+    from dataclasses import replace
+
+    from daytally import DailyReport
+
+    return DailyReport(report.catalog, replace(report.spec, max_broadcast_rows=rows))
 
 
 def test_date_partitioned_source_prunes_days(spark, scratch_dir):
@@ -81,19 +122,12 @@ def test_date_partitioned_source_prunes_days(spark, scratch_dir):
     assert sorted(rep.metric("metric_attendance").collect()) == sorted(base.metric("metric_attendance").collect())
 
 
-def test_header_hop_broadcasts_the_reduced_header_when_the_leaf_is_large(spark):
+def test_header_hop_with_a_large_leaf(spark):
     want = sorted(fixture_report(spark, SF001).metric("metric_hook_search").collect())
     rep = fixture_report(spark, SF001)
-    m = rep.measure()
-    # Pretend the windowed leaf is over the bound: the reduced header must be broadcast instead.
-    m._sizes["leaf:shipments:1"] = rep.spec.max_broadcast_rows + 1
-    df = rep.metric("metric_hook_search")
-    assert sorted(df.collect()) == want
-    assert m._sizes["header:shipments"] <= rep.spec.max_broadcast_rows
-    join = next(line for line in _plan(df).splitlines() if "BroadcastHashJoin [h_id" in line)
-    assert "BuildLeft" in join  # header side built, leaf streamed
-
-
-def test_fixture_account_map_is_a_function(spark):
-    """Unique department keys and account ids: primary-key metrics take the row-count path."""
-    assert fixture_report(spark, SF001).measure().account_map_is_function()
+    # The windowed leaf is over the bound: it is not hinted, and the numbers stay.
+    rep.measure()._sizes["leaf:shipments:1"] = rep.spec.max_broadcast_rows + 1
+    assert sorted(rep.metric("metric_hook_search").collect()) == want
+    leaf = _plan(fixture_report(spark, SF001).metric("metric_hook_search"))
+    join = next(line for line in leaf.splitlines() if "BroadcastHashJoin [h_id" in line)
+    assert "BuildRight" in join  # leaf side built, header streamed
