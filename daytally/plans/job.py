@@ -8,13 +8,14 @@ write does not re-run the fact scans.
 Command line (original schema, Parquet exports or JDBC)::
 
     python -m daytally.plans.job --tables s3a://bucket/exports --out s3a://bucket/reports \\
-        [--report-date 2024-01-16] [--cut-hour 8] [--allow 9,21,27] [--backfill-days 30]
+        [--report-date 2024-01-16] [--time-zone Asia/Kolkata] [--cut-hour 8] [--allow 9,21,27] \\
+        [--date-partition day] [--backfill-days 30]
 """
 
 from __future__ import annotations
 
 import argparse
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 
@@ -22,16 +23,15 @@ from ..functions.window import CUT_HOUR, ReportWindow
 from ..operators.report import DailyReport
 from ..session import ensure_checkpoint_dir, get_session
 from ..sources.catalog import Catalog
-from ..sources.jdbc import JdbcConfig
+from ..sources.jdbc import JdbcConfig, Partitioning
 from ..sources.sinks import DETAIL_ORDER, SUMMARY_ORDER, write_partitioned
 from . import reference_schema
 
 
-def run_daily(report: DailyReport, out_dir: str, *, report_date: date | None = None,
-              local_checkpoint_fallback: bool = False) -> dict[str, str]:
+def run_daily(report: DailyReport, out_dir: str) -> dict[str, str]:
     spark = report.catalog.spark
-    ensure_checkpoint_dir(spark, local_fallback=local_checkpoint_fallback)
-    day = report_date or report.spec.window.report_date
+    ensure_checkpoint_dir(spark)
+    day = report.spec.window.report_date
     wide = report.wide().checkpoint(eager=True)
     paths = {"detail": f"{out_dir}/detail", "summary": f"{out_dir}/summary"}
     write_partitioned(report.detail(wide), paths["detail"], day, order_by=DETAIL_ORDER)
@@ -39,41 +39,63 @@ def run_daily(report: DailyReport, out_dir: str, *, report_date: date | None = N
     return paths
 
 
-def run_backfill(report: DailyReport, out_dir: str, days: int, *,
-                 local_checkpoint_fallback: bool = False) -> dict[str, str]:
+def run_backfill(report: DailyReport, out_dir: str, days: int) -> dict[str, str]:
     """The daily job for ``days`` consecutive report days (the latest is the report's own day),
     measured in one pass over the facts; each day lands in (and replaces) its own partition."""
     spark = report.catalog.spark
-    ensure_checkpoint_dir(spark, local_fallback=local_checkpoint_fallback)
+    ensure_checkpoint_dir(spark)
     wide = report.wide(runs=days).checkpoint(eager=True)
+    every = [report.spec.window.report_date - timedelta(days=k) for k in range(days)]
     paths = {"detail": f"{out_dir}/detail", "summary": f"{out_dir}/summary"}
-    write_partitioned(report.backfill_detail(days, wide), paths["detail"], order_by=DETAIL_ORDER)
-    write_partitioned(report.backfill_summary(days, wide), paths["summary"], order_by=SUMMARY_ORDER)
+    write_partitioned(report.backfill_detail(days, wide), paths["detail"], every, order_by=DETAIL_ORDER)
+    write_partitioned(report.backfill_summary(days, wide), paths["summary"], every, order_by=SUMMARY_ORDER)
     return paths
 
 
-def main(argv: list[str] | None = None) -> None:
+def _arguments(argv: list[str] | None) -> argparse.Namespace:
     ap = argparse.ArgumentParser(description="Daily activity report")
     ap.add_argument("--tables", help="folder of table exports (<name>.parquet); omit to read over JDBC")
     ap.add_argument("--out", required=True)
-    ap.add_argument("--report-date", help="YYYY-MM-DD; default: today on the driver clock")
+    ap.add_argument("--report-date", help="YYYY-MM-DD; default: today in --time-zone")
+    ap.add_argument("--time-zone", default="UTC",
+                    help="zone of the fact times, the report day and the cut hour (also of the database session)")
     ap.add_argument("--cut-hour", type=int, default=CUT_HOUR)
     ap.add_argument("--lookback-days", type=int, default=1)
     ap.add_argument("--allow", help="comma-separated entity ids; default: the original allow-list")
     ap.add_argument("--backfill-days", type=int, default=1,
                     help="write this many consecutive report days ending at --report-date, in one pass")
+    ap.add_argument("--date-partition", help="DATE partition column of day-partitioned fact exports")
+    ap.add_argument("--max-broadcast-rows", type=int, default=2_000_000,
+                    help="rows up to which a counted windowed side is hinted for broadcast; 0: never")
     ap.add_argument("--jdbc-time-slices", type=int, default=16,
                     help="JDBC only: parallel time-range queries per windowed fact table")
-    args = ap.parse_args(argv)
+    ap.add_argument("--jdbc-key-range", action="append", default=[], metavar="TABLE:COLUMN:LOWER:UPPER:PARTITIONS",
+                    help="JDBC only: read an unwindowed table by ranges of a numeric key; repeatable")
+    return ap.parse_args(argv)
+
+
+def build_report(spark: SparkSession, args: argparse.Namespace) -> DailyReport:
+    """The report that the command line asks for."""
     allow = tuple(int(x) for x in args.allow.split(",") if x.strip()) if args.allow is not None \
         else reference_schema.ALLOW_LIST
+    lookback = timedelta(days=args.lookback_days)
+    window = (ReportWindow.closing_on(date.fromisoformat(args.report_date), args.cut_hour, lookback) if args.report_date
+              else ReportWindow.for_run(args.time_zone, cut_hour=args.cut_hour, lookback=lookback))
+    spark.conf.set("spark.sql.session.timeZone", args.time_zone)
+    if args.tables:
+        catalog = Catalog.parquet_dir(spark, args.tables, columns=reference_schema.COLUMNS)
+    else:
+        ranges = {t: Partitioning(c, int(lo), int(hi), int(n))
+                  for t, c, lo, hi, n in (r.split(":") for r in args.jdbc_key_range)}
+        catalog = Catalog(spark, jdbc=JdbcConfig.mysql_from_env(
+            time_slices=args.jdbc_time_slices, partitioning=ranges, zone_offset=window.zone_offset(args.time_zone)))
+    return DailyReport(catalog, reference_schema.report_spec(
+        window, allow=allow, max_broadcast_rows=args.max_broadcast_rows, date_partition=args.date_partition))
+
 
-    day = date.fromisoformat(args.report_date) if args.report_date else datetime.now().date()
-    window = ReportWindow.closing_on(day, args.cut_hour, timedelta(days=args.lookback_days))
-    spark: SparkSession = get_session()
-    catalog = (Catalog.parquet_dir(spark, args.tables) if args.tables
-               else Catalog(spark, jdbc=JdbcConfig.mysql_from_env(time_slices=args.jdbc_time_slices)))
-    report = DailyReport(catalog, reference_schema.report_spec(window, allow=allow))
+def main(argv: list[str] | None = None) -> None:
+    args = _arguments(argv)
+    report = build_report(get_session(), args)
     if args.backfill_days > 1:
         run_backfill(report, args.out, args.backfill_days)
     else:

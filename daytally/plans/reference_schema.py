@@ -7,6 +7,8 @@ fixed values of that schema.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,18 @@ SOURCES = (
     Source("faculty_feedback", "faculty_feedback", "college_account_id", "created_at"),
 )
 
+# Columns that the report reads of each table; types are those of the export (the original declares none).
+_COUNTED = {"coding_submissions": ("question_id",), "subjective": ("id", "is_assignment"),
+            "questionnaire": ("id", "remedial_path")}
+COLUMNS = {
+    "college": ("id", "college_name"),
+    "college_university_degree_department_new": ("id", "college_id"),
+    "college_account_new": ("id", "college_university_degree_department_id", "dummy"),
+    "college_account_co_pilot_search": ("id", "college_account_id"),
+    "questionnaire_remedial_path": ("id", "questionnaire_id"),
+    **{s.table: (*_COUNTED.get(s.name, ("id",)), s.header.link if s.header else s.account, s.time) for s in SOURCES},
+}
+
 # Metric key → (source, counted column, extra predicate, account flag placement).
 _DISTINCT = {
     "metric_attendance": ("class_hours", "id", None, "on"),
@@ -74,9 +88,7 @@ def metrics() -> tuple[Metric, ...]:
     for key, module, column in ((k, MODULE_OF[k], COLUMN_OF[k]) for k in MODULE_OF):
         if key in _DISTINCT:
             source, value, where, placement = _DISTINCT[key]
-            # ``id`` is each fact table's primary key; ``question_id`` is not.
-            out.append(Metric(key, module, column, source, value=value, where=where, account_filter=placement,
-                              value_unique=value == "id"))
+            out.append(Metric(key, module, column, source, value=value, where=where, account_filter=placement))
         elif key == "metric_analyse":
             out.append(Metric(key, module, column, measure=CONSTANT, constant=0))
         elif key == "metric_remediate":
@@ -87,8 +99,10 @@ def metrics() -> tuple[Metric, ...]:
 
 
 def report_spec(window: ReportWindow, allow: tuple[int, ...] | None = ALLOW_LIST,
-                max_broadcast_rows: int = 2_000_000) -> ReportSpec:
-    return ReportSpec(spine=SPINE, sources=SOURCES, metrics=metrics(), modules=MODULES, window=window,
+                max_broadcast_rows: int = 2_000_000, date_partition: str | None = None) -> ReportSpec:
+    """``date_partition`` names the DATE partition column of day-partitioned fact exports."""
+    sources = tuple(replace(s, date_partition=date_partition) for s in SOURCES)
+    return ReportSpec(spine=SPINE, sources=sources, metrics=metrics(), modules=MODULES, window=window,
                       allow=allow, max_broadcast_rows=max_broadcast_rows)
 
 

@@ -7,9 +7,6 @@ execution with skew-join splitting, UTC session clock, no UI server.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -40,23 +37,15 @@ def get_session(master: str | None = None, app: str = "daytally",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, *, local_fallback: bool = False) -> str:
-    """Make sure reliable checkpoints have a home and return it.
-
-    The cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always used.  Only when it is unset *and* the caller says this is a local
-    run (tests, benches) is a fresh scratch folder created.
-    """
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make sure reliable checkpoints have a home, the shared folder that the cluster names in
+    ``spark.checkpoint.dir``, and return it."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    if not local_fallback:
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder the executors can reach")
-    folder = tempfile.mkdtemp(prefix="daytally-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(folder)
-    return folder
+    sc.setCheckpointDir(configured)
+    return configured

@@ -8,8 +8,7 @@ and filter pushdown reach the real scan through Catalyst.
 
 from __future__ import annotations
 
-import os
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -26,6 +25,7 @@ class Catalog:
     paths: Mapping[str, str] = field(default_factory=dict)
     frames: Mapping[str, DataFrame] = field(default_factory=dict)
     schemas: Mapping[str, StructType | str] = field(default_factory=dict)  # StructType or DDL text
+    columns: Mapping[str, tuple[str, ...]] = field(default_factory=dict)  # required, where no schema is declared
     jdbc: JdbcConfig | None = None
     fmt: str = "parquet"
     _loaded: dict[str, DataFrame] = field(default_factory=dict, init=False, repr=False)
@@ -44,22 +44,33 @@ class Catalog:
         if self.root is None:
             raise KeyError(f"no location for table {name!r}")
         for candidate in (f"{self.root}/{name}.{self.fmt}", f"{self.root}/{name}"):
-            if candidate.startswith(("s3:", "s3a:", "gs:", "abfs:", "hdfs:")) or os.path.exists(candidate):
+            if _exists(self.spark, candidate):
                 return candidate
         return f"{self.root}/{name}.{self.fmt}"
 
     def table(self, name: str) -> DataFrame:
-        """The table as a lazy DataFrame; resolved once per catalog (file listing, footer schema)."""
+        """The table as a lazy DataFrame; resolved once per catalog (file listing, footer schema).
+
+        The files must have all declared columns: under a declared schema a renamed column would
+        otherwise read as NULL and count as zero.
+        """
         if name in self.frames:
             return self.frames[name]
         if name not in self._loaded:
             if self.jdbc is not None and name not in self.paths and self.root is None:
                 self._loaded[name] = read_jdbc(self.spark, self.jdbc, name)
             else:
+                path = self.path(name)
                 reader = self.spark.read.format(self.fmt)
                 if name in self.schemas:
-                    reader = reader.schema(self.schemas[name])
-                self._loaded[name] = reader.load(self.path(name))
+                    declared = self.schemas[name]
+                    if isinstance(declared, str):
+                        declared = StructType.fromDDL(declared)
+                    _require_columns(self.spark, self.fmt, path, declared.names)
+                    reader = reader.schema(_with_partitions(self.spark, self.fmt, path, declared))
+                elif name in self.columns:
+                    _require_columns(self.spark, self.fmt, path, self.columns[name])
+                self._loaded[name] = reader.load(path)
         return self._loaded[name]
 
     def scan(self, name: str, time_col: str, start: datetime, end: datetime) -> DataFrame:
@@ -79,3 +90,33 @@ class Catalog:
         """Run Spark SQL over catalog tables (registered as temp views); errors raise."""
         self.register_views(tables)
         return self.spark.sql(text)
+
+
+_file_schemas: dict[tuple[str, str], StructType] = {}
+
+
+def _file_schema(spark: SparkSession, fmt: str, path: str) -> StructType:
+    """The schema that the files at ``path`` carry (one footer, read once per application and path)."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _file_schemas:
+        _file_schemas[key] = spark.read.format(fmt).load(path).schema
+    return _file_schemas[key]
+
+
+def _require_columns(spark: SparkSession, fmt: str, path: str, columns: Iterable[str]) -> None:
+    missing = [c for c in columns if c not in _file_schema(spark, fmt, path).names]
+    if missing:
+        raise ValueError(f"{path} lacks the declared columns {', '.join(missing)}")
+
+
+def _with_partitions(spark: SparkSession, fmt: str, path: str, declared: StructType) -> StructType:
+    """The declared columns and the files' other DATE columns (a day partition has one)."""
+    extra = [f for f in _file_schema(spark, fmt, path).fields
+             if f.name not in declared.names and f.dataType.typeName() == "date"]
+    return StructType([*declared.fields, *extra])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark can see ``path``, whatever store it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -34,6 +34,7 @@ class JdbcConfig:
     connect_timeout_s: int = 20
     partitioning: dict[str, Partitioning] = field(default_factory=dict)
     time_slices: int = 0   # > 0: read a windowed table as this many parallel time-range queries
+    zone_offset: str = "+00:00"   # the database session's time zone, equal to Spark's
 
     @classmethod
     def mysql_from_env(cls, prefix: str = "DB_", **kw) -> "JdbcConfig":
@@ -53,7 +54,7 @@ def jdbc_options(cfg: JdbcConfig, table: str) -> dict[str, str]:
         "queryTimeout": "0",
     }
     if cfg.url.startswith("jdbc:mysql:"):
-        opts["sessionInitStatement"] = "SET SESSION time_zone = '+00:00'"
+        opts["sessionInitStatement"] = f"SET SESSION time_zone = '{cfg.zone_offset}'"
         opts["connectTimeout"] = str(cfg.connect_timeout_s * 1000)
     if cfg.user is not None:
         opts["user"] = cfg.user

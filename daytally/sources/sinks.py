@@ -1,39 +1,44 @@
 """Report sinks: the detail and summary tables, partitioned by report date.
 
-A rerun of one day replaces only that day's partition (dynamic partition overwrite), so
+A rerun of one day replaces only that day's partition, also when the rerun has no rows, so
 backfills and retries are idempotent and never touch other days.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, report_date: date | None = None, *, fmt: str = "parquet",
+def write_partitioned(df: DataFrame, path: str, days: date | Iterable[date], *, fmt: str = "parquet",
                       partition_col: str = "report_date", order_by: list[str] | None = None) -> None:
-    """Write ``df`` under ``path`` partitioned by report day, replacing only the days written.
+    """Replace ``days`` of the table under ``path``, which is partitioned by report day.
 
-    With ``report_date`` every row belongs to that day; without it ``df`` carries the day in
-    ``partition_col`` (ISO text or DATE), as a backfill does.  Each day is one file, its
-    rows in the order of the SQL expressions ``order_by``.
+    With one day every row of ``df`` belongs to it; with several ``df`` carries the day in
+    ``partition_col`` (ISO text or DATE), as a backfill does.  Each day is one file, its rows in the
+    order of the SQL expressions ``order_by``.  A day without rows is left empty, not stale.
     """
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    day = F.lit(report_date.isoformat()) if report_date is not None else F.col(partition_col)
-    try:
-        (df.withColumn(partition_col, day.cast("date"))
-           .repartition(partition_col)  # one small file per report day, not one per shuffle partition
-           .sortWithinPartitions(partition_col, *[F.expr(e) for e in order_by or []])
-           .write.mode("overwrite").partitionBy(partition_col).format(fmt).save(path))
-    finally:
-        if previous is None:
-            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-        else:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    order = [F.expr(e) for e in order_by or []]
+    if isinstance(days, date):
+        (df.coalesce(1).sortWithinPartitions(*order) if order else df.coalesce(1)).write.mode("overwrite").format(
+            fmt).save(_folder(path, partition_col, days))
+        return
+    dated = df.withColumn(partition_col, F.col(partition_col).cast("date"))
+    (dated.repartition(partition_col)  # one small file per report day, not one per shuffle partition
+     .sortWithinPartitions(partition_col, *order)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).format(fmt)
+     .save(path))
+    written = {r[0] for r in dated.select(partition_col).distinct().collect()}  # at most one row per day
+    for day in set(days) - written:
+        df.drop(partition_col).limit(0).coalesce(1).write.mode("overwrite").format(fmt).save(
+            _folder(path, partition_col, day))
+
+
+def _folder(path: str, partition_col: str, day: date) -> str:
+    return f"{path}/{partition_col}={day.isoformat()}"
 
 
 # Row order of the two report tables inside a day's file.

@@ -17,7 +17,7 @@ def test_daily_job_writes_both_tables_and_reruns_idempotently(spark, scratch_dir
     assert detail.count() == 23 and summary.count() == 24
     assert {r.report_date for r in detail.select("report_date").distinct().collect()} == {date(2024, 1, 16)}
     # Another day lands in its own partition; rerunning the first day replaces only that day.
-    run_daily(fixture_report(spark, SF001), scratch_dir, report_date=date(2024, 1, 17))
+    run_daily(_on(fixture_report(spark, SF001), date(2024, 1, 17)), scratch_dir)
     run_daily(fixture_report(spark, SF001), scratch_dir)
     detail = spark.read.parquet(paths["detail"])
     assert detail.count() == 46
@@ -25,6 +25,86 @@ def test_daily_job_writes_both_tables_and_reruns_idempotently(spark, scratch_dir
     assert spark.sparkContext.getCheckpointDir()
 
 
+def _on(report, day):
+    """The report with its window moved to ``day``."""
+    from dataclasses import replace
+
+    from daytally import DailyReport, ReportWindow
+
+    return DailyReport(report.catalog, replace(report.spec, window=ReportWindow.closing_on(day)))
+
+
+def test_empty_rerun_empties_the_day(spark, scratch_dir):
+    from dataclasses import replace
+
+    from daytally import DailyReport
+
+    rep = fixture_report(spark, SF001)
+    paths = run_daily(rep, scratch_dir)
+    run_daily(_on(rep, date(2024, 1, 17)), scratch_dir)
+    none = DailyReport(rep.catalog, replace(rep.spec, allow=()))
+    run_daily(none, scratch_dir)
+    detail, summary = spark.read.parquet(paths["detail"]), spark.read.parquet(paths["summary"])
+    assert [r.report_date for r in detail.select("report_date").distinct().collect()] == [date(2024, 1, 17)]
+    assert [r.total for r in summary.where("report_date = DATE'2024-01-16'").collect()] == [0]
+    from daytally.plans.job import run_backfill
+
+    run_backfill(none, scratch_dir, 2)
+    assert {r.report_date for r in spark.read.parquet(paths["detail"]).collect()} == {date(2024, 1, 17)}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static").lower() == "static"
+
+
+def test_one_zone_for_clock_window_and_database():
+    from datetime import datetime, timezone
+
+    from daytally import ReportWindow
+
+    # 22:00 UTC on the 1st is 03:30 on the 2nd at +05:30.
+    window = ReportWindow.for_run("Asia/Kolkata", datetime(2024, 1, 1, 22, tzinfo=timezone.utc))
+    assert window.end == datetime(2024, 1, 2, 8) and window.zone_offset("Asia/Kolkata") == "+05:30"
+    cfg = JdbcConfig(url="jdbc:mysql://db:3306/app", zone_offset=window.zone_offset("Asia/Kolkata"))
+    assert jdbc_options(cfg, "notifications")["sessionInitStatement"] == "SET SESSION time_zone = '+05:30'"
+
+
+def test_cli_options_reach_the_plan(spark, scratch_dir, monkeypatch):
+    """Day-partitioned exports prune by partition; a renamed column raises; JDBC settings from flags."""
+    import pytest
+
+    from daytally.plans import job
+    
+    from .test_edge_cases import SCHEMAS
+
+    for name, ddl in SCHEMAS.items():
+        df = spark.createDataFrame([], ddl)
+        if name == "notifications":
+            df.selectExpr("*", "CAST(created_at AS DATE) AS day").unionByName(spark.sql(
+                "SELECT 1L AS id, 11L AS college_account_id, TIMESTAMP_NTZ '2024-01-02 07:00:00' AS created_at, DATE '2024-01-02' AS day"
+            )).write.partitionBy("day").parquet(f"{scratch_dir}/{name}")
+        elif name == "video_conference":
+            df.withColumnRenamed("start_time", "begun").write.parquet(f"{scratch_dir}/{name}.parquet")
+        else:
+            df.write.parquet(f"{scratch_dir}/{name}.parquet")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    args = ["--tables", scratch_dir, "--out", "unused", "--report-date", "2024-01-02", "--date-partition", "day",
+            "--max-broadcast-rows", "7"]
+    report = job.build_report(spark, job._arguments(args))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    plan = report.metric("metric_notifications")._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "day#" in line)
+    assert "PartitionFilters: [isnotnull(day" in scan
+    assert report.spec.max_broadcast_rows == 7
+    with pytest.raises(ValueError, match="start_time"):
+        report.metric("metric_live_class")
+    for key in ("DB_HOST", "DB_NAME"):
+        monkeypatch.setenv(key, "x")
+    report = job.build_report(spark, job._arguments(["--out", "o", "--time-zone", "Asia/Kolkata", "--report-date", "2024-01-02",
+                                                     "--jdbc-key-range", "college_account_new:id:1:1000:8"]))
+    assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Kolkata"
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    opts = jdbc_options(report.catalog.jdbc, "college_account_new")
+    assert opts["numPartitions"] == "8" and "+05:30" in opts["sessionInitStatement"]
+
+
 def test_jdbc_options():
     cfg = JdbcConfig(url="jdbc:mysql://db:3306/app", user="u", password="p",
                      partitioning={"notifications": Partitioning("id", 1, 1_000_000, 64)})
