@@ -1,12 +1,11 @@
 """Benchmark the headline report queries.
 
 Runs on ``local[$BENCH_CPUS]`` against ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) and
-prints one JSON line.  Each query is timed end to end (plan building, size probes and the
-collect) as the minimum of ``$BENCH_RUNS`` warm runs (default 3).
+prints one JSON line.  Each query is timed end to end (plan building, counts of hinted
+sides and the collect) as the minimum of ``$BENCH_RUNS`` warm runs (default 3).
 
-``report_summary_refshape`` runs the same summary in the original job's shape – one
-left-join chain per metric, merged afterwards – as Spark SQL, to show what the long form
-saves.
+``<query>_refshape`` runs the same query in the original job's shape – one left-join chain per
+metric, merged afterwards for the summary – as Spark SQL, for the summary, the spine and every metric.
 """
 
 from __future__ import annotations
@@ -78,8 +77,9 @@ def main() -> None:
 
     for t in TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-    ref_sql = spark_dialect(fixture_oracle.oracle_sql()["report_summary"])
-    times["report_summary_refshape"] = round(timed(lambda: spark.sql(ref_sql).collect(), runs), 3)
+    for key in ["report_summary", "spine_active_accounts", *(k for k in HEADLINE + EXTRA if k.startswith("metric_"))]:
+        ref_sql = spark_dialect(fixture_oracle.oracle_sql()[key])
+        times[f"{key}_refshape"] = round(timed(lambda: spark.sql(ref_sql).collect(), runs), 3)
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
