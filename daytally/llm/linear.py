@@ -20,7 +20,9 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None,
     for _ in range(steps):
         p = sigmoid(x @ beta)
         slope = x.T @ (weight * (p - y)) + penalty * beta
-        curve = (x * (weight * np.maximum(p * (1 - p), 1e-5))[:, None]).T @ x
+        # The curvature only steers the step: single precision is enough and twice as fast.
+        root = x.astype(np.float32) * np.sqrt(weight * np.maximum(p * (1 - p), 1e-5)).astype(np.float32)[:, None]
+        curve = (root.T @ root).astype(np.float64)
         curve[np.diag_indices_from(curve)] += penalty
         step = np.linalg.solve(curve, slope)
         beta -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-9))

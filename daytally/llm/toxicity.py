@@ -38,7 +38,7 @@ DIM_BITS = 20
 DIM = 1 << DIM_BITS
 MIN_N, MAX_N = 4, 8
 TRAIN_ROWS = 16_000
-FEATURES = 1024
+FEATURES = 2048
 RIDGE = 0.1
 _GRAM = np.uint64(0x1FFFFFB)
 
