@@ -313,7 +313,7 @@ def test_toxicity(spark):
     got = {r.doc_id: r.score for r in toxicity.score(docs.select("doc_id", "text"), model).collect()}
     assert got[101] > 0.5 > got[100] and 0 <= got[1] <= 1 and got[1] == got[2]
     one = toxicity.train(docs, labels.filter("toxic = 0"))
-    assert {r.score for r in toxicity.score(docs, one).collect()} == {pytest.approx(0.0, abs=1e-9)}
+    assert max(r.score for r in toxicity.score(docs, one).collect()) < 1e-9
     none = toxicity.train(docs.limit(0), labels.limit(0))
     assert toxicity.score(docs.limit(0), none).count() == 0
     assert toxicity.score(docs, none).count() == len(ODD) + 60
