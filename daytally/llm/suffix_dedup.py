@@ -7,8 +7,9 @@ document, is removed; strings are judged on the input.
    rightmost of equals).  Equal windows have equal cores at equal places, and neighbouring windows
    mostly share a core, so one row per core stands for a run of windows.  Cores that
    occur once are done; what remains are runs of windows that may repeat.
-2. A run's bytes form a snippet.  Equal snippets are sent once with a count, dealt by core, so all
-   equal windows meet in one partition.
+2. A core all of whose runs have the same bytes (by digest) repeats as a whole: those runs are one snippet
+   with many places. The other runs' bytes are sent, equal snippets of a task once with a count, dealt by
+   core, so all equal windows meet in one partition.
 3. A partition cuts its snippets into shards of about ``SHARD_BYTES``; each shard gets a suffix array
    (Larsson-Sadakane) and common prefixes (Kasai).  A window repeats if it shares
    ``LENGTH`` bytes with a neighbour in the suffix array, or if its snippet stands for several places.
@@ -41,8 +42,10 @@ from daytally.llm.scratch import cut
 
 LENGTH = 400
 CORE = 160
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 HOT = 2048
+HOT_BROADCAST = 100_000
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -111,32 +114,37 @@ def _row_id(ids: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def core_rows(docs: DataFrame, length: int, core: int) -> DataFrame:
-    """(row, core) for every run of windows."""
+    """(row, core, digest) for every run of windows; the digest is that of the run's bytes."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = B.text_bytes(batch.column(1))
-            for i, j in B.chunks(offsets):
+            for i, j in B.chunks(offsets, CHUNK_BYTES):
                 part, ends = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-                doc, _, _, key = text_runs(part, ends, length, core)
+                doc, first, last, key = text_runs(part, ends, length, core)
                 name = _row_id(batch.column(0).slice(i, j - i), part, ends)
-                yield pa.RecordBatch.from_arrays([pa.array(name[doc]), pa.array(key)], ["row", "core"])
+                view = memoryview(part)
+                digest = np.array([xxhash.xxh3_64_intdigest(view[x : y + length])
+                                   for x, y in zip(first.tolist(), last.tolist(), strict=True)], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(name[doc]), pa.array(key), pa.array(digest.view(np.int64))],
+                                                 ["row", "core", "digest"])
 
-    return docs.mapInArrow(find, "row long, core long")
+    return docs.mapInArrow(find, "row long, core long, digest long")
 
 
 SNIPPETS = T.StructType([
     T.StructField("core", T.LongType()), T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
-    T.StructField("row", T.LongType()), T.StructField("start", T.LongType()),
+    T.StructField("row", T.LongType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
     T.StructField("n", T.LongType()), T.StructField("bytes", T.BinaryType())])
 _SNIPPET_NAMES = SNIPPETS.names
 
 
 def snippets(docs: DataFrame, length: int, core: int) -> DataFrame:
-    """Places and bytes of the runs whose core repeats (columns doc_id, text, row, cores).
+    """The runs whose core repeats (columns doc_id, text, row, cores, mixed).
 
-    A row with bytes is a distinct snippet of the task and its number of places there; a row
-    with ``row`` and ``start`` is one place.
+    Three kinds of rows: ``row, start, end`` is a repeated span (runs of a core all of whose
+    runs have equal bytes); ``core, a, b, row, start`` is a place of a run to be judged;
+    ``core, a, b, n, bytes`` is such a run's snippet with its number of places in the task.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,28 +152,33 @@ def snippets(docs: DataFrame, length: int, core: int) -> DataFrame:
         size = 0
         for batch in batches:
             data, offsets = B.text_bytes(batch.column(1))
-            rows, cores = batch.column(2).to_numpy(), batch.column(3)
-            for i, j in B.chunks(offsets):
+            rows, cores, mixed = batch.column(2).to_numpy(), batch.column(3), batch.column(4)
+            for i, j in B.chunks(offsets, CHUNK_BYTES):
                 part = data[offsets[i] : offsets[j]]
                 doc, first, last, key = text_runs(part, offsets[i : j + 1] - offsets[i], length, core)
                 bounds = np.searchsorted(doc, np.arange(j - i + 1))
+                spans: list[tuple] = []
                 places: list[tuple] = []
                 for d in range(j - i):
                     mine = slice(bounds[d], bounds[d + 1])
-                    wanted = np.flatnonzero(np.isin(key[mine], cores[i + d].values.to_numpy())) + bounds[d]
                     base = int(offsets[i + d] - offsets[i])
-                    for k in wanted:
+                    name = int(rows[i + d])
+                    alike = np.flatnonzero(np.isin(key[mine], cores[i + d].values.to_numpy())) + bounds[d]
+                    cover = _cover(first[alike] - base, last[alike] - base + length)
+                    spans += [(name, int(x), int(y)) for x, y in cover]
+                    for k in np.flatnonzero(np.isin(key[mine], mixed[i + d].values.to_numpy())) + bounds[d]:
                         text = part[first[k] : last[k] + length].tobytes()
                         digest = xxhash.xxh3_128_intdigest(text)
-                        name = (int(key[k]), (digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63))
-                        places.append((*name, int(rows[i + d]), int(first[k]) - base))
-                        if name in held:
-                            held[name][0] += 1
+                        run = (int(key[k]), (digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63))
+                        places.append((*run, name, int(first[k]) - base))
+                        if run in held:
+                            held[run][0] += 1
                         else:
-                            held[name] = [1, text]
+                            held[run] = [1, text]
                             size += len(text)
-                yield _places(places)
-                if size > SHARD_BYTES * 4:
+                yield _rows({"row": 0, "start": 1, "end": 2}, spans)
+                yield _rows({"core": 0, "a": 1, "b": 2, "row": 3, "start": 4}, places)
+                if size > SHARD_BYTES * 8:
                     yield from _texts(held)
                     held, size = {}, 0
         yield from _texts(held)
@@ -173,22 +186,19 @@ def snippets(docs: DataFrame, length: int, core: int) -> DataFrame:
     return docs.mapInArrow(find, SNIPPETS)
 
 
-def _places(places: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*places, strict=True)) if places else [[]] * 5
+def _rows(place: dict[str, int], rows: list[tuple]) -> pa.RecordBatch:
+    """Tuples as a batch of SNIPPETS rows; columns without a place are null."""
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(place)
+    kinds = {name: pa.binary() if name == "bytes" else pa.int64() for name in _SNIPPET_NAMES}
     return pa.RecordBatch.from_arrays(
-        [*(pa.array(c, pa.int64()) for c in columns), pa.nulls(len(places), pa.int64()),
-         pa.nulls(len(places), pa.binary())], _SNIPPET_NAMES)
+        [pa.array(columns[place[name]], kind) if name in place else pa.nulls(len(rows), kind)
+         for name, kind in kinds.items()], _SNIPPET_NAMES)
 
 
 def _texts(held: dict) -> Iterator[pa.RecordBatch]:
-    names = list(held)
-    for at in range(0, len(names), 4096):
-        part = names[at : at + 4096]
-        columns = list(zip(*part, strict=True))
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array(c, pa.int64()) for c in columns), pa.nulls(len(part), pa.int64()),
-             pa.nulls(len(part), pa.int64()), pa.array([held[k][0] for k in part], pa.int64()),
-             pa.array([held[k][1] for k in part], pa.binary())], _SNIPPET_NAMES)
+    every = [(*name, n, text) for name, (n, text) in held.items()]
+    for at in range(0, len(every), 4096):
+        yield _rows({"core": 0, "a": 1, "b": 2, "n": 3, "bytes": 4}, every[at : at + 4096])
 
 
 FOUND = "core long, a long, b long, runs array<struct<first:int,last:int>>"
@@ -327,7 +337,7 @@ RESULT = [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.L
                                                              T.StructField("end", T.LongType())])))]
 
 
-def _cover(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _cover(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Maximal runs (start, end) of the union of the spans."""
     if not len(starts):
         return np.zeros((0, 2), np.int64)
@@ -346,7 +356,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``with_text`` adds ``kept`` (the remaining bytes; a cut may fall inside a character).
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -354,20 +364,31 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_row_id(batch.column(0), data, offsets))],
                                              ["doc_id", "text", "row"])
 
-    rows = rows.mapInArrow(named, T.StructType([*rows.schema.fields, T.StructField("row", T.LongType())]))
-    cores = core_rows(rows.select("doc_id", "text"), length, core)
-    shared = cores.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
-    wanted = (cores.join(shared, "core").groupBy("row").agg(F.collect_set("core").alias("cores")))
-    found = cut(snippets(rows.join(wanted, "row").select("doc_id", "text", "row", "cores"), length, core), "snippets")
-    texts, places = found.filter("bytes IS NOT NULL"), found.filter("bytes IS NULL")
-    big = (texts.select("core", "a", "b").distinct().groupBy("core").agg(F.count("*").alias("n"))
-           .filter(F.col("n") > hot).select("core"))
-    done = (shard_runs(texts.join(big, "core", "left_anti"), length, shard_bytes)
-            .unionByName(counted_runs(texts.join(big, "core", "left_semi"), length)))
-    spans = (places.select("core", "a", "b", "row", "start").join(done, ["core", "a", "b"])
-             .select("row", F.explode("runs").alias("run"), "start")
-             .select("row", (F.col("start") + F.col("run.first")).alias("start"),
-                     (F.col("start") + F.col("run.last") + length).alias("end"))
+    rows = plain.mapInArrow(named, T.StructType([*plain.schema.fields, T.StructField("row", T.LongType())]))
+    runs_ = cut(core_rows(plain, length, core), "cores")
+    repeated = (runs_.groupBy("core").agg(F.count("*").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
+                .filter("n > 1").select("core", (F.col("low") != F.col("high")).alias("mixed")))
+    wanted = (runs_.select("row", "core").join(repeated, "core").groupBy("row")
+              .agg(F.collect_set(F.when(~F.col("mixed"), F.col("core"))).alias("cores"),
+                   F.collect_set(F.when(F.col("mixed"), F.col("core"))).alias("mixed")))
+    found = cut(snippets(rows.join(wanted, "row").select("doc_id", "text", "row", "cores", "mixed"), length, core),
+                "snippets")
+    texts, places = found.filter("bytes IS NOT NULL"), found.filter("bytes IS NULL AND core IS NOT NULL")
+    big = cut(texts.select("core", "a", "b").distinct().groupBy("core").agg(F.count("*").alias("n"))
+              .filter(F.col("n") > hot).select("core"), "hot")
+    # A hot core has over ``hot`` snippets, so these are few; they are broadcast only if they really are.
+    n_big = big.count()
+    if n_big == 0:
+        done = shard_runs(texts, length, shard_bytes)
+    else:
+        big = F.broadcast(big) if n_big <= HOT_BROADCAST else big
+        done = (shard_runs(texts.join(big, "core", "left_anti"), length, shard_bytes)
+                .unionByName(counted_runs(texts.join(big, "core", "left_semi"), length)))
+    judged = (places.select("core", "a", "b", "row", "start").join(done, ["core", "a", "b"])
+              .select("row", F.explode("runs").alias("run"), "start")
+              .select("row", (F.col("start") + F.col("run.first")).alias("start"),
+                      (F.col("start") + F.col("run.last") + length).alias("end")))
+    spans = (judged.unionByName(found.filter("core IS NULL").select("row", "start", "end"))
              .groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     joined = rows.join(spans, "row", "left").select("doc_id", "text", "spans")
 
@@ -381,7 +402,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 starts = ends = np.zeros(0, np.int64)
                 if some.is_valid:
                     starts, ends = some.values.field(0).to_numpy(), some.values.field(1).to_numpy()
-                cover = _cover(len(text), starts, ends)
+                cover = _cover(starts, ends)
                 keep = np.ones(len(text), dtype=bool)
                 for x, y in cover:
                     keep[x:y] = False
