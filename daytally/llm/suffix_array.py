@@ -2,7 +2,8 @@
 
 A shard holds many strings; suffixes end with their string.  ``suffix_array`` refines ranks as
 Larsson and Sadakane do: suffixes are ordered by their first h bytes, only groups that are still
-undecided are sorted again by the rank h places on, and h doubles until it covers ``depth``.
+undecided are sorted again by the rank h places on, and h doubles until all are decided; equal
+suffixes of different strings stay in the order of their strings, as the walk below needs.
 ``common_prefixes`` is Kasai's walk: along a string the common prefix with the suffix array's
 predecessor shrinks by at most one byte per step, so it only ever extends.  All strings of the
 shard are walked side by side.
@@ -22,15 +23,15 @@ class Shard:
         self.size = np.array([len(s) for s in strings], dtype=np.int64)
         self.first = np.cumsum(self.size) - self.size
         self.end = np.repeat(self.first + self.size, self.size)
-        self.order = suffix_array(self.data, self.end, depth)
+        self.order = suffix_array(self.data, self.end, int(self.size.max(initial=0)))
         self.rank = np.empty_like(self.order)
         self.rank[self.order] = np.arange(len(self.order))
         # The bytes from any position on can be read past the end.
         self.padded = np.concatenate([self.data, np.zeros(depth, np.uint8)])
 
 
-def suffix_array(data: np.ndarray, end: np.ndarray, depth: int) -> np.ndarray:
-    """Positions by the first ``depth`` or more bytes of their suffix; a suffix stops at ``end``."""
+def suffix_array(data: np.ndarray, end: np.ndarray, longest: int) -> np.ndarray:
+    """Positions by their suffix, then by position; a suffix stops at ``end`` and has at most ``longest`` bytes."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64)
@@ -43,39 +44,49 @@ def suffix_array(data: np.ndarray, end: np.ndarray, depth: int) -> np.ndarray:
     for k in range(7):
         key <<= 9
         key |= np.where(at + k < end, symbol[k : k + n], 0)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     rank, open_slots = _ranks(key[order], order, np.arange(n), np.empty(n, np.int64))
     h = 7
-    while h < depth and len(open_slots):
+    while h < longest and len(open_slots):
         part = order[open_slots]
         ahead = part + h
         inside = ahead < end[part]
         second = np.zeros(len(part), np.int64)
         second[inside] = rank[ahead[inside]] + 1
-        key = rank[part] * (n + 1) + second
-        moved = np.argsort(key, kind="stable")
-        part, key = part[moved], key[moved]
+        key = rank[part] * (n + 1) + second  # read before the ranks are renewed
+        key, part = _sorted(key, part)
         order[open_slots] = part
-        rank, again = _ranks(key, part, open_slots, rank)
-        open_slots = again
+        rank, open_slots = _ranks(key, part, open_slots, rank)
         h *= 2
+    # What is left are equal suffixes of different strings.
+    part = order[open_slots]
+    order[open_slots] = part[np.argsort(rank[part] * n + part)]
     return order
 
 
+def _sorted(key: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, with their positions; sorting both in one number is much faster than an argsort."""
+    bits = int(len(part) - 1).bit_length()
+    if int(key.max()).bit_length() + bits > 63:
+        moved = np.argsort(key)
+        return key[moved], part[moved]
+    both = np.sort((key << bits) | np.arange(len(part)))
+    return both >> bits, part[both & ((1 << bits) - 1)]
+
+
 def _ranks(key: np.ndarray, part: np.ndarray, slots: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rank of the sorted positions (the first slot of their group), and the slots still undecided."""
     fresh = np.ones(len(key), dtype=bool)
     fresh[1:] = key[1:] != key[:-1]
     starts = np.flatnonzero(fresh)
     group = np.cumsum(fresh) - 1
-    rank = rank.copy()
     rank[part] = slots[starts][group]
     sizes = np.diff(np.append(starts, len(key)))
     return rank, slots[sizes[group] > 1]
 
 
 def common_prefixes(shard: Shard) -> np.ndarray:
-    """For every slot, the bytes its suffix shares with the slot before, up to ``depth``."""
+    """For every slot of a suffix with ``depth`` bytes, the bytes it shares with the slot before, up to ``depth``."""
     n, depth = len(shard.order), shard.depth
     lcp = np.zeros(n, dtype=np.int64)
     if n == 0:
@@ -84,7 +95,7 @@ def common_prefixes(shard: Shard) -> np.ndarray:
     shared = np.zeros(len(shard.size), dtype=np.int64)
     step = 0
     while True:
-        live = live[shard.size[live] > step]
+        live = live[shard.size[live] - step >= depth]
         if not len(live):
             return lcp
         pos = shard.first[live] + step

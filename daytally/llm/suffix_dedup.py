@@ -325,7 +325,7 @@ def counted_runs(texts: DataFrame, length: int) -> DataFrame:
 
     each = texts.select("core", "a", "b", "n", "bytes").mapInArrow(
         windows, "digest binary, core long, a long, b long, at int, n long")
-    many = each.groupBy("digest").agg(F.sum("n").alias("total")).filter("total > 1")
+    many = cut(each.groupBy("digest").agg(F.sum("n").alias("total")).filter("total > 1").select("digest"), "many")
     return (each.join(many, "digest").select("core", "a", "b", "at").distinct()
             .groupBy("core", "a", "b")
             .agg(F.collect_list(F.struct(F.col("at").alias("first"), F.col("at").alias("last"))).alias("runs")))
@@ -366,8 +366,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     rows = plain.mapInArrow(named, T.StructType([*plain.schema.fields, T.StructField("row", T.LongType())]))
     runs_ = cut(core_rows(plain, length, core), "cores")
-    repeated = (runs_.groupBy("core").agg(F.count("*").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-                .filter("n > 1").select("core", (F.col("low") != F.col("high")).alias("mixed")))
+    # Written first: a join straight on the aggregate's partitions could not split those of a hot core.
+    repeated = cut(runs_.groupBy("core").agg(F.count("*").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
+                   .filter("n > 1").select("core", (F.col("low") != F.col("high")).alias("mixed")), "repeated")
     wanted = (runs_.select("row", "core").join(repeated, "core").groupBy("row")
               .agg(F.collect_set(F.when(~F.col("mixed"), F.col("core"))).alias("cores"),
                    F.collect_set(F.when(F.col("mixed"), F.col("core"))).alias("mixed")))
