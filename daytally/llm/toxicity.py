@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from daytally.llm import bytes_np as B
 from daytally.llm import chars
 from daytally.llm.language_id import text_groups
-from daytally.llm.linear import fit_logistic, sigmoid
+from daytally.llm.linear import fit_logistic_bits, sigmoid
 
 DIM_BITS = 20
 DIM = 1 << DIM_BITS
@@ -125,7 +125,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: in
                                          ["feature", "q", "p"])
 
     sums = (sample.mapInArrow(count, "feature long, q long, p long")
-            .groupBy("feature").agg(F.sum("q").alias("q"), F.sum("p").alias("p")).toPandas())
+            .groupBy("feature").agg(F.sum("q").alias("q"), F.sum("p").alias("p"))
+            .filter("feature < 0 OR q + p >= 3").toArrow().to_pandas())
     total = sums[sums.feature == -1]
     n_q, n_p = (int(total.q.sum()), int(total.p.sum()))
     none = Model(np.full(DIM, -1, np.int16), np.zeros(1), -40.0)
@@ -157,12 +158,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: in
 
     # Equal rows are one row with a count; the order is that of the bits.
     drawn = (sample.mapInArrow(presence, "bits binary, label int")
-             .groupBy("bits", "label").agg(F.count("*").alias("n")).toPandas().sort_values(["bits", "label"]))
-    bits = np.unpackbits(np.frombuffer(b"".join(map(bytes, drawn.bits)), np.uint8).reshape(len(drawn), -1), axis=1)
-    x = bits[:, : len(chosen)].astype(np.float32) * ratio[best].astype(np.float32)
-    y = drawn.label.to_numpy(float)
-    weight = drawn.n.to_numpy(float) / np.where(y == 1, rates[1], rates[0])
-    beta = fit_logistic(x, y, weight * (len(x) / weight.sum()), RIDGE)
+             .groupBy("bits", "label").agg(F.count("*").alias("n")).orderBy("bits", "label").toArrow())
+    y = drawn.column("label").to_numpy().astype(float)
+    bits = np.frombuffer(b"".join(drawn.column("bits").to_pylist()), np.uint8).reshape(len(y), -1)
+    weight = drawn.column("n").to_numpy().astype(float) / np.where(y == 1, rates[1], rates[0])
+    beta = fit_logistic_bits(bits, ratio[best], y, weight * (len(y) / weight.sum()), RIDGE)
     return Model(wanted, beta[:-1] * ratio[best], float(beta[-1]))
 
 
