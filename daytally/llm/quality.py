@@ -225,7 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
             packed = [np.concatenate([a, b]).astype("<f4").tobytes() for a, b in zip(x, m, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(5)], ["row", "label"])
 
-    rows_ = labelled.unionByName(some).mapInArrow(features, "row binary, label double").toPandas()
+    rows_ = labelled.unionByName(some).mapInArrow(features, "row binary, label double").toArrow().to_pandas()
     rows_["row"] = rows_["row"].map(bytes)
     # A fixed order that does not depend on arrival.
     rows_["order"] = rows_["row"].map(zlib.crc32)
