@@ -75,14 +75,17 @@ def cuts(size: int, length: int = LENGTH) -> list[tuple[int, int]]:
 # The two libraries cut text into words alike as long as every character is in these blocks, whose letters and
 # digits have not changed since before either was made, and no special token's string occurs.
 _OTHER = re.compile("[^\\x00-ɏ‐-‧]|<\\|endoftext\\|>")
+# The faster library's pattern walks back over a run of white space and overflows its stack at about a million.
+_BLANKS = 10_000
+_BLANK_RUN = re.compile(rf"(?<!\s)\s{{{_BLANKS}}}")
 
 
 class Encoder:
     """Token ids as the ``tokenizers`` file gives them.
 
     Where ``ranks_path`` names the same vocabulary as byte ranks, texts of common Latin
-    characters take the faster library over those ranks (equal ids, tested); all others go
-    through ``tokenizers`` itself.
+    characters take the faster library over those ranks (equal ids, tested); all others, and texts
+    with a run of ``_BLANKS`` white-space characters, go through ``tokenizers`` itself.
     """
 
     def __init__(self, path: str, ranks_path: str | None, pattern: str | None):
@@ -99,7 +102,8 @@ class Encoder:
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.fast is not None and not _OTHER.search(text):
+        if self.fast is not None and not _OTHER.search(text) and not (
+                len(text) >= _BLANKS and _BLANK_RUN.search(text)):
             return np.array(self.fast.encode_ordinary(text), dtype="<u4")
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
 

@@ -70,6 +70,14 @@ def test_encoders_agree():
         assert both(t).tolist() == slow(t).tolist(), repr(t)
 
 
+def test_long_runs_of_white_space():
+    pytest.importorskip("public_tokenizers")
+    names = vocabulary()
+    both, slow = packing.Encoder(**names), packing.Encoder(names["path"], None, None)
+    for t in (" " * 1_250_000 + "x", "a" + "\n" * 1_250_000 + "x", "a" + " \t" * 5_000, "a" + " " * 9_999 + "b"):
+        assert np.array_equal(both(t), slow(t)), repr(t[:3])
+
+
 def test_best_fit_closes_the_fullest_first():
     bins = packing.BestFit(10, 2)
     assert [bins.place(n) for n in (6, 7, 3, 4, 9, 8)] == [(0, 0), (1, 0), (1, 7), (0, 6), (2, 0), (3, 0)]
