@@ -26,9 +26,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Rejects documents without any language (``und``: null texts and texts without a letter).
 
     The model learns from the rows with a language label; the prediction replaces nothing.
+    Without a row to learn from no language is known, and every text with a letter stays.
     """
     ship(spark)
     model = language_id.train(docs)
+    if model is None:
+        return language_id.with_letters(docs)
     names = docs.columns
     return language_id.identify(docs, model).filter(F.col("lang_pred") != language_id.UNKNOWN).select(*names)
 

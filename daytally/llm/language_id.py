@@ -171,6 +171,23 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
                                                   T.StructField("score", T.DoubleType())]))
 
 
+def with_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a letter: those that any model gives a language."""
+    names = docs.columns
+    place = names.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros(0, bool)]
+            for group in text_groups(batch.column(place), 1 << 20, 4096):
+                points, offsets = chars.code_points(group)
+                doc = np.repeat(np.arange(len(group)), np.diff(offsets))
+                found.append(np.bincount(doc[chars.letters()[points] != 0x20], minlength=len(group)) > 0)
+            yield batch.filter(pa.array(np.concatenate(found)))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(id_col: str, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text falls on ``part`` of ``parts`` (a null id counts as an empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(parts)) == part

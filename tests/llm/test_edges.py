@@ -350,3 +350,16 @@ def test_pipeline_on_odd_rows(spark, scratch_dir):
     table(spark, []).write.parquet(f"{empty}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_pipeline_without_language_labels(spark, scratch_dir):
+    """The language stage keeps the same rows with and without labels."""
+    rows = [*ODD, (11, "ª", "en"), (12, "\u0661\u0662 %", "en"), (13, "日本", "ja")]
+    bare = table(spark, [(d, t, None) for d, t, _ in rows])
+    kept = [sorted(str(r.doc_id) for r in corpus_pipeline.identify_language(spark, x, "").collect())
+            for x in (table(spark, rows), bare)]
+    assert kept[0] == kept[1] == sorted(["5", "5", "6", "7", "None", "8", "9", "10", "11", "13"])
+    bare.write.parquet(f"{scratch_dir}/documents.parquet")
+    spark.createDataFrame([(1, "chien")], "item_id long, text string").write.parquet(f"{scratch_dir}/benchmark.parquet")
+    found = {r.doc_id for r in corpus_pipeline.run(spark, scratch_dir).collect()}
+    assert found >= {6, 10, 11, 13} and not found & {1, 2, 3, 4, 7, 12}
