@@ -341,6 +341,49 @@ def test_quality(spark):
     assert {r.score for r in flat} == {0.5} and len(flat) == len(ODD) + 120
 
 
+def test_quality_pool_is_all_documents_without_a_label(spark):
+    """More than 8000 of them, a source without any label among them; sums and bins give what the rows give."""
+    rnd = random.Random(12)
+
+    def text(good):
+        return " ".join(rnd.choice("the of and in to house".split()) for _ in range(20)) if good else "%$#@ " * rnd.randrange(10, 30)
+
+    ship(spark)
+    rows = [(i, text(i % 3), "en", "ab"[i % 3 > 0], 100) for i in range(12_000)]
+    rows += [(20_000 + i, text(False), "en", "rare", 100) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = labels_for(spark, [(i, int(i % 3 > 0), 0) for i in range(400)])
+    seen = []
+
+    class Seen(quality.Pool):
+        def __init__(self, rows):
+            super().__init__(rows)
+            seen.append(self)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "Pool", Seen)
+        quality.train(docs, labels)
+    pool = seen[0]
+    assert pool.size == 12_300 - 400
+    rare = quality.meta_codes(quality.meta_features(["rare"], ["en"], [100]))
+    assert pool.n[pool.codes == rare].tolist() == [300]
+    got = pool.rows.toArrow()
+    x = np.frombuffer(b"".join(got.column("x").to_pylist()), "<f4").reshape(-1, quality.TEXT_DIM).astype(float)
+    code = got.column("code").to_numpy()
+    signed = np.zeros(quality.CODES)
+    signed[pool.codes] = np.where(np.arange(len(pool.codes)) % 2, 0.75, -1.0)
+    w = signed[code]
+    want = quality._fit_rows(x, (w > 0).astype(float), np.abs(w), x[:500], (w[:500] > 0).astype(float))
+    fit = quality._fit_sums(lambda line: pool.sums(signed, line), np.zeros(quality.TEXT_DIM + 1), x[:500],
+                            (w[:500] > 0).astype(float))
+    assert np.allclose(fit.beta, want.beta, atol=2e-3) and np.allclose(fit.mean, want.mean, atol=1e-6)
+    z = np.where(np.arange(len(x)) % 3, 4.0, -4.0) + np.arange(len(x)) / len(x)
+    bins = quality._bins(z)
+    weights = quality._weights(np.bincount(bins + quality.BINS, minlength=2 * quality.BINS + 1), 0.6, 5_000)
+    assert abs(weights[bins + quality.BINS][z > 0].sum() - 3_000) < 1e-6
+    assert abs(weights[bins + quality.BINS][z < 0].sum() - 2_000) < 1e-6
+
+
 def test_pipeline_on_odd_rows(spark, scratch_dir):
     table(spark, ODD).write.parquet(f"{scratch_dir}/documents.parquet")
     spark.createDataFrame([(1, "chien")], "item_id long, text string").write.parquet(f"{scratch_dir}/benchmark.parquet")
