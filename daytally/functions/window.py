@@ -47,8 +47,8 @@ class ReportWindow:
         return cls(datetime.combine(day, time(cut_hour)), lookback)
 
     @classmethod
-    def for_run(cls, zone: str = "UTC", now: datetime | None = None, cut_hour: int = CUT_HOUR,
-                lookback: timedelta = LOOKBACK) -> "ReportWindow":
+    def for_run(cls, now: datetime | None = None, cut_hour: int = CUT_HOUR, lookback: timedelta = LOOKBACK, *,
+                zone: str = "UTC") -> "ReportWindow":
         """The window a run started at ``now`` (default: the clock, read once) reports on, in wall-clock time of
         ``zone``: the zone of the fact times, of the report day and of the cut hour."""
         now = now or datetime.now(ZoneInfo(zone))

@@ -80,7 +80,7 @@ def build_report(spark: SparkSession, args: argparse.Namespace) -> DailyReport:
         else reference_schema.ALLOW_LIST
     lookback = timedelta(days=args.lookback_days)
     window = (ReportWindow.closing_on(date.fromisoformat(args.report_date), args.cut_hour, lookback) if args.report_date
-              else ReportWindow.for_run(args.time_zone, cut_hour=args.cut_hour, lookback=lookback))
+              else ReportWindow.for_run(cut_hour=args.cut_hour, lookback=lookback, zone=args.time_zone))
     spark.conf.set("spark.sql.session.timeZone", args.time_zone)
     if args.tables:
         catalog = Catalog.parquet_dir(spark, args.tables, columns=reference_schema.COLUMNS)

@@ -60,7 +60,7 @@ def test_one_zone_for_clock_window_and_database():
     from daytally import ReportWindow
 
     # 22:00 UTC on the 1st is 03:30 on the 2nd at +05:30.
-    window = ReportWindow.for_run("Asia/Kolkata", datetime(2024, 1, 1, 22, tzinfo=timezone.utc))
+    window = ReportWindow.for_run(datetime(2024, 1, 1, 22, tzinfo=timezone.utc), zone="Asia/Kolkata")
     assert window.end == datetime(2024, 1, 2, 8) and window.zone_offset("Asia/Kolkata") == "+05:30"
     cfg = JdbcConfig(url="jdbc:mysql://db:3306/app", zone_offset=window.zone_offset("Asia/Kolkata"))
     assert jdbc_options(cfg, "notifications")["sessionInitStatement"] == "SET SESSION time_zone = '+05:30'"
