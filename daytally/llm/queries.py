@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import decontam, exact_dedup, language_id, near_dup, packing, pii, quality, suffix_dedup, toxicity, url_filter
+from daytally.llm import (byte_bpe, decontam, exact_dedup, fim, language_id, near_dup, packing, pii, quality, spelling,
+                          suffix_dedup, toxicity, url_filter)
 from daytally.llm.ship import ship
 
 
@@ -93,6 +94,31 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(table(spark, sf_dir, "documents"))
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return cut.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"),
+                      F.col("middle_units").alias("middle_chars"),
+                      F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(restored.cast("binary"), 256).alias("restored_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.lowered_runs(table(spark, sf_dir, "documents"))
+    words = runs.select(spelling.misspelt(F.col("id"), F.col("run"), 199).alias("word"))
+    return spelling.variants(spelling.counted(words))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokenizers
+
+    own = {"path": tokenizers.path("byte_bpe_multi_50k.tiktoken"), "pattern": tokenizers.PATTERN}
+    rows = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), **own), **own)
+    return rows.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_exact_dedup, op4_url_filter, op5_pii, op6_quality, op7_suffix_dedup, op8_toxicity, op9_decontamination,
-                                    op10_minhash_near_dup)}
+    return {f.__name__: f for f in (
+        op1_language_id, op2_best_fit_packing, op3_exact_dedup, op4_url_filter, op5_pii, op6_quality, op7_suffix_dedup,
+        op8_toxicity, op9_decontamination, op10_minhash_near_dup, op11_fill_in_middle, op12_spelling_variants, op13_byte_bpe)}

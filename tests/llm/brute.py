@@ -135,3 +135,61 @@ def personal(text):
             if ok:
                 out.append((m.start(), rank, kind, m.end()))
     return [(k, s, e) for s, _, k, e in sorted(out)]
+
+
+def middle_filled(doc_id, text):
+    """-> (n, form, prefix length, middle length, output)."""
+    text = text or ""
+    digest = sha("1:" + ("" if doc_id is None else str(doc_id)))
+    h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+    n = len(text)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = text[:a], text[a:b], text[b:]
+    if h[3] % 100 < 20:
+        return n, "spm", a, b - a, f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", a, b - a, f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+RUN = re.compile(r"[A-Za-z\u00C0-\u00FF]+")
+
+
+def corpus_words(rows, every=199):
+    """Counts of the runs, some with a code point deleted."""
+    counts = defaultdict(int)
+    for doc_id, text in rows:
+        for run in RUN.findall(text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return counts
+
+
+def spelling(counts, ratio=5):
+    """{word: n} -> sorted (word, form, root, n, n_near, form_n)."""
+    masks = defaultdict(set)
+    for w in counts:
+        for i in range(len(w)):
+            masks[w[:i] + "\0" + w[i + 1 :]].add(w)
+    near = {w: set() for w in counts}
+    for w in counts:
+        for i in range(len(w)):
+            near[w] |= masks[w[:i] + "\0" + w[i + 1 :]] - {w}
+            shorter = w[:i] + w[i + 1 :]
+            if shorter in counts:
+                near[w].add(shorter)
+                near[shorter].add(w)
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best is not None and counts[best] >= ratio * counts[w] else None
+    out = []
+    for w, n in counts.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), None if form[w] is None else counts[form[w]]))
+    return sorted(out, key=str)
