@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -258,21 +259,23 @@ class Matcher:
 
 
 def annotate(docs: DataFrame, block: Windows, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_words``, ``_hits``, ``_runs`` (word indexes, end exclusive) and ``_items``."""
+    """(row, _words, _hits, _runs, _items): ``row`` is the row of ``docs`` as a struct, so that no name clashes;
+    ``_runs`` are word indexes, end exclusive."""
     counts = shingle_counts(docs, block, text_col)
     shared = docs.sparkSession.sparkContext.broadcast((block, block.prefixes(counts)))
-    names, place = docs.columns, docs.columns.index(text_col)
+    place = docs.columns.index(text_col)
+    docs = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(*shared.value)
         for batch in batches:
-            data, offsets = B.text_bytes(batch.column(place))
+            data, offsets = B.text_bytes(pc.struct_field(batch.column(0), place))
             found: list[tuple] = []
             for i, j in B.chunks(offsets):
                 found += matcher.judge(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             columns = [pa.array([f[k] for f in found], kind) for k, kind in
                        enumerate([pa.int64(), pa.int64(), _ARROW_RUN, pa.list_(pa.string())])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*names, *(f.name for f in FOUND)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], ["row", *(f.name for f in FOUND)])
 
     return docs.mapInArrow(find, T.StructType([*docs.schema.fields, *FOUND]))
 
@@ -284,9 +287,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     parts = [annotate(rows, block, "text") for block in blocks(items, item_col, item_text_col, block_windows)]
     if len(parts) == 1:
-        return parts[0].select("doc_id", F.col("_words").alias("n_words"), F.col("_hits").alias("n_hit"),
+        return parts[0].select("row.doc_id", F.col("_words").alias("n_words"), F.col("_hits").alias("n_hit"),
                                F.col("_runs").alias("runs"), F.col("_items").alias("item_ids"))
-    skinny = [p.select("doc_id", F.sha2("text", 256).alias("sha"), *(f.name for f in FOUND)) for p in parts]
+    skinny = [p.select("row.doc_id", F.sha2("row.text", 256).alias("sha"), *(f.name for f in FOUND)) for p in parts]
     every = skinny[0]
     for p in skinny[1:]:
         every = every.unionByName(p)
@@ -311,7 +314,6 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def clean_rows(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """The rows of ``docs`` in which no window occurs."""
-    names = docs.columns
     for block in blocks(items, item_col, item_text_col, block_windows):
-        docs = annotate(docs, block, text_col).filter("_hits = 0").select(*names)
+        docs = annotate(docs, block, text_col).filter("_hits = 0").select("row.*")
     return docs

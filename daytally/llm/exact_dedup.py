@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -244,15 +245,24 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one of each group, with all their columns."""
-    rows = fingerprints(docs, text_col)
-    own = (owners(docs, id_col, text_col)
-           .select(F.col("sha").alias("_sha"), F.col("keep_chars").alias("_chars"), "keep_id",
-                   F.col("keep_rows").alias("_copies")))
-    same = ((rows["_sha"] == own["_sha"]) & (rows["_chars"] == own["_chars"])
-            & rows[id_col].cast("long").eqNullSafe(own["keep_id"]))
-    kept = rows.join(own, same).select(*[rows[c] for c in docs.columns], rows["_sha"], own["_copies"])
-    single = kept.filter("_copies = 1").select(*docs.columns)
+    """The rows of ``docs`` that stay, one of each group, with all their columns (whatever their names)."""
+    nested = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                         F.col(id_col).cast("long").alias("id"))
+    place = docs.columns.index(text_col)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            facts = [(sha, chars) for _, chars, sha in _normalised(pc.struct_field(batch.column(0), place))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f[0] for f in facts], pa.string()),
+                                              pa.array([f[1] for f in facts], pa.int64())], ["row", "id", "sha", "chars"])
+
+    rows = nested.mapInArrow(add, T.StructType([*nested.schema.fields, T.StructField("sha", T.StringType()),
+                                                T.StructField("chars", T.LongType())])).alias("mine")
+    own = owners(docs, id_col, text_col).alias("own")
+    same = ((F.col("mine.sha") == F.col("own.sha")) & (F.col("mine.chars") == F.col("own.keep_chars"))
+            & F.col("mine.id").eqNullSafe(F.col("own.keep_id")))
+    kept = rows.join(own, same).select("row", "id", "mine.sha", "keep_rows")
+    single = kept.filter("keep_rows = 1").select("row")
     # Rows that repeat an owner's id and length: one of them stays.
-    repeated = kept.filter("_copies > 1").dropDuplicates([id_col, "_sha"]).select(*docs.columns)
-    return single.unionByName(repeated)
+    repeated = kept.filter("keep_rows > 1").dropDuplicates(["id", "sha"]).select("row")
+    return single.unionByName(repeated).select("row.*")

@@ -5,11 +5,12 @@ lengths 1 to ``MAX_N`` together, that occur in both, divided by the root of the
 numbers of distinct n-grams.  n-grams are those of the lower-cased letters with single spaces
 between words, hashed to ``DIM`` presence bits.
 
-Training takes a bounded sample (``TRAIN_ROWS`` labelled rows, spread over the languages, in the
-order of a hash of text and label): ``LANDMARKS`` of its rows are Nyström landmarks, and one
-kernel ridge regression per language (one against the rest) is solved on the landmark kernel.
-The presence bits of the sample are computed on the executors; the driver solves one system of
-the landmarks' size.
+Training takes a bounded sample (about ``TRAIN_ROWS`` labelled rows, an equal share of every language,
+by a hash of text and label).  Equal texts of a language are one row of it, however many copies there
+are: the shares are of distinct texts, and copies are joined on the executors before anything is sent.  ``LANDMARKS``
+rows of the sample are Nyström landmarks, and one kernel ridge regression per language (one against
+the rest) is solved on the landmark kernel.  The presence bits of the sample are computed on the
+executors; the driver solves one system of the landmarks' size.
 
 Scoring covers every whole text: presence rows of a batch times the landmarks (a batched matrix
 product) give the kernel block, times the coefficients the scores.  Only the text is read.
@@ -22,11 +23,12 @@ labelled row every text is ``und``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,14 +105,20 @@ class Scorer:
 
 
 def _sample(rows: DataFrame, limit: int) -> DataFrame:
-    """At most about ``limit`` rows (columns text, label), an equal share of each language, by hash order."""
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    """About ``limit`` distinct (text, label) rows, an equal share of each language, by hash order.
+
+    A language's rows are counted by their hashes in a fixed-size sketch per task; a language with no
+    more distinct texts than its share is taken whole.
+    """
+    rows = rows.select("text", "label", F.xxhash64("label", "text").alias("key"))
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.approx_count_distinct("key", 0.02).alias("n")).collect()}
     if not sizes:
-        return rows.limit(0)
+        return rows.select("text", "label").limit(0)
     share = limit / len(sizes)
-    rate = F.create_map(*(F.lit(x) for label, n in sorted(sizes.items()) for x in (label, min(1.0, share / n))))
-    draw = F.pmod(F.xxhash64("label", "text"), F.lit(1 << 30)) / float(1 << 30)
-    return rows.filter(draw <= rate[F.col("label")])
+    rate = F.create_map(*(F.lit(x) for label, n in sorted(sizes.items())
+                          for x in (label, 1.0 if n <= 1.2 * share else share / n)))
+    drawn = rows.filter(F.pmod("key", F.lit(1 << 30)) / float(1 << 30) < rate[F.col("label")])
+    return drawn.groupBy("label", "key").agg(F.min("text").alias("text")).select("text", "label")
 
 
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", rows: int = TRAIN_ROWS,
@@ -125,7 +133,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1)], ["bits", "label"])
 
     drawn = [(bytes(r["bits"]), r["label"]) for r in
-             chosen.select("text", "label").mapInArrow(features, "bits binary, label string").collect()]
+             chosen.select("text", "label").mapInArrow(features, "bits binary, label string").distinct().collect()]
     # The order of arrival differs between runs; the bits themselves give a fixed one.
     drawn = sorted(((B.mix(np.frombuffer(b, np.uint64)).sum(), b, lang) for b, lang in drawn if any(b)),
                    key=lambda x: (int(x[0]), x[1], x[2]))
@@ -171,21 +179,47 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
                                                   T.StructField("score", T.DoubleType())]))
 
 
+def keep_rows(docs: DataFrame, model: Model | None, languages: Iterable[str] | None = None,
+              text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text the model gives one of ``languages`` (default: any it has learned).
+
+    Texts without a letter go.  Without a model no language is known, and every text with a letter stays.
+    """
+    if model is None:
+        return with_letters(docs, text_col)
+    place, wanted = docs.columns.index(text_col), set(model.languages if languages is None else languages) - {UNKNOWN}
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = shared.value.scorer()
+        for batch in batches:
+            langs = scorer(pc.struct_field(batch.column(0), place))[0]
+            yield batch.filter(pa.array([lang in wanted for lang in langs], pa.bool_()))
+
+    rows = nested(docs)
+    return rows.mapInArrow(keep, rows.schema).select("row.*")
+
+
+def nested(docs: DataFrame) -> DataFrame:
+    """Each row as one struct column, ``row``: no name of the caller's meets one of the operator's."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
 def with_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows whose text has a letter: those that any model gives a language."""
-    names = docs.columns
-    place = names.index(text_col)
+    place = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.zeros(0, bool)]
-            for group in text_groups(batch.column(place), 1 << 20, 4096):
+            for group in text_groups(pc.struct_field(batch.column(0), place), 1 << 20, 4096):
                 points, offsets = chars.code_points(group)
                 doc = np.repeat(np.arange(len(group)), np.diff(offsets))
                 found.append(np.bincount(doc[chars.letters()[points] != 0x20], minlength=len(group)) > 0)
             yield batch.filter(pa.array(np.concatenate(found)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    rows = nested(docs)
+    return rows.mapInArrow(keep, rows.schema).select("row.*")
 
 
 def held_out(id_col: str, parts: int, part: int) -> Column:
