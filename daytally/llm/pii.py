@@ -49,13 +49,13 @@ CUES = ["password", "login", "account", "user", "ssn", "social security", "iban"
         "konto", "mot de passe", "compte", "contraseña", "cuenta", "token", "key", "secret"]
 
 _CANDIDATES = "|".join([
-    r"\b(?i:" + "|".join(SECRET_WORDS + PLAIN_WORDS) + r")\x20?[=:]\x20?[\"']?[A-Za-z0-9+/_.-]{6,128}[\"']?",
+    r"\b(?i:" + "|".join(SECRET_WORDS + PLAIN_WORDS) + r")\x20?[=:]\x20?[\"']?[A-Za-z0-9+/_.-]{6,}+[\"']?",
     r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
     r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
     r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b",
-    r"\b(?=[0-9a-f]{0,63}[a-f])(?=[0-9a-f]{0,63}[0-9])[0-9a-f]{32,64}\b",
-    r"\b(?:" + "|".join(TITLES) + r")\.?\x20\p{Lu}\p{Ll}{1,20}(?:\x20\p{Lu}\p{Ll}{1,20})?",
-    r"\b[0-9]{1,5}\x20\p{Lu}\p{Ll}{1,20}\x20(?:" + "|".join(STREETS) + r")\b",
+    r"\b(?=[0-9]*+[a-f])(?=[a-f]*+[0-9])[0-9a-f]{32,}+\b",
+    r"\b(?:" + "|".join(TITLES) + r")\.?\x20\p{Lu}\p{Ll}++(?:\x20\p{Lu}\p{Ll}++)?+",
+    r"\b[0-9]{1,5}\x20\p{Lu}\p{Ll}++\x20(?:" + "|".join(STREETS) + r")\b",
 ])
 
 _BLOCK = 128

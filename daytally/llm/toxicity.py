@@ -10,7 +10,8 @@ space at each word edge), hashed to ``DIM``.  Two passes over a bounded labelled
 
 The sample takes at most about ``TRAIN_ROWS`` labelled rows, half of each label where there are
 enough, by a hash of id and label; weights restore the labels' true shares.  Counting and the
-presence rows are computed on the executors; the driver sees DIM sums and packed bits only.
+presence rows are computed on the executors, and the features are chosen there too; the driver sees the
+``FEATURES`` chosen sums and packed bits only.  No n-gram is too rare to count.
 Scoring reads every whole text and nothing but the text.
 
 Defined cases: null and empty texts have no n-gram and get the intercept's score; null labels and
@@ -33,6 +34,7 @@ from daytally.llm import bytes_np as B
 from daytally.llm import chars
 from daytally.llm.language_id import text_groups
 from daytally.llm.linear import fit_logistic_bits, sigmoid
+from daytally.llm.scratch import cut
 
 DIM_BITS = 20
 DIM = 1 << DIM_BITS
@@ -124,24 +126,27 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: in
         yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array(seen[:1]), pa.array(seen[1:])],
                                          ["feature", "q", "p"])
 
-    sums = (sample.mapInArrow(count, "feature long, q long, p long")
-            .groupBy("feature").agg(F.sum("q").alias("q"), F.sum("p").alias("p"))
-            .filter("feature < 0 OR q + p >= 3").toArrow().to_pandas())
-    total = sums[sums.feature == -1]
-    n_q, n_p = (int(total.q.sum()), int(total.p.sum()))
+    sums = cut(sample.mapInArrow(count, "feature long, q long, p long")
+               .groupBy("feature").agg(F.sum("q").alias("q"), F.sum("p").alias("p")), "grams")
+    seen = sums.filter("feature < 0").select("q", "p").first()
+    n_q, n_p = (int(seen["q"]), int(seen["p"])) if seen else (0, 0)
     none = Model(np.full(DIM, -1, np.int16), np.zeros(1), -40.0)
     if not n_q or not n_p:
         share = n_p / max(1, n_q + n_p)
         none.intercept = float(np.log((share + 1e-17) / (1 - share + 1e-17)))
         return none
-    sums = sums[sums.feature >= 0].sort_values("feature")
-    q, p = sums.q.to_numpy(float), sums.p.to_numpy(float)
-    ratio = np.log((p + 0.5) / (p.sum() + 0.5 * len(p))) - np.log((q + 0.5) / (q.sum() + 0.5 * len(q)))
+    sums = sums.filter("feature >= 0")
+    # The norms cover every n-gram of the sample, the kept ones and the others.
+    norm = sums.agg(F.sum("q").alias("q"), F.sum("p").alias("p"), F.count("*").alias("n")).first()
+    if not norm["n"]:
+        none.intercept = float(np.log(n_p / n_q))
+        return none
     # How far the share of documents differs, in standard errors of the difference.
-    both = (p + q) / (n_p + n_q)
-    far = (p / n_p - q / n_q) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / n_p + 1 / n_q))
-    best = np.sort(np.lexsort((sums.feature.to_numpy(), -np.abs(far)))[:features])
-    chosen = sums.feature.to_numpy()[best]
+    both = (F.col("p") + F.col("q")) / (n_p + n_q)
+    far = (F.col("p") / n_p - F.col("q") / n_q) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-9)) * (1 / n_p + 1 / n_q))
+    top = sums.orderBy(F.abs(far).desc(), "feature").limit(features).toArrow().to_pandas().sort_values("feature")
+    chosen, q, p = top.feature.to_numpy(), top.q.to_numpy(float), top.p.to_numpy(float)
+    ratio = (np.log((p + 0.5) / (norm["p"] + 0.5 * norm["n"])) - np.log((q + 0.5) / (norm["q"] + 0.5 * norm["n"])))
     wanted = np.full(DIM, -1, np.int16)
     wanted[chosen] = np.arange(len(chosen))
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -162,8 +167,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: in
     y = drawn.column("label").to_numpy().astype(float)
     bits = np.frombuffer(b"".join(drawn.column("bits").to_pylist()), np.uint8).reshape(len(y), -1)
     weight = drawn.column("n").to_numpy().astype(float) / np.where(y == 1, rates[1], rates[0])
-    beta = fit_logistic_bits(bits, ratio[best], y, weight * (len(y) / weight.sum()), RIDGE)
-    return Model(wanted, beta[:-1] * ratio[best], float(beta[-1]))
+    beta = fit_logistic_bits(bits, ratio, y, weight * (len(y) / weight.sum()), RIDGE)
+    return Model(wanted, beta[:-1] * ratio, float(beta[-1]))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from daytally.llm import (decontam, exact_dedup, language_id, near_dup, packing, pii, quality, suffix_array,
@@ -406,3 +407,59 @@ def test_pipeline_without_language_labels(spark, scratch_dir):
     spark.createDataFrame([(1, "chien")], "item_id long, text string").write.parquet(f"{scratch_dir}/benchmark.parquet")
     found = {r.doc_id for r in corpus_pipeline.run(spark, scratch_dir).collect()}
     assert found >= {6, 10, 11, 13} and not found & {1, 2, 3, 4, 7, 12}
+
+
+def test_language_sample_is_of_distinct_texts(spark):
+    """A language that is mostly copies of one text is neither lost nor sent copy by copy."""
+    def spelt(i):
+        return "".join(chr(97 + int(c)) for c in str(i))
+
+    rows = [(i, f"der Hund {spelt(i)} schläft unter dem Tisch", "de") for i in range(400)]
+    rows += [(1000 + i, f"the dog {spelt(i)} sleeps under the table", "en") for i in range(40)]
+    rows += [(10_000 + i, "the cat sat on the mat and the dog ran off", "en") for i in range(6000)]
+    docs = table(spark, rows)
+    model = language_id.train(docs, rows=200)
+    assert model.languages == ["de", "en"] and len(model.landmarks) > 40
+    drawn = language_id._sample(docs.select("text", F.col("lang").alias("label")), 200).collect()
+    assert len(drawn) == len({(r.text, r.label) for r in drawn}) and len(drawn) < 300
+    assert sum(r.label == "en" for r in drawn) == 41
+    got = language_id.identify(docs, model).groupBy("lang", "lang_pred").count().collect()
+    assert {(r.lang, r.lang_pred) for r in got} == {("de", "de"), ("en", "en")}
+
+
+def test_language_setting_changes_what_stays(spark):
+    rows = [(i, f"der Hund {i} schläft unter dem Tisch", "de") for i in range(30)]
+    rows += [(100 + i, f"the dog {i} sleeps under the table", "en") for i in range(30)] + [(200, "42", "en")]
+    docs = table(spark, rows)
+    model = language_id.train(docs)
+    every = {r.doc_id for r in language_id.keep_rows(docs, model).collect()}
+    english = {r.doc_id for r in language_id.keep_rows(docs, model, ["en"]).collect()}
+    assert every == {r[0] for r in rows} - {200} and english == {100 + i for i in range(30)}
+
+
+def test_toxicity_of_a_few_labels(spark):
+    """No n-gram is too rare: two documents a side are enough to tell them apart."""
+    docs = table(spark, [(1, "you vile wretched toad", None), (2, "what a vile wretched fool", None),
+                         (3, "a calm morning walk", None), (4, "we had a calm and quiet day", None), (5, "vile wretched", None),
+                         (6, "calm day", None), (7, None, None)])
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0), (4, 0)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    assert min(got[1], got[2], got[5]) > 0.6 > 0.4 > max(got[3], got[4], got[6])
+    wordless = table(spark, [(1, "12", None), (2, "34", None)])
+    few = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert {round(r.score, 3) for r in toxicity.score(wordless, toxicity.train(wordless, few)).collect()} == {0.5}
+
+
+@pytest.mark.parametrize("size", [129, 5000])
+def test_long_secrets(spark, size):
+    """Spans cover a secret to its end."""
+    rnd = random.Random(size)
+    token = "".join(rnd.choice("0123456789abcdefABCDEFxyzXYZ") for _ in range(size))
+    digits = "".join(rnd.choice("0123456789abcdef") for _ in range(max(96, size)))
+    noise = [(10 + i, f"page={i}00000 version=1.2.3.{i}-rc commit=abcdef{i}", None) for i in range(30)]
+    docs = table(spark, [(1, f'login with password="{token}" now', None), (2, f"key {digits} end", None), *noise])
+    got = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    text = f'login with password="{token}" now'
+    assert any(s.kind == "secret" and s.end >= text.index(token) + len(token) for s in got[1])
+    found = pii.matches(F.lit(f"key {digits} end"), pii._CANDIDATES)
+    assert [(r["start"], r["end"]) for r in docs.limit(1).select(found.alias("m")).first().m] == [(4, 4 + len(digits))]
