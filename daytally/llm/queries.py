@@ -72,8 +72,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=True)
+    # What remains, as text: a character that a cut has divided reads as U+FFFD.
+    kept = F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", kept)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
