@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from daytally.llm import decontam, exact_dedup, language_id, near_dup, packing
 from daytally.llm.queries import table, vocabulary
@@ -21,19 +20,18 @@ from daytally.llm.ship import ship
 
 ORACLE_SQL: str | None = None
 
+LANGUAGES: tuple[str, ...] | None = None
+"""The languages that the first stage lets pass; None: all that the corpus's own labels name."""
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without any language (``und``: null texts and texts without a letter).
+    """Documents stay whose text the model gives one of ``LANGUAGES``; texts without a letter have none and go.
 
-    The model learns from the rows with a language label; the prediction replaces nothing.
-    Without a row to learn from no language is known, and every text with a letter stays.
+    The model learns from the rows with a language label; their columns stay as they are.  Without
+    a row to learn from no language is known, and every text with a letter stays.
     """
     ship(spark)
-    model = language_id.train(docs)
-    if model is None:
-        return language_id.with_letters(docs)
-    names = docs.columns
-    return language_id.identify(docs, model).filter(F.col("lang_pred") != language_id.UNKNOWN).select(*names)
+    return language_id.keep_rows(docs, language_id.train(docs), LANGUAGES)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
