@@ -1,11 +1,11 @@
-from .broadcast import Sized, hinted, probe_rows
+from .keyfilter import bitmap, estimated_bytes, reduced
 from .measure import Measure
 from .report import DailyReport
 from .spine import account_map, build_spine, department_map
 from .specs import CONSTANT, DISTINCT, PAIRS, Child, Header, Metric, ReportSpec, Source, SpineSpec
 
 __all__ = [
-    "Sized", "hinted", "probe_rows",
+    "bitmap", "estimated_bytes", "reduced",
     "Measure", "DailyReport",
     "account_map", "build_spine", "department_map",
     "CONSTANT", "DISTINCT", "PAIRS", "Child", "Header", "Metric", "ReportSpec", "Source", "SpineSpec",

@@ -12,9 +12,12 @@ counted value and a bit per metric whose predicate the row meets.  Then, for all
   each task ships at most one row per entity) – no ``Expand``, and a row copy only where a source counts
   several expressions.
 
-Pair metrics (``COUNT`` of parent ⟕ child rows) map the window's parents to entities first and stream the
-child past them; what leaves a task is one row per entity.  Beyond the broadcast bound the child is
-pre-aggregated per parent key before the join.
+Where a windowed side meets a table that is not windowed (a header, a pair metric's child), that table's
+scan is reduced to the windowed side's keys first (see :mod:`.keyfilter`): no account, entity or row
+of its history that the window does not touch is shuffled, and no job runs while a query is built.
+
+Pair metrics (``COUNT`` of parent ⟕ child rows) map the window's parents to entities first; the reduced
+child is counted per parent key on the map side, so a parent with a huge fan-out is a row per task.
 
 A backfill measures several daily windows in one scan: a key keeps the distinct (first run, last run,
 metric bits) of its rows, and is spread over the runs only after the shuffle.
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from ..sources.catalog import Catalog
-from .broadcast import Sized, hinted, probe_rows
+from .keyfilter import reduced
 from .spine import account_map, department_map, entities
 from .specs import DISTINCT, PAIRS, Metric, ReportSpec, Source
 
@@ -112,21 +115,9 @@ class Measure:
         self.entities = entities(catalog, spec.spine, spec.allow)
         self.departments = department_map(catalog, spec.spine, spec.allow)
         self.account_map = account_map(catalog, spec.spine, self.departments)
-        self._sizes: dict[str, int] = {}
         self._integral: dict[tuple[str, str], bool] = {}
 
-    # -- sizes and types -----------------------------------------------------------------
-
-    def _sized(self, candidates: dict[str, DataFrame]) -> dict[str, Sized]:
-        """Candidates counted in one job and hinted for broadcast under the bound (0: never, and no job).
-
-        Only the windowed sides that Spark's static sizes cannot judge are counted: a leaf behind a
-        header and the parents of a pair metric, whose other side is an unwindowed fact table.
-        """
-        bound = self.spec.max_broadcast_rows
-        if bound > 0:
-            self._sizes.update(probe_rows({k: v for k, v in candidates.items() if k not in self._sizes}))
-        return {k: hinted(v, self._sizes.get(k, bound + 1), bound) for k, v in candidates.items()}
+    # -- types -------------------------------------------------------------------------
 
     def _types(self, source: Source, values: list[str]) -> dict[str, bool]:
         todo = [v for v in dict.fromkeys(values) if (source.name, v) not in self._integral]
@@ -138,51 +129,43 @@ class Measure:
 
     # -- plan pieces -------------------------------------------------------------------
 
-    def _parent(self, metric: Metric, runs: int) -> DataFrame:
-        """(p_id, entity_id, [_run], copies): the window's parents, mapped to entities."""
-        source = self.spec.source_by_name[metric.source]
-        cond = " AND ".join(([f"({metric.where})"] if metric.where else [])
-                            + [f"({metric.value}) IS NOT NULL", f"({source.account}) IS NOT NULL"])
-        rows = scan_window(self.catalog, self.spec, source, runs).where(cond)
-        runs_of = [f"explode(sequence({RANGE[0]}, {RANGE[1]})) AS {RUN}"] if runs > 1 else []
-        rows = rows.selectExpr(f"{source.account} AS p_account", f"{metric.value} AS p_id", *runs_of)
-        amap = self.account_map
-        keys = ["p_id", "entity_id", *([RUN] if runs > 1 else [])]
-        return (rows.join(amap, rows.p_account == amap.account_id).groupBy(*keys)
-                .agg(F.count(F.lit(1)).alias("copies")))
+    def _reduced(self, df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+        return reduced(df, column, keys, key, above=self.spec.key_filter_above, bits=self.spec.key_filter_bits)
 
-    def _through_header(self, source: Source, leaf: Sized) -> DataFrame:
-        """Leaf rows keyed by header id → entity rows.
+    def _through_header(self, source: Source, leaf: DataFrame) -> DataFrame:
+        """Leaf rows keyed by header id → the same rows keyed by account.
 
-        The header table is not windowed and is as large as a fact table.  Where the windowed leaf
-        fits the bound it is broadcast and the header, mapped to entities on the map side, streams
-        past it; otherwise both shuffle on the header id (adaptive execution splits a hot header).
+        The header table is not windowed and is as large as a fact table: it is reduced to the leaf's
+        links and joined to the leaf before any account is looked up, so it never moves on the account.
         """
         h = source.header
-        amap = self.account_map
-        header = (self.catalog.table(h.table)
-                  .selectExpr(f"{h.id} AS h_id", f"{h.account} AS h_account"))
-        header = header.join(amap, header.h_account == amap.account_id).select("h_id", "entity_id")
-        return header.join(leaf.frame, header.h_id == leaf.frame.link).drop("h_id", "link")
+        header = (self.catalog.table(h.table).selectExpr(f"{h.id} AS h_id", f"{h.account} AS h_account")
+                  .where("h_id IS NOT NULL AND h_account IS NOT NULL"))
+        header = self._reduced(header, "h_id", leaf, "link")
+        return (leaf.join(header, leaf.link == header.h_id).drop("h_id", "link").withColumnRenamed("h_account", "link"))
 
-    def _pair_rows(self, mid: int, metric: Metric, parent: Sized, carry: list[str]) -> DataFrame:
+    def _pair_rows(self, mid: int, metric: Metric, runs: int) -> DataFrame:
         """(entity_id, [_run], mask, n): n counts parent ⟕ child rows with both ids present.
 
-        The child is not windowed.  Parents already carry their entity, so a child row that streams
-        past broadcast parents becomes part of one count per entity in its own task; a parent
-        with a huge fan-out is never shuffled by key.  Above the bound, children are first counted
-        per parent key (map-side partial aggregate) and that result is joined.
+        The window's parents are mapped to entities; the child, which is not windowed, is reduced to
+        the parents' ids, counted per id (map-side partial aggregate) and joined.
         """
-        child = metric.child
-        kids = (self.catalog.table(child.table).where(f"({child.id}) IS NOT NULL")
+        source, child = self.spec.source_by_name[metric.source], metric.child
+        cond = " AND ".join(([f"({metric.where})"] if metric.where else [])
+                            + [f"({metric.value}) IS NOT NULL", f"({source.account}) IS NOT NULL"])
+        rows = scan_window(self.catalog, self.spec, source, runs).where(cond)
+        runs_of = [f"explode(sequence({RANGE[0]}, {RANGE[1]})) AS {RUN}"] if runs > 1 else []
+        carry = [RUN] if runs > 1 else []
+        ids = rows.selectExpr(f"{metric.value} AS p_id")
+        rows = rows.selectExpr(f"{source.account} AS p_account", f"{metric.value} AS p_id", *runs_of)
+        amap = self.account_map
+        parents = (rows.join(amap, rows.p_account == amap.account_id).groupBy("p_id", "entity_id", *carry)
+                   .agg(F.count(F.lit(1)).alias("copies")))
+        kids = (self.catalog.table(child.table).where(f"({child.id}) IS NOT NULL AND ({child.link}) IS NOT NULL")
                 .selectExpr(f"{child.link} AS c_link"))
-        if parent.broadcast:
-            pairs = kids.join(parent.frame, kids.c_link == parent.frame.p_id).selectExpr("entity_id", *carry, "copies AS n")
-        else:
-            fanout = kids.groupBy("c_link").agg(F.count(F.lit(1)).alias("kids"))
-            pairs = (parent.frame.join(fanout, parent.frame.p_id == fanout.c_link)
-                     .selectExpr("entity_id", *carry, "copies * kids AS n"))
-        return pairs.selectExpr("entity_id", *carry, f"{_bit(mid)} AS mask", "n")
+        fanout = (self._reduced(kids, "c_link", ids, "p_id").groupBy("c_link").agg(F.count(F.lit(1)).alias("kids")))
+        return (parents.join(fanout, parents.p_id == fanout.c_link)
+                .selectExpr("entity_id", *carry, f"{_bit(mid)} AS mask", "copies * kids AS n"))
 
     def _distinct_rows(self, rows: DataFrame, runs: int) -> DataFrame:
         """(entity_id, [_run], mask, n): one row per distinct key (and run) with the bits of its metrics."""
@@ -224,8 +207,7 @@ class Measure:
         for mid, m in numbered:
             if m.measure == DISTINCT:
                 by_source.setdefault(m.source, {}).setdefault(m.value, []).append((mid, m))
-        direct: list[DataFrame] = []
-        leaves: dict[str, DataFrame] = {}
+        found: list[DataFrame] = []
         number = 0
         for name, values in by_source.items():
             source = self.spec.source_by_name[name]
@@ -234,23 +216,14 @@ class Measure:
             number += len(groups)
             rows = _flagged(scan_window(self.catalog, self.spec, source, runs), groups,
                             source.header.link if source.header else source.account, RANGE if runs > 1 else [])
-            if source.header:
-                leaves[name] = rows
-            else:
-                direct.append(rows)
-        parents = {f"parent:{m.key}:{runs}": self._parent(m, runs) for _, m in pairs}
-        sized = self._sized({**{f"leaf:{n}:{runs}": f for n, f in leaves.items()}, **parents})
+            found.append(self._through_header(source, rows) if source.header else rows)
 
         parts = []
-        entity_rows = []
-        if direct:
-            rows = reduce(DataFrame.unionByName, direct)
-            entity_rows.append(rows.join(self.account_map, rows.link == self.account_map.account_id)
-                               .drop("link", "account_id"))
-        entity_rows += [self._through_header(self.spec.source_by_name[n], sized[f"leaf:{n}:{runs}"]) for n in leaves]
-        if entity_rows:
-            parts.append(self._distinct_rows(reduce(DataFrame.unionByName, entity_rows), runs))
-        parts += [self._pair_rows(i, m, sized[f"parent:{m.key}:{runs}"], carry) for i, m in pairs]
+        if found:  # all sources' rows are keyed by account now: one join with the account map
+            rows = reduce(DataFrame.unionByName, found)
+            rows = rows.join(self.account_map, rows.link == self.account_map.account_id).drop("link", "account_id")
+            parts.append(self._distinct_rows(rows, runs))
+        parts += [self._pair_rows(i, m, runs) for i, m in pairs]
         long = reduce(DataFrame.unionByName, parts)
         long = long.unionByName(base_rows.selectExpr("entity_id", *carry, "CAST(0 AS BIGINT) AS mask",
                                                      "CAST(0 AS BIGINT) AS n"))

@@ -88,7 +88,8 @@ class ReportSpec:
     id_col: str = "college_id"
     name_col: str = "college_name"
     usage_col: str = "college_usage"
-    max_broadcast_rows: int = 2_000_000
+    key_filter_above: int = 64 << 20     # estimated bytes of a table without a window from which its scan is reduced first
+    key_filter_bits: int = 1 << 20       # size of that reduction's bitmap
     source_by_name: dict[str, Source] = field(init=False, repr=False, compare=False)
 
     def __post_init__(self):

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.catalog import Catalog
+from .keyfilter import broadcast_limit, estimated_bytes
 from .specs import SpineSpec
 
 
@@ -91,5 +92,10 @@ def account_map(catalog: Catalog, spec: SpineSpec, departments: DataFrame) -> Da
     large account table streams past it.
     """
     acc = real_accounts(catalog, spec)
-    return acc.join(departments, _key_match(acc, departments, len(spec.account_keys))).select(
-        "account_id", "entity_id")
+    found = acc.join(departments, _key_match(acc, departments, len(spec.account_keys))).select("account_id", "entity_id")
+    # Where no two bridge rows share the keys, the map has at most the accounts' rows; Spark's estimate of a
+    # join is the product of its sides, so the bound is given as a hint.
+    unique = spec.bridge_distinct and spec.bridge_entity in spec.bridge_keys
+    if unique and 0 <= estimated_bytes(acc) <= broadcast_limit(catalog.spark):
+        return F.broadcast(found)
+    return found

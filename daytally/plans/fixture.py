@@ -99,9 +99,9 @@ def metrics() -> tuple[Metric, ...]:
     return tuple(out)
 
 
-def report_spec(max_broadcast_rows: int = 2_000_000) -> ReportSpec:
+def report_spec() -> ReportSpec:
     return ReportSpec(spine=SPINE, sources=SOURCES, metrics=metrics(), modules=MODULES, window=EVENT_WINDOW,
-                      allow=ALLOW, max_broadcast_rows=max_broadcast_rows)
+                      allow=ALLOW)
 
 
 def entities_current_year(catalog: Catalog) -> DataFrame:

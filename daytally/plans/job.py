@@ -65,8 +65,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     ap.add_argument("--backfill-days", type=int, default=1,
                     help="write this many consecutive report days ending at --report-date, in one pass")
     ap.add_argument("--date-partition", help="DATE partition column of day-partitioned fact exports")
-    ap.add_argument("--max-broadcast-rows", type=int, default=2_000_000,
-                    help="rows up to which a counted windowed side is hinted for broadcast; 0: never")
+    ap.add_argument("--key-filter-above", type=int, default=64 << 20,
+                    help="estimated bytes of an unwindowed table from which its scan is reduced to the window's keys; 0: always")
+    ap.add_argument("--key-filter-bits", type=int, default=1 << 23, help="bits of that reduction's bitmap")
     ap.add_argument("--jdbc-time-slices", type=int, default=16,
                     help="JDBC only: parallel time-range queries per windowed fact table")
     ap.add_argument("--jdbc-key-range", action="append", default=[], metavar="TABLE:COLUMN:LOWER:UPPER:PARTITIONS",
@@ -90,7 +91,8 @@ def build_report(spark: SparkSession, args: argparse.Namespace) -> DailyReport:
         catalog = Catalog(spark, jdbc=JdbcConfig.mysql_from_env(
             time_slices=args.jdbc_time_slices, partitioning=ranges, zone_offset=window.zone_offset(args.time_zone)))
     return DailyReport(catalog, reference_schema.report_spec(
-        window, allow=allow, max_broadcast_rows=args.max_broadcast_rows, date_partition=args.date_partition))
+        window, allow=allow, date_partition=args.date_partition,
+        key_filter_above=args.key_filter_above, key_filter_bits=args.key_filter_bits))
 
 
 def main(argv: list[str] | None = None) -> None:

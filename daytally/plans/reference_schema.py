@@ -99,11 +99,12 @@ def metrics() -> tuple[Metric, ...]:
 
 
 def report_spec(window: ReportWindow, allow: tuple[int, ...] | None = ALLOW_LIST,
-                max_broadcast_rows: int = 2_000_000, date_partition: str | None = None) -> ReportSpec:
+                date_partition: str | None = None, key_filter_above: int = 64 << 20,
+                key_filter_bits: int = 1 << 23) -> ReportSpec:
     """``date_partition`` names the DATE partition column of day-partitioned fact exports."""
     sources = tuple(replace(s, date_partition=date_partition) for s in SOURCES)
     return ReportSpec(spine=SPINE, sources=sources, metrics=metrics(), modules=MODULES, window=window,
-                      allow=allow, max_broadcast_rows=max_broadcast_rows)
+                      allow=allow, key_filter_above=key_filter_above, key_filter_bits=key_filter_bits)
 
 
 def entities_current_year(catalog: Catalog) -> DataFrame:

@@ -183,7 +183,7 @@ def test_shuffle_fallback_when_broadcast_bound_is_exceeded(spark, report):
     want = report.detail().collect()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    rep = DailyReport(_catalog(spark), reference_schema.report_spec(WINDOW, allow=ALLOW, max_broadcast_rows=0))
+    rep = DailyReport(_catalog(spark), reference_schema.report_spec(WINDOW, allow=ALLOW, key_filter_above=0))
     df = rep.detail()
     assert df.collect() == want
     plan = df._jdf.queryExecution().executedPlan().toString()

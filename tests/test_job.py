@@ -86,13 +86,13 @@ def test_cli_options_reach_the_plan(spark, scratch_dir, monkeypatch):
             df.write.parquet(f"{scratch_dir}/{name}.parquet")
     zone = spark.conf.get("spark.sql.session.timeZone")
     args = ["--tables", scratch_dir, "--out", "unused", "--report-date", "2024-01-02", "--date-partition", "day",
-            "--max-broadcast-rows", "7"]
+            "--key-filter-above", "7"]
     report = job.build_report(spark, job._arguments(args))
     spark.conf.set("spark.sql.session.timeZone", zone)
     plan = report.metric("metric_notifications")._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "day#" in line)
     assert "PartitionFilters: [isnotnull(day" in scan
-    assert report.spec.max_broadcast_rows == 7
+    assert report.spec.key_filter_above == 7
     with pytest.raises(ValueError, match="start_time"):
         report.metric("metric_live_class")
     for key in ("DB_HOST", "DB_NAME"):

@@ -57,7 +57,7 @@ def test_doubled_fact_rows_match_the_oracle(spark, duck, bound):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet'){twice}")
         if t in facts:
             cat._loaded[t] = cat.table(t).unionByName(cat.table(t))
-    report = DailyReport(cat, dataclasses.replace(fixture.report_spec(), max_broadcast_rows=bound))
+    report = DailyReport(cat, dataclasses.replace(fixture.report_spec(), key_filter_above=bound))
     for key, df in (("report_detail", report.detail()), ("report_summary", report.summary()),
                     ("report_backfill", report.backfill_detail(fixture_oracle.BACKFILL_RUNS)),
                     ("metric_attendance", report.metric("metric_attendance"))):

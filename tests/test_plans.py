@@ -74,29 +74,37 @@ def test_entities_with_an_account_are_reduced_before_the_semi_join(spark):
 
 
 def test_parents_reach_their_entity_before_the_child(spark):
-    """Whichever side is over the bound, no row per pair is shuffled by account."""
+    """With and without the reduction and automatic broadcasts: no row per pair is shuffled by account."""
     want = sorted(fixture_report(spark, SF001).metric("metric_remediate").collect())
-    for bound, threshold in ((2_000_000, "-1"), (0, "-1")):
+    for bound, threshold in ((64 << 20, "-1"), (0, "-1"), (0, "10MB")):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        before = _jobs(spark)
         df = replace_bound(fixture_report(spark, SF001), bound).metric("metric_remediate")
         plan = _plan(df)
+        assert _jobs(spark) == before  # building the query runs nothing
         got = sorted(df.collect())
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         assert got == want
-        # The account join lies below the join with the child table.
         lines = plan.splitlines()
         child = next(i for i, x in enumerate(lines) if "lineitem.parquet" in x)
-        account = [i for i, x in enumerate(lines) if "p_account" in x and "Join" in x]
-        child_join = next(i for i, x in enumerate(lines) if "Join" in x and "c_link" in x)
-        assert account and min(account) > child_join and child > child_join
+        # What leaves the child's scan is a partial count per parent, reduced by the parents' bits where asked for.
+        above = next(x for x in reversed(lines[:child]) if _moves_rows(x))
+        assert "hashpartitioning(c_link" in above
+        assert any("partial_count" in x and "c_link" in x for x in lines[lines.index(above):child])
+        assert any("Filter" in x and "Subquery" in x and "xxhash64" in x for x in lines[lines.index(above):child]) == (bound == 0)
 
 
-def replace_bound(report, rows: int):
+def _moves_rows(line: str) -> bool:
+    """An exchange, but not one of the bitmap's subquery."""
+    return "Exchange" in line and "word#" not in line and "SinglePartition" not in line
+
+
+def replace_bound(report, above: int):
     from dataclasses import replace
 
     from daytally import DailyReport
 
-    return DailyReport(report.catalog, replace(report.spec, max_broadcast_rows=rows))
+    return DailyReport(report.catalog, replace(report.spec, key_filter_above=above))
 
 
 def test_date_partitioned_source_prunes_days(spark, scratch_dir):
@@ -122,12 +130,30 @@ def test_date_partitioned_source_prunes_days(spark, scratch_dir):
     assert sorted(rep.metric("metric_attendance").collect()) == sorted(base.metric("metric_attendance").collect())
 
 
-def test_header_hop_with_a_large_leaf(spark):
+def test_header_meets_the_leaf_before_any_account(spark):
+    """The header is reduced to the leaf's links and moves on its id only, never on the account."""
     want = sorted(fixture_report(spark, SF001).metric("metric_hook_search").collect())
-    rep = fixture_report(spark, SF001)
-    # The windowed leaf is over the bound: it is not hinted, and the numbers stay.
-    rep.measure()._sizes["leaf:shipments:1"] = rep.spec.max_broadcast_rows + 1
-    assert sorted(rep.metric("metric_hook_search").collect()) == want
-    leaf = _plan(fixture_report(spark, SF001).metric("metric_hook_search"))
-    join = next(line for line in leaf.splitlines() if "BroadcastHashJoin [h_id" in line)
-    assert "BuildRight" in join  # leaf side built, header streamed
+    for bound, threshold in ((0, "-1"), (64 << 20, "-1"), (0, "10MB")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        before = _jobs(spark)
+        df = replace_bound(fixture_report(spark, SF001), bound).metric("metric_hook_search")
+        plan = _plan(df)
+        assert _jobs(spark) == before
+        got = sorted(df.collect())
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert got == want
+        lines = plan.splitlines()
+        header = next(i for i, x in enumerate(lines) if "orders.parquet" in x)
+        if threshold == "-1":
+            above = next(x for x in reversed(lines[:header]) if _moves_rows(x))
+            assert "hashpartitioning(h_id" in above
+        join = next(i for i in range(header, 0, -1) if "Join" in lines[i])
+        assert "h_id" in lines[join] and "account_id" not in lines[join]
+        assert any("Subquery" in x and "xxhash64" in x for x in lines[join:header]) == (bound == 0)
+        # The account map joins above, once for all rows that have an account by then.
+        assert sum("Join [link" in x and "account_id" in x for x in lines) == 1
+
+
+def test_one_account_join_for_all_sources(spark):
+    plan = _plan(fixture_report(spark, SF001).detail())
+    assert sum("Join [link" in x and "account_id" in x for x in plan.splitlines()) == 1

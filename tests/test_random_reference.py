@@ -159,7 +159,7 @@ def test_engine_equals_per_metric_sql(spark, seed, unique_ids, repeat_bridge, do
         arrow = pa.table({c: pa.array([r[i] for r in rows], type=ARROW[t]) for i, (c, t) in enumerate(cols)})
         con.register(name, arrow)
         frames[name] = spark.createDataFrame(rows, ddl)
-    spec = reference_schema.report_spec(WINDOW, allow=ALLOW, max_broadcast_rows=bound)
+    spec = reference_schema.report_spec(WINDOW, allow=ALLOW, key_filter_above=bound)
     report = DailyReport(Catalog.in_memory(spark, frames), spec)
 
     expected: dict[str, dict[int, int]] = {}

@@ -45,7 +45,7 @@ def test_hot_account_same_numbers_broadcast_and_shuffled(spark, skewed_catalog):
     for k, v in SKEW_CONF.items():
         spark.conf.set(k, v)
     try:
-        shuffled = DailyReport(skewed_catalog, replace(spec, max_broadcast_rows=0))
+        shuffled = DailyReport(skewed_catalog, replace(spec, key_filter_above=0))
         df = shuffled.detail()
         got = sorted(df.collect())
         final_plan = df._jdf.queryExecution().executedPlan().toString()
