@@ -3,7 +3,8 @@
 The per-entity measurement is small (one row per allow-listed entity) but is the end of
 the whole plan.  It is checkpointed reliably into the cluster's ``spark.checkpoint.dir`` so
 both tables are written from the same numbers, and a lost executor during the second
-write does not re-run the fact scans.
+write does not re-run the fact scans.  Both are staged and published under one marker: a run that fails
+before it leaves the days as they were, one that fails after it is finished by the next run.
 
 Command line (original schema, Parquet exports or JDBC)::
 
@@ -24,19 +25,22 @@ from ..operators.report import DailyReport
 from ..session import ensure_checkpoint_dir, get_session
 from ..sources.catalog import Catalog
 from ..sources.jdbc import JdbcConfig, Partitioning
-from ..sources.sinks import DETAIL_ORDER, SUMMARY_ORDER, write_partitioned
+from ..sources.sinks import DETAIL_ORDER, SUMMARY_ORDER, Staged, write_partitioned
 from . import reference_schema
 
 
+TABLES = ("detail", "summary")
+
+
 def run_daily(report: DailyReport, out_dir: str) -> dict[str, str]:
     spark = report.catalog.spark
     ensure_checkpoint_dir(spark)
     day = report.spec.window.report_date
     wide = report.wide().checkpoint(eager=True)
-    paths = {"detail": f"{out_dir}/detail", "summary": f"{out_dir}/summary"}
-    write_partitioned(report.detail(wide), paths["detail"], day, order_by=DETAIL_ORDER)
-    write_partitioned(report.summary(wide), paths["summary"], day, order_by=SUMMARY_ORDER)
-    return paths
+    with Staged(spark, out_dir, TABLES) as staged:
+        write_partitioned(report.detail(wide), staged.path("detail"), day, order_by=DETAIL_ORDER)
+        write_partitioned(report.summary(wide), staged.path("summary"), day, order_by=SUMMARY_ORDER)
+    return {t: f"{out_dir}/{t}" for t in TABLES}
 
 
 def run_backfill(report: DailyReport, out_dir: str, days: int) -> dict[str, str]:
@@ -46,10 +50,10 @@ def run_backfill(report: DailyReport, out_dir: str, days: int) -> dict[str, str]
     ensure_checkpoint_dir(spark)
     wide = report.wide(runs=days).checkpoint(eager=True)
     every = [report.spec.window.report_date - timedelta(days=k) for k in range(days)]
-    paths = {"detail": f"{out_dir}/detail", "summary": f"{out_dir}/summary"}
-    write_partitioned(report.backfill_detail(days, wide), paths["detail"], every, order_by=DETAIL_ORDER)
-    write_partitioned(report.backfill_summary(days, wide), paths["summary"], every, order_by=SUMMARY_ORDER)
-    return paths
+    with Staged(spark, out_dir, TABLES) as staged:
+        write_partitioned(report.backfill_detail(days, wide), staged.path("detail"), every, order_by=DETAIL_ORDER)
+        write_partitioned(report.backfill_summary(days, wide), staged.path("summary"), every, order_by=SUMMARY_ORDER)
+    return {t: f"{out_dir}/{t}" for t in TABLES}
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -71,7 +75,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     ap.add_argument("--jdbc-time-slices", type=int, default=16,
                     help="JDBC only: parallel time-range queries per windowed fact table")
     ap.add_argument("--jdbc-key-range", action="append", default=[], metavar="TABLE:COLUMN:LOWER:UPPER:PARTITIONS",
-                    help="JDBC only: read an unwindowed table by ranges of a numeric key; repeatable")
+                    help="JDBC only: read an unwindowed table by these ranges of a numeric key; repeatable")
+    ap.add_argument("--jdbc-rows-per-range", type=int, default=1_000_000,
+                    help="JDBC only: keys in a range of the other unwindowed tables, between bounds that one query asks for")
+    ap.add_argument("--jdbc-max-ranges", type=int, default=64, help="JDBC only: such ranges of a table at most")
     return ap.parse_args(argv)
 
 
@@ -84,12 +91,13 @@ def build_report(spark: SparkSession, args: argparse.Namespace) -> DailyReport:
               else ReportWindow.for_run(cut_hour=args.cut_hour, lookback=lookback, zone=args.time_zone))
     spark.conf.set("spark.sql.session.timeZone", args.time_zone)
     if args.tables:
-        catalog = Catalog.parquet_dir(spark, args.tables, columns=reference_schema.COLUMNS)
+        catalog = Catalog.parquet_dir(spark, args.tables, columns=reference_schema.COLUMNS, kinds=reference_schema.KINDS)
     else:
         ranges = {t: Partitioning(c, int(lo), int(hi), int(n))
                   for t, c, lo, hi, n in (r.split(":") for r in args.jdbc_key_range)}
         catalog = Catalog(spark, jdbc=JdbcConfig.mysql_from_env(
-            time_slices=args.jdbc_time_slices, partitioning=ranges, zone_offset=window.zone_offset(args.time_zone)))
+            time_slices=args.jdbc_time_slices, partitioning=ranges, keys=reference_schema.JDBC_KEYS,
+            rows_per_range=args.jdbc_rows_per_range, max_ranges=args.jdbc_max_ranges, zone_offset=window.zone_offset(args.time_zone)))
     return DailyReport(catalog, reference_schema.report_spec(
         window, allow=allow, date_partition=args.date_partition,
         key_filter_above=args.key_filter_above, key_filter_bits=args.key_filter_bits))

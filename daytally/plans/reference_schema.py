@@ -60,6 +60,12 @@ COLUMNS = {
     **{s.table: (*_COUNTED.get(s.name, ("id",)), s.header.link if s.header else s.account, s.time) for s in SOURCES},
 }
 
+KINDS = {s.table: {s.time: "time"} for s in SOURCES}
+
+# Tables without a window and their numeric keys, for parallel reads over JDBC.
+JDBC_KEYS = {"college_account_new": "id", "college_university_degree_department_new": "id",
+             "college_account_co_pilot_search": "id", "questionnaire_remedial_path": "id"}
+
 # Metric key → (source, counted column, extra predicate, account flag placement).
 _DISTINCT = {
     "metric_attendance": ("class_hours", "id", None, "on"),

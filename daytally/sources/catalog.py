@@ -8,14 +8,14 @@ and filter pushdown reach the real scan through Catalyst.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from .jdbc import JdbcConfig, read_jdbc, read_jdbc_window
+from .jdbc import JdbcConfig, asked_bounds, read_jdbc, read_jdbc_window, with_key_ranges
 
 
 @dataclass
@@ -26,7 +26,9 @@ class Catalog:
     frames: Mapping[str, DataFrame] = field(default_factory=dict)
     schemas: Mapping[str, StructType | str] = field(default_factory=dict)  # StructType or DDL text
     columns: Mapping[str, tuple[str, ...]] = field(default_factory=dict)  # required, where no schema is declared
+    kinds: Mapping[str, Mapping[str, str]] = field(default_factory=dict)  # table -> column -> "time" or "integer"
     jdbc: JdbcConfig | None = None
+    bounds: Callable[[str], list[tuple]] | None = None  # answers a key bounds statement; default: over JDBC
     fmt: str = "parquet"
     _loaded: dict[str, DataFrame] = field(default_factory=dict, init=False, repr=False)
 
@@ -58,6 +60,8 @@ class Catalog:
             return self.frames[name]
         if name not in self._loaded:
             if self.jdbc is not None and name not in self.paths and self.root is None:
+                if name in self.jdbc.keys:  # one query for all tables' key bounds, when the first of them is read
+                    self.jdbc = with_key_ranges(self.jdbc, self.bounds or asked_bounds(self.spark, self.jdbc))
                 self._loaded[name] = read_jdbc(self.spark, self.jdbc, name)
             else:
                 path = self.path(name)
@@ -67,9 +71,11 @@ class Catalog:
                     if isinstance(declared, str):
                         declared = StructType.fromDDL(declared)
                     _require_columns(self.spark, self.fmt, path, declared.names)
+                    _require_types(path, _file_schema(self.spark, self.fmt, path), declared)
                     reader = reader.schema(_with_partitions(self.spark, self.fmt, path, declared))
                 elif name in self.columns:
                     _require_columns(self.spark, self.fmt, path, self.columns[name])
+                    _require_kinds(path, _file_schema(self.spark, self.fmt, path), self.kinds.get(name, {}))
                 self._loaded[name] = reader.load(path)
         return self._loaded[name]
 
@@ -109,6 +115,36 @@ def _require_columns(spark: SparkSession, fmt: str, path: str, columns: Iterable
         raise ValueError(f"{path} lacks the declared columns {', '.join(missing)}")
 
 
+# What a file's type may be where another one is declared: the reader widens these without loss or shift.
+_WIDENS = {
+    "short": {"byte"}, "integer": {"byte", "short"}, "long": {"byte", "short", "integer"},
+    "double": {"float", "byte", "short", "integer"}, "float": {"byte", "short"},
+    "timestamp_ntz": {"date"},
+}
+# An instant is wall-clock time only in the session's zone, which the job sets to the report's.
+_KINDS = {"time": {"timestamp_ntz", "timestamp", "date"}, "integer": {"byte", "short", "integer", "long"}}
+
+
+def _require_types(path: str, found: StructType, declared: StructType) -> None:
+    """A file's column of another type raises unless the reader widens it: text where a time is declared would read
+    as NULL or fail late, and an instant would be taken for wall-clock time."""
+    wrong = []
+    for want in declared.fields:
+        have = found[want.name].dataType
+        if have != want.dataType and have.typeName() not in _WIDENS.get(want.dataType.typeName(), ()):
+            wrong.append(f"{want.name} is {have.simpleString()}, declared {want.dataType.simpleString()}")
+    if wrong:
+        raise ValueError(f"{path}: {'; '.join(wrong)}")
+
+
+def _require_kinds(path: str, found: StructType, kinds: Mapping[str, str]) -> None:
+    """The same where only the kind of a column is declared."""
+    wrong = [f"{c} is {found[c].dataType.simpleString()}, not a column of kind {kind}" for c, kind in kinds.items()
+             if c in found.names and found[c].dataType.typeName() not in _KINDS[kind]]
+    if wrong:
+        raise ValueError(f"{path}: {'; '.join(wrong)}")
+
+
 def _with_partitions(spark: SparkSession, fmt: str, path: str, declared: StructType) -> StructType:
     """The declared columns and the files' other DATE columns (a day partition has one)."""
     extra = [f for f in _file_schema(spark, fmt, path).fields

@@ -1,16 +1,17 @@
 """JDBC reader for production sources (the original job reads a MySQL schema).
 
 Only the scan is delegated to the database: Spark pushes the column list and the simple
-predicates (window bounds, flags) into the generated ``SELECT``, and reads fact tables in
-parallel: by ranges of a numeric column, or – for windowed facts – by time slices of the
-report window, one query per slice.  The aggregation itself stays in Spark, so the
+predicates (window bounds, flags) into the generated ``SELECT``, and reads tables in
+parallel: windowed facts by time slices of the report window, one query per slice; the others
+by ranges of a numeric key, given by hand or cut between the bounds that one query asks for all of them.  The aggregation itself stays in Spark, so the
 database is never asked to run the whole report.
 """
 
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,9 @@ class JdbcConfig:
     fetch_size: int = 10_000
     connect_timeout_s: int = 20
     partitioning: dict[str, Partitioning] = field(default_factory=dict)
+    keys: dict[str, str] = field(default_factory=dict)   # numeric key of tables without a window: ranges are asked for
+    rows_per_range: int = 1_000_000
+    max_ranges: int = 64
     time_slices: int = 0   # > 0: read a windowed table as this many parallel time-range queries
     zone_offset: str = "+00:00"   # the database session's time zone, equal to Spark's
 
@@ -73,6 +77,42 @@ def jdbc_options(cfg: JdbcConfig, table: str) -> dict[str, str]:
     return opts
 
 
+def key_bounds_sql(keys: Mapping[str, str]) -> str:
+    """One statement for the least and greatest key of every table (index look-ups in the database)."""
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, MIN({c}) AS low, MAX({c}) AS high FROM {t}"
+                              for t, c in sorted(keys.items()))
+
+
+def asked_bounds(spark: SparkSession, cfg: JdbcConfig) -> Callable[[str], list[tuple]]:
+    """Runs a bounds statement over the configured connection."""
+    def run(sql: str) -> list[tuple]:
+        opts = {k: v for k, v in jdbc_options(cfg, "").items() if k != "dbtable"}
+        return [tuple(r) for r in spark.read.format("jdbc").options(**opts, query=sql).load().collect()]
+
+    return run
+
+
+def with_key_ranges(cfg: JdbcConfig, run: Callable[[str], list[tuple]]) -> JdbcConfig:
+    """``cfg`` with a partitioned read of every table in ``keys``, from one bounds query.
+
+    Ranges given by hand win and are not asked for.  A table gets a range per ``rows_per_range`` keys between its
+    bounds, ``max_ranges`` at most; an empty or small one is read as it is.  Bounds only place the
+    cuts: rows added meanwhile, and null keys, fall into the outer ranges.
+    """
+    open_ = {t: c for t, c in cfg.keys.items() if t not in cfg.partitioning}
+    if not open_:
+        return cfg
+    found = {}
+    for table, low, high in run(key_bounds_sql(open_)):
+        if low is None or high is None:
+            continue
+        low, high = int(low), int(high)
+        ranges = min(cfg.max_ranges, -(-(high - low + 1) // cfg.rows_per_range))
+        if ranges > 1:
+            found[table] = Partitioning(open_[table], low, high + 1, ranges)
+    return replace(cfg, partitioning={**found, **cfg.partitioning}, keys={})
+
+
 def read_jdbc(spark: SparkSession, cfg: JdbcConfig, table: str) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(cfg, table)).load()
 
