@@ -86,6 +86,7 @@ def _flagged(src_df: DataFrame, groups: list[KeyGroup], link: str, carry: list[s
 
 RUN = "_run"
 RANGE = ["_first", "_last"]
+LATER = "_later"
 
 
 def scan_window(catalog: Catalog, spec: ReportSpec, source: Source, runs: int = 1) -> DataFrame:
@@ -144,9 +145,11 @@ class Measure:
         header = self._reduced(header, "h_id", leaf, "link")
         return (leaf.join(header, leaf.link == header.h_id).drop("h_id", "link").withColumnRenamed("h_account", "link"))
 
-    def _pair_rows(self, mid: int, metric: Metric, runs: int) -> DataFrame:
+    def _pair_rows(self, mid: int, metric: Metric, runs: int, later: bool = False) -> DataFrame:
         """(entity_id, [_run], mask, n): n counts parent ⟕ child rows with both ids present.
 
+        With ``later`` and several runs, ``_later`` tells the parents after the window's start from those on it.
+
         The window's parents are mapped to entities; the child, which is not windowed, is reduced to
         the parents' ids, counted per id (map-side partial aggregate) and joined.
         """
@@ -156,8 +159,15 @@ class Measure:
         rows = scan_window(self.catalog, self.spec, source, runs).where(cond)
         runs_of = [f"explode(sequence({RANGE[0]}, {RANGE[1]})) AS {RUN}"] if runs > 1 else []
         carry = [RUN] if runs > 1 else []
+        if runs > 1 and later:
+            start = self.spec.window_of(source).start.strftime("%Y-%m-%d %H:%M:%S.%f")
+            rows = rows.selectExpr("*", f"CAST({source.time} AS TIMESTAMP_NTZ) AS _at")
+            runs_of.append("_at")
+            carry.append(LATER)
         ids = rows.selectExpr(f"{metric.value} AS p_id")
         rows = rows.selectExpr(f"{source.account} AS p_account", f"{metric.value} AS p_id", *runs_of)
+        if LATER in carry:
+            rows = rows.selectExpr("*", f"_at > TIMESTAMP_NTZ '{start}' - make_dt_interval({RUN}) AS {LATER}")
         amap = self.account_map
         parents = (rows.join(amap, rows.p_account == amap.account_id).groupBy("p_id", "entity_id", *carry)
                    .agg(F.count(F.lit(1)).alias("copies")))
@@ -180,6 +190,30 @@ class Measure:
         return (spans.selectExpr("entity_id", f"posexplode({per_run}) AS ({RUN}, mask)").where("mask <> 0")
                 .selectExpr("entity_id", RUN, "mask", "CAST(1 AS BIGINT) AS n"))
 
+    def keyed_rows(self, numbered: list[tuple[int, Metric]], runs: int) -> DataFrame | None:
+        """(entity_id, [_first, _last], g, k_num, k_str, mask): the windows' rows of all distinct-count metrics.
+
+        One scan per source, one key group per counted expression, one join with the account map.
+        """
+        by_source: dict[str, dict[str, list[tuple[int, Metric]]]] = {}
+        for mid, m in numbered:
+            if m.measure == DISTINCT:
+                by_source.setdefault(m.source, {}).setdefault(m.value, []).append((mid, m))
+        found: list[DataFrame] = []
+        number = 0
+        for name, values in by_source.items():
+            source = self.spec.source_by_name[name]
+            integral = self._types(source, list(values))
+            groups = [KeyGroup(number + k, v, integral[v], tuple(ms)) for k, (v, ms) in enumerate(values.items())]
+            number += len(groups)
+            rows = _flagged(scan_window(self.catalog, self.spec, source, runs), groups,
+                            source.header.link if source.header else source.account, RANGE if runs > 1 else [])
+            found.append(self._through_header(source, rows) if source.header else rows)
+        if not found:
+            return None
+        rows = reduce(DataFrame.unionByName, found)
+        return rows.join(self.account_map, rows.link == self.account_map.account_id).drop("link", "account_id")
+
     # -- the wide frame ----------------------------------------------------------------
 
     def wide(self, metrics: list[Metric], runs: int = 1) -> DataFrame:
@@ -202,26 +236,9 @@ class Measure:
             raise ValueError(f"at most {MAX_METRICS + 1} metrics can be measured in one plan")
         pairs = [(i, m) for i, m in numbered if m.measure == PAIRS]
 
-        # One scan per source, one key group per counted expression.
-        by_source: dict[str, dict[str, list[tuple[int, Metric]]]] = {}
-        for mid, m in numbered:
-            if m.measure == DISTINCT:
-                by_source.setdefault(m.source, {}).setdefault(m.value, []).append((mid, m))
-        found: list[DataFrame] = []
-        number = 0
-        for name, values in by_source.items():
-            source = self.spec.source_by_name[name]
-            integral = self._types(source, list(values))
-            groups = [KeyGroup(number + k, v, integral[v], tuple(ms)) for k, (v, ms) in enumerate(values.items())]
-            number += len(groups)
-            rows = _flagged(scan_window(self.catalog, self.spec, source, runs), groups,
-                            source.header.link if source.header else source.account, RANGE if runs > 1 else [])
-            found.append(self._through_header(source, rows) if source.header else rows)
-
         parts = []
-        if found:  # all sources' rows are keyed by account now: one join with the account map
-            rows = reduce(DataFrame.unionByName, found)
-            rows = rows.join(self.account_map, rows.link == self.account_map.account_id).drop("link", "account_id")
+        rows = self.keyed_rows(numbered, runs)
+        if rows is not None:
             parts.append(self._distinct_rows(rows, runs))
         parts += [self._pair_rows(i, m, runs) for i, m in pairs]
         long = reduce(DataFrame.unionByName, parts)

@@ -49,7 +49,10 @@ class DailyReport:
         """entity_id, entity_name and one zero-filled bigint column per metric (plus ``_run``
         when several daily runs are measured together)."""
         metrics = list(self.spec.metrics if metrics is None else metrics)
-        out = self.measure().wide(metrics, runs)
+        return self.filled(self.measure().wide(metrics, runs), metrics, runs)
+
+    def filled(self, out: DataFrame, metrics: list[Metric], runs: int = 1) -> DataFrame:
+        """A measured frame with its constants added and its missing counts 0."""
         cols = [f"CAST({m.constant} AS BIGINT) AS {q(m.column)}" if m.measure == CONSTANT
                 else f"{zero(m.column)} AS {q(m.column)}" for m in metrics]
         return out.selectExpr("entity_id", "entity_name", *([RUN] if runs > 1 else []), *cols)

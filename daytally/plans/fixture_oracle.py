@@ -309,4 +309,5 @@ def oracle_sql() -> dict[str, str]:
     out["entities_current_year"] = _entities_current_year()
     out["report_backfill"] = _backfill_detail()
     out["report_backfill_summary"] = _backfill_summary()
+    out["report_backfill_merged"] = out["report_backfill"]  # the same numbers from day states
     return out

@@ -10,7 +10,7 @@ Command line (original schema, Parquet exports or JDBC)::
 
     python -m daytally.plans.job --tables s3a://bucket/exports --out s3a://bucket/reports \\
         [--report-date 2024-01-16] [--time-zone Asia/Kolkata] [--cut-hour 8] [--allow 9,21,27] \\
-        [--date-partition day] [--backfill-days 30]
+        [--date-partition day] [--backfill-days 30] [--state s3a://bucket/states]
 """
 
 from __future__ import annotations
@@ -18,9 +18,10 @@ from __future__ import annotations
 import argparse
 from datetime import date, timedelta
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.window import CUT_HOUR, ReportWindow
+from ..operators import daystate
 from ..operators.report import DailyReport
 from ..session import ensure_checkpoint_dir, get_session
 from ..sources.catalog import Catalog
@@ -46,9 +47,20 @@ def run_daily(report: DailyReport, out_dir: str) -> dict[str, str]:
 def run_backfill(report: DailyReport, out_dir: str, days: int) -> dict[str, str]:
     """The daily job for ``days`` consecutive report days (the latest is the report's own day),
     measured in one pass over the facts; each day lands in (and replaces) its own partition."""
+    return _write_days(report, report.wide(runs=days), out_dir, days)
+
+
+def run_merged(report: DailyReport, out_dir: str, state_dir: str, days: int = 1) -> dict[str, str]:
+    """The same from day states kept in ``state_dir``: days that are not there yet are measured and added,
+    the others are not read again."""
+    daystate.write_states(report, state_dir, days)
+    return _write_days(report, daystate.report_wide(report, daystate.read_states(report, state_dir), days), out_dir, days)
+
+
+def _write_days(report: DailyReport, wide: DataFrame, out_dir: str, days: int) -> dict[str, str]:
     spark = report.catalog.spark
     ensure_checkpoint_dir(spark)
-    wide = report.wide(runs=days).checkpoint(eager=True)
+    wide = wide.checkpoint(eager=True)
     every = [report.spec.window.report_date - timedelta(days=k) for k in range(days)]
     with Staged(spark, out_dir, TABLES) as staged:
         write_partitioned(report.backfill_detail(days, wide), staged.path("detail"), every, order_by=DETAIL_ORDER)
@@ -68,6 +80,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     ap.add_argument("--allow", help="comma-separated entity ids; default: the original allow-list")
     ap.add_argument("--backfill-days", type=int, default=1,
                     help="write this many consecutive report days ending at --report-date, in one pass")
+    ap.add_argument("--state", help="folder of day states: measure the days that it lacks, merge the windows from it")
     ap.add_argument("--date-partition", help="DATE partition column of day-partitioned fact exports")
     ap.add_argument("--key-filter-above", type=int, default=64 << 20,
                     help="estimated bytes of an unwindowed table from which its scan is reduced to the window's keys; 0: always")
@@ -106,7 +119,9 @@ def build_report(spark: SparkSession, args: argparse.Namespace) -> DailyReport:
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     report = build_report(get_session(), args)
-    if args.backfill_days > 1:
+    if args.state:
+        run_merged(report, args.out, args.state, args.backfill_days)
+    elif args.backfill_days > 1:
         run_backfill(report, args.out, args.backfill_days)
     else:
         run_daily(report, args.out)

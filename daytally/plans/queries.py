@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import daystate
 from ..operators.report import DailyReport
 from ..sources.catalog import Catalog
 from . import fixture
@@ -31,6 +32,13 @@ def _module(module: str) -> Query:
     return lambda spark, sf_dir: fixture_report(spark, sf_dir).module(module)
 
 
+def backfill_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The backfill from day states: every day is measured once, every window is merged from its days."""
+    report = fixture_report(spark, sf_dir)
+    wide = daystate.report_wide(report, daystate.states(report, BACKFILL_RUNS), BACKFILL_RUNS)
+    return report.backfill_detail(BACKFILL_RUNS, wide)
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "spine_active_accounts": lambda spark, d: fixture_report(spark, d).spine_active_accounts(),
@@ -45,5 +53,6 @@ def queries() -> dict[str, Query]:
     out["report_summary"] = lambda spark, d: fixture_report(spark, d).summary()
     out["report_backfill"] = lambda spark, d: fixture_report(spark, d).backfill_detail(BACKFILL_RUNS)
     out["report_backfill_summary"] = lambda spark, d: fixture_report(spark, d).backfill_summary(BACKFILL_RUNS)
+    out["report_backfill_merged"] = backfill_merged
     out["entities_current_year"] = lambda spark, d: fixture.entities_current_year(fixture_catalog(spark, d))
     return out
