@@ -60,7 +60,8 @@ def test_random_texts(own, other):
 def test_windows_and_long_runs(own, other):
     for size in (byte_bpe.WINDOW - 1, byte_bpe.WINDOW, byte_bpe.WINDOW + 1, 3 * byte_bpe.WINDOW):
         for fill in ("a", " ", "a ", "'ll ", "\n"):
-            agree(own, other, [(fill * size)[:size] + tail for tail in ("", "b", "'ll", "  x", "'l")])
+            texts = [(fill * size)[:size] + tail for tail in ("", "b", "'ll", "  x", "'l")]
+            agree(own, other, [*texts, *(t + "\u65e5" for t in texts), *("\u65e5" + t for t in texts)])
     agree(own, other, ["word " * 600_000, "x" + " " * 300_000 + "y"])
 
 
@@ -75,6 +76,22 @@ def test_classes_of_characters_agree():
         assert set(every) - set(normalizers.Replace(Regex(kind), "").normalize_str(every)) == set(one)
 
 
+def test_plain_characters_are_cut_alike(own):
+    import regex
+
+    plain = [chr(c) for c in range(0x2028) if not own.other.match(chr(c))]
+    assert len(plain) == 0x250 + 0x18
+    from tokenizers import Regex, normalizers
+
+    for kind in (r"\p{L}", r"\p{N}", r"\s"):
+        found = set(plain) - set(normalizers.Replace(Regex(kind), "").normalize_str("".join(plain)))
+        assert {c for c in plain if regex.match(kind, c)} == found
+    rnd = random.Random(4)
+    for _ in range(600):
+        text = "".join(rnd.choice(rnd.choice([plain, " \n\t", "'slredvtm", "abc19", "\x1c\x85\xa0"])) for _ in range(80))
+        assert list(own.pieces(text)) == list(own.split(text))
+
+
 def test_ties_between_pairs_of_one_token(other):
     """The order of equal tokens made of different pairs, where pairs have ranks of their own in the library."""
     import base64
