@@ -140,13 +140,15 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     if not drawn:
         return None
     names = sorted({lang for _, _, lang in drawn})
-    bits = np.unpackbits(np.frombuffer(b"".join(b for _, b, _ in drawn), np.uint8).reshape(len(drawn), -1), axis=1)
+    packed = np.frombuffer(b"".join(b for _, b, _ in drawn), np.uint8).reshape(len(drawn), -1)
     target = np.array([names.index(lang) for _, _, lang in drawn])
     each = math.ceil(landmarks / len(names))
     marks = np.concatenate([np.flatnonzero(target == k)[:each] for k in range(len(names))])
-    norm = np.sqrt(bits.sum(axis=1, dtype=np.float64))
-    x = bits.astype(np.float32) / norm[:, None].astype(np.float32)
-    k_nm = (x @ x[marks].T).astype(np.float64)
+    norm = np.sqrt(np.bitwise_count(packed).sum(axis=1, dtype=np.int64).astype(np.float64))
+    of_marks = (np.unpackbits(packed[marks], axis=1).astype(np.float32) / norm[marks, None].astype(np.float32)).T
+    # A block of rows is unpacked at a time: the driver holds the bits and the kernel's values.
+    k_nm = np.concatenate([np.unpackbits(packed[i : i + 256], axis=1).astype(np.float32) @ of_marks
+                           for i in range(0, len(packed), 256)]).astype(np.float64) / norm[:, None]
     k_mm = k_nm[marks]
     y = np.where(target[:, None] == np.arange(len(names)), 1.0, -1.0)
     # Languages weigh alike whatever their share of the sample.
@@ -154,7 +156,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     weight *= len(target) / weight.sum()
     system = k_nm.T @ (k_nm * weight[:, None]) + RIDGE * len(target) * (k_mm + 1e-6 * np.eye(len(marks)))
     alpha = np.linalg.lstsq(system, k_nm.T @ (y * weight[:, None]), rcond=None)[0]
-    return Model(names, np.packbits(bits[marks], axis=1), alpha / norm[marks][:, None])
+    return Model(names, packed[marks], alpha / norm[marks][:, None])
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
