@@ -17,9 +17,12 @@ No band bucket emits all its pairs.  In a star round every class is compared wit
 among its buckets' heads that shares most bands with others (mostly the original of the copies).
 The confirmed links give components, and a bucket that lies in one component is done.  What that
 leaves, buckets with several components, is finished exactly: members outside the bucket's largest
-component meet the members of the other components, in the least bucket of a pair only, and only
-pairs that a second odd sketch, of the whole sets, allows (its differing bits never exceed the sets'
-differing shingles) are confirmed.  So any two linked classes that share a band end in one component.
+component meet the members of the other components, in the least bucket of a pair only.  Members of a
+bucket of more than ``MEET`` do not meet there, as a large family of texts somewhat below the threshold would
+cost its square: they are joined on the rarest shingles of their full sets (prefix-filtered, with length
+and positional bounds), which every linked pair shares.  Only pairs that a second odd sketch, of the whole
+sets, allows (its differing bits never exceed the sets' differing shingles) are confirmed.  So any two
+linked classes that share a band end in one component.
 
 Defined cases: a text with fewer words than a shingle has its whole word sequence as its one
 shingle; without words (null, empty) the set is empty and linked with nothing; a null id names
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +47,7 @@ SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 40, 5
 BITS, MAX_ODD = 512, 119
 FULL_BITS = 2048
+MEET = 64
 _LONGS = BITS // 64
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -183,6 +187,23 @@ def _near_full(a: str, b: str, percent: int) -> Column:
     return odd <= F.least(most.cast("double"), FULL_BITS / 2 * (1 - F.exp(-2 * share)) + 6 * spread)
 
 
+def _main(rows: DataFrame, key: str) -> DataFrame:
+    """The largest component of each group, its number of members and of components."""
+    sizes = rows.groupBy(key, "component").agg(F.count("*").alias("size"))
+    return sizes.groupBy(key).agg(F.max_by("component", F.struct("size", "component")).alias("main"),
+                                  F.sum("size").alias("members"), F.count("*").alias("components"))
+
+
+def _apart(key: str) -> Column:
+    """Pairs of one group and two components, each once; ``x`` holds the rows outside the largest component."""
+    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+    return (F.col(f"x.{key}") == F.col(f"y.{key}")) & (F.col("x.component") != F.col("y.component")) & once
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
 class Linker:
     """Finds the links between classes, round by round."""
 
@@ -243,23 +264,57 @@ class Linker:
                 .select((-F.col("head.first")).alias("a"), F.col("node").alias("b")))
 
     def rest(self, members: DataFrame) -> DataFrame:
-        """Members outside their bucket's largest component, with the other components' members.
+        """Members outside their group's largest component, with the other components' members.
 
-        A pair is met in the least of its shared buckets only, and only if both sketches allow a link.
+        Up to ``MEET`` members of a bucket meet there, a pair in the least of its shared buckets only.
+        The members of larger buckets meet where they share a prefix shingle instead.
         """
-        sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-        largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
+        known = members.join(_main(members, "bucket"), "bucket")
         fine = self.sets.select("node", *(F.get("odd", F.lit(k)).alias(f"o{k}") for k in range(FULL_BITS // 64)))
         nodes = members.select("node").distinct()
         facts = (self.classes.select("node", "n", "bands", *(f"s{k}" for k in range(_LONGS)))
                  .join(nodes, "node").join(fine, "node"))
-        rows = members.join(facts, "node").join(largest, "bucket")
-        x, y = rows.filter("component <> main").alias("x"), rows.alias("y")
-        once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+        near = _near("x", "y", self.percent) & _near_full("x", "y", self.percent)
+        few = known.filter(F.col("members") <= MEET).join(facts, "node")
         first = F.col("x.bucket") == F.array_min(F.array_intersect("x.bands", "y.bands"))
-        return (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component"))
-                       & once & _near("x", "y", self.percent) & _near_full("x", "y", self.percent) & first)
-                .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+        small = (few.filter("component <> main").alias("x").join(few.alias("y"), _apart("bucket") & near & first)
+                 .transform(_ends))
+        pairs = self.sharing(known.filter(F.col("members") > MEET).select("node", "component").distinct())
+        light = facts.drop("bands")
+        large = (pairs.join(light.alias("x"), F.col("a") == F.col("x.node"))
+                 .join(light.alias("y"), F.col("b") == F.col("y.node")).filter(near).select("a", "b"))
+        return small.unionByName(large).distinct()
+
+    def prefixes(self, nodes: DataFrame) -> DataFrame:
+        """(node, component, n, shingle, place): the rarest shingles of each set, rarest first.
+
+        Shingles are ordered by the number of the given nodes' sets that hold them, then by value.  Two sets of
+        at least the similarity share ``percent`` / 100 of the larger one, so one of the first
+        n - ceil(n * percent / 100) + 1 of each is the same.
+        """
+        every = (nodes.join(self.sets, "node")
+                 .select("node", "component", F.size("shingles").alias("n"), F.xxhash64("shingles").alias("set"),
+                         F.explode("shingles").alias("shingle")))
+        often = every.groupBy("shingle").agg(F.count("*").alias("often"))
+        order = Window.partitionBy("node", "n", "set").orderBy("often", "shingle")
+        return (every.join(often, "shingle").withColumn("place", F.row_number().over(order))
+                .filter(f"place <= n - (n * {self.percent} + 99) div 100 + 1")
+                .select("node", "component", "n", "shingle", "place"))
+
+    def sharing(self, nodes: DataFrame) -> DataFrame:
+        """The pairs (a, b) of different components that share a prefix shingle and keep two bounds.
+
+        The length bound, and the positional one: where two sets first agree, all that follows in both
+        must be enough for the similarity.
+        """
+        prefix = cut(self.prefixes(nodes), "prefixes")
+        rows = prefix.join(_main(prefix, "shingle").filter("components > 1"), "shingle")
+        small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+        left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) + 1
+        bound = ((small * 100 >= large * self.percent)
+                 & (left * (100 + self.percent) >= (F.col("x.n") + F.col("y.n")) * self.percent))
+        return (rows.filter("component <> main").alias("x").join(rows.alias("y"), _apart("shingle") & bound)
+                .transform(_ends).distinct())
 
     def links(self) -> DataFrame:
         """Links enough to connect all classes that belong together."""

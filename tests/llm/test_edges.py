@@ -250,6 +250,41 @@ def test_near_duplicates_of_a_large_family(spark):
     assert 1 < len({c for _, c in want.values()}) < 160
 
 
+@pytest.mark.parametrize("meet", [0, 3])
+def test_near_duplicates_in_large_buckets(spark, monkeypatch, meet):
+    """The same family with members that meet in buckets, on prefix shingles, or on either."""
+    monkeypatch.setattr(near_dup, "MEET", meet)
+    test_near_duplicates_of_a_large_family(spark)
+    rnd = random.Random(meet)
+    rows = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(1, 12))), None) for i in range(150)]
+    rows += [(7, "a b c d e f", None), (7, "h g f e d c", None)]
+    got = near_dup.near_duplicates(table(spark, rows[:150]), size=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near([(d, t) for d, t, _ in rows[:150]], 2)
+    assert near_dup.near_duplicates(table(spark, rows), size=2).count() == len(rows)
+
+
+def test_near_duplicates_of_pages_below_the_threshold(spark):
+    """5,000 pages of one template, at similarities of 0.6 to 0.79: few meet, and the planted links are found."""
+    rnd = random.Random(3)
+    template = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(5000):
+        words = list(template)
+        for k, at in enumerate(sorted(rnd.sample(range(2, 118, 3), rnd.randrange(8, 13)))):
+            words[at] = f"p{i}x{k}"
+        rows.append((i, " ".join(words), None))
+    planted = rnd.sample(range(5000), 20)
+    rows += [(10_000 + i, rows[i][1].replace("w0 ", "v0 "), None) for i in planted]
+    docs = table(spark, rows).repartition(8)
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs, size=2).collect()}
+    assert got == {i: i - 10_000 if i >= 10_000 else i for i, *_ in rows}
+    linker = near_dup.Linker(docs.select("doc_id", "text"), 2, 80)
+    alone = linker.buckets.withColumn("component", F.col("node"))
+    assert alone.groupBy("bucket").count().agg(F.max("count")).first()[0] > 500
+    nodes = alone.select("node", "component").distinct()
+    assert linker.sharing(nodes).count() <= 5000  # of 12.6 million pairs
+
+
 def test_components(spark):
     rnd = random.Random(2)
     links = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 200), (7, 7)]
