@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ from daytally.llm import (decontam, exact_dedup, language_id, near_dup, packing,
                           suffix_dedup, toxicity, url_filter)
 from daytally.llm.components import components
 from daytally.llm.queries import vocabulary
+from daytally.llm.scratch import cut, shared_dir, temporary
 from daytally.llm.ship import ship
 from tests.llm import brute
 
@@ -285,6 +287,19 @@ def test_near_duplicates_of_pages_below_the_threshold(spark):
     assert linker.sharing(nodes).count() <= 5000  # of 12.6 million pairs
 
 
+def test_temporary_tables_are_deleted(spark):
+    folder = Path(shared_dir(spark))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    with temporary(spark):
+        kept = cut(near_dup.keep_rows(table(spark, ODD), size=2), "kept", keep=True)
+        with pytest.raises(ZeroDivisionError), temporary(spark):
+            cut(spark.range(3), "inner")
+            raise ZeroDivisionError
+    made = set(folder.iterdir()) - before
+    assert [p.name.split("-")[0] for p in made] == ["kept"]
+    assert kept.count() == near_dup.keep_rows(table(spark, ODD), size=2).count()
+
+
 def test_components(spark):
     rnd = random.Random(2)
     links = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 200), (7, 7)]
