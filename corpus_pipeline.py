@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daytally.llm import decontam, exact_dedup, language_id, near_dup, packing
 from daytally.llm.queries import table, vocabulary
-from daytally.llm.scratch import cut
+from daytally.llm.scratch import cut, temporary
 from daytally.llm.ship import ship
 
 ORACLE_SQL: str | None = None
@@ -67,8 +67,12 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each one's result written to the shared folder."""
+    """All stages over ``documents``, each one's result written to the shared folder.
+
+    The tables that a stage cuts on its way are deleted once its result is written.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        with temporary(spark):
+            docs = cut(stage(spark, docs, sf_dir), name, keep=True)
     return docs
