@@ -116,6 +116,47 @@ class ReportWindow:
         return self.end.strftime(DAY_LABEL_PY)
 
 
+def zone_slices(start: datetime, end: datetime, zone: str) -> list[tuple[datetime, datetime, str]]:
+    """The instants whose wall-clock time in ``zone`` lies in ``[start, end]``, cut where the zone's offset changes.
+
+    Each slice is (first, last, offset) in the wall-clock time of its own fixed offset, half-open but for the last
+    one.  Together they hold every such instant once; an hour that the clock repeats is in two slices,
+    one per offset, and an hour that it skips is in none.  Next to a change at a bound they hold a little more, which the
+    exact window filters.
+    """
+    tz, utc = ZoneInfo(zone), ZoneInfo("UTC")
+    at, stop = (t.replace(tzinfo=tz, fold=f).astimezone(utc) for t, f in ((start, 0), (end, 1)))
+    slices = []
+    while True:
+        offset = at.astimezone(tz).utcoffset()
+        change = _offset_change(at, stop, tz)
+        upper = stop if change is None else change
+        slices.append(((at + offset).replace(tzinfo=None), (upper + offset).replace(tzinfo=None), _offset_text(offset)))
+        if change is None:
+            return slices
+        at = change
+
+
+def _offset_change(at: datetime, stop: datetime, tz: ZoneInfo) -> datetime | None:
+    """The first instant in ``(at, stop]`` at which the zone's offset is not the one at ``at``."""
+    offset, step = at.astimezone(tz).utcoffset(), timedelta(hours=1)
+    low = at
+    while low < stop:
+        high = min(low + step, stop)
+        if high.astimezone(tz).utcoffset() != offset:
+            while high - low > timedelta(seconds=1):
+                middle = low + (high - low) // 2
+                low, high = (middle, high) if middle.astimezone(tz).utcoffset() == offset else (low, middle)
+            return high.replace(microsecond=0)  # zone rules change on whole seconds
+        low = high
+    return None
+
+
+def _offset_text(offset: timedelta) -> str:
+    minutes = int(offset.total_seconds()) // 60
+    return f"{'-' if minutes < 0 else '+'}{abs(minutes) // 60:02d}:{abs(minutes) % 60:02d}"
+
+
 def label(column: Column) -> Column:
     """Spark-side label of a bound, same text as :meth:`ReportWindow.labels`."""
     return F.date_format(column, LABEL_PATTERN_SPARK)

@@ -91,10 +91,20 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
                     help="JDBC only: read an unwindowed table by these ranges of a numeric key; repeatable")
     ap.add_argument("--jdbc-rows-per-range", type=int, default=1_000_000,
                     help="JDBC only: keys in a range of the other unwindowed tables, between bounds that one query asks for")
+    ap.add_argument("--jdbc-instants", action="append", default=[], metavar="TABLE",
+                    help="JDBC only: this fact table's time column holds instants (rendered in the session's zone), not "
+                         "wall-clock time; a window over a clock change is then read by one session per offset; repeatable")
     ap.add_argument("--jdbc-max-ranges", type=int, default=64, help="JDBC only: such ranges of a table at most")
     return ap.parse_args(argv)
 
 
+def _fact_tables(names: list[str]) -> frozenset[str]:
+    unknown = set(names) - {s.table for s in reference_schema.SOURCES}
+    if unknown:
+        raise ValueError(f"not fact tables: {', '.join(sorted(unknown))}")
+    return frozenset(names)
+
+
 def build_report(spark: SparkSession, args: argparse.Namespace) -> DailyReport:
     """The report that the command line asks for."""
     allow = tuple(int(x) for x in args.allow.split(",") if x.strip()) if args.allow is not None \
@@ -110,7 +120,8 @@ def build_report(spark: SparkSession, args: argparse.Namespace) -> DailyReport:
                   for t, c, lo, hi, n in (r.split(":") for r in args.jdbc_key_range)}
         catalog = Catalog(spark, jdbc=JdbcConfig.mysql_from_env(
             time_slices=args.jdbc_time_slices, partitioning=ranges, keys=reference_schema.JDBC_KEYS,
-            rows_per_range=args.jdbc_rows_per_range, max_ranges=args.jdbc_max_ranges, zone_offset=window.zone_offset(args.time_zone)))
+            rows_per_range=args.jdbc_rows_per_range, max_ranges=args.jdbc_max_ranges, zone_offset=window.zone_offset(args.time_zone),
+            zone=args.time_zone, instants=_fact_tables(args.jdbc_instants)))
     return DailyReport(catalog, reference_schema.report_spec(
         window, allow=allow, date_partition=args.date_partition,
         key_filter_above=args.key_filter_above, key_filter_bits=args.key_filter_bits))

@@ -84,7 +84,7 @@ class Catalog:
         is pushed to the scan).  JDBC with ``time_slices``: parallel time-range queries that
         cover ``[start, end]``; the caller still applies the exact window."""
         if (name not in self.frames and name not in self.paths and self.root is None
-                and self.jdbc is not None and self.jdbc.time_slices > 0):
+                and self.jdbc is not None and (self.jdbc.time_slices > 0 or name in self.jdbc.instants)):
             return read_jdbc_window(self.spark, self.jdbc, name, time_col, start, end)
         return self.table(name)
 

@@ -3,8 +3,9 @@
 Only the scan is delegated to the database: Spark pushes the column list and the simple
 predicates (window bounds, flags) into the generated ``SELECT``, and reads tables in
 parallel: windowed facts by time slices of the report window, one query per slice; the others
-by ranges of a numeric key, given by hand or cut between the bounds that one query asks for all of them.  The aggregation itself stays in Spark, so the
-database is never asked to run the whole report.
+by ranges of a numeric key, given by hand or cut between the bounds that one query asks for all of them.  A table whose
+time column holds instants is read with one database session offset per stretch of the window without a clock
+change.  The aggregation itself stays in Spark, so the database is never asked to run the whole report.
 """
 
 from __future__ import annotations
@@ -13,9 +14,12 @@ import os
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.window import zone_slices
+
 
 @dataclass(frozen=True)
 class Partitioning:
@@ -38,7 +42,9 @@ class JdbcConfig:
     rows_per_range: int = 1_000_000
     max_ranges: int = 64
     time_slices: int = 0   # > 0: read a windowed table as this many parallel time-range queries
-    zone_offset: str = "+00:00"   # the database session's time zone, equal to Spark's
+    zone_offset: str = "+00:00"   # the database session's time zone, equal to Spark's at the window's end
+    zone: str = "UTC"
+    instants: frozenset[str] = frozenset()   # tables whose time column holds instants that the session's zone renders
 
     @classmethod
     def mysql_from_env(cls, prefix: str = "DB_", **kw) -> "JdbcConfig":
@@ -117,24 +123,40 @@ def read_jdbc(spark: SparkSession, cfg: JdbcConfig, table: str) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(cfg, table)).load()
 
 
-def time_slice_predicates(column: str, start: datetime, end: datetime, slices: int) -> list[str]:
-    """``slices`` disjoint predicates covering the closed range ``[start, end]`` exactly once
-    (half-open slices, the last one closed), as database-side SQL text."""
+def time_slice_predicates(column: str, start: datetime, end: datetime, slices: int, closed: bool = True) -> list[str]:
+    """``slices`` disjoint predicates covering the range ``[start, end]`` exactly once
+    (half-open slices, the last one closed if asked), as database-side SQL text."""
     step = (end - start) / slices
     fmt = "%Y-%m-%d %H:%M:%S.%f"
     cuts = [start + step * i for i in range(slices)] + [end]
     preds = []
     for i in range(slices):
-        upper = "<=" if i == slices - 1 else "<"
+        upper = "<=" if closed and i == slices - 1 else "<"
         preds.append(f"{column} >= '{cuts[i].strftime(fmt)}' AND {column} {upper} '{cuts[i + 1].strftime(fmt)}'")
     return preds
 
 
+def window_reads(cfg: JdbcConfig, table: str, column: str, start: datetime,
+                 end: datetime) -> list[tuple[dict[str, str], list[str]]]:
+    """The reads of a windowed table: connection options and one predicate per parallel query.
+
+    Wall-clock columns do not depend on the session's zone and take one read.  Instants take one per offset that the
+    zone has in the window, each in a session of that offset, so every row arrives in its own day's wall-clock time.
+    """
+    slices = max(1, cfg.time_slices)
+    spans = zone_slices(start, end, cfg.zone) if table in cfg.instants else [(start, end, cfg.zone_offset)]
+    reads = []
+    for k, (low, high, offset) in enumerate(spans):
+        share = max(1, round(slices * ((high - low) / (end - start)))) if len(spans) > 1 else slices
+        opts = {o: v for o, v in jdbc_options(replace(cfg, zone_offset=offset), table).items()
+                if o not in ("url", "dbtable", "partitionColumn", "lowerBound", "upperBound", "numPartitions")}
+        reads.append((opts, time_slice_predicates(column, low, high, share, closed=k == len(spans) - 1)))
+    return reads
+
+
 def read_jdbc_window(spark: SparkSession, cfg: JdbcConfig, table: str, column: str,
                      start: datetime, end: datetime) -> DataFrame:
     """A windowed table read as ``cfg.time_slices`` parallel queries, one per time slice; each
     query carries its slice predicate (and Spark's pushed filters) to the database."""
-    opts = {k: v for k, v in jdbc_options(cfg, table).items()
-            if k not in ("url", "dbtable", "partitionColumn", "lowerBound", "upperBound", "numPartitions")}
-    return spark.read.jdbc(cfg.url, table, predicates=time_slice_predicates(column, start, end, cfg.time_slices),
-                           properties=opts)
+    return reduce(DataFrame.union, (spark.read.jdbc(cfg.url, table, predicates=preds, properties=opts)
+                                    for opts, preds in window_reads(cfg, table, column, start, end)))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
+
 import pytest
 
 from daytally import Catalog
 from daytally.plans import job, reference_schema
 from daytally.sources import JdbcConfig, Partitioning, catalog, jdbc_options, with_key_ranges
-from daytally.sources.jdbc import key_bounds_sql
+from daytally.sources.jdbc import key_bounds_sql, window_reads
 
 KEYS = {"accounts": "id", "headers": "h_id", "children": "id", "bridge": "id"}
 
@@ -100,3 +104,41 @@ def test_declared_types(spark, scratch_dir, value, declared, fits):
 
 def test_every_windowed_source_declares_its_time():
     assert all(reference_schema.KINDS[s.table] == {s.time: "time"} for s in reference_schema.SOURCES)
+
+
+def _rendered(spark, instants, reads):
+    """What a database would send: each read's rows in the wall-clock time of its session's offset, its predicates applied."""
+    got = []
+    for opts, preds in reads:
+        sign, hours, minutes = re.search(r"'([+-])(\d\d):(\d\d)'", opts["sessionInitStatement"]).groups()
+        shift = timedelta(hours=int(hours), minutes=int(minutes)) * (-1 if sign == "-" else 1)
+        rows = spark.createDataFrame([(i, t + shift) for i, t in enumerate(instants)], "id int, t timestamp_ntz")
+        for p in preds:
+            got += [(r.id, r.t) for r in rows.where(p).collect()]
+    return sorted(got)
+
+
+@pytest.mark.parametrize("zone,day", [("America/New_York", datetime(2024, 11, 4, 8)), ("America/New_York", datetime(2024, 3, 11, 8)),
+                                      ("Australia/Lord_Howe", datetime(2024, 4, 8, 8)), ("Asia/Kolkata", datetime(2024, 4, 8, 8))])
+def test_instants_are_read_in_their_own_offset(spark, zone, day):
+    """Over a clock change every instant arrives once, in its own wall-clock time, and a week's read is its days' reads."""
+    tz = ZoneInfo(zone)
+    start = day - timedelta(days=3)
+    first = start.replace(tzinfo=tz).astimezone(timezone.utc).replace(tzinfo=None)
+    instants = [first + timedelta(minutes=10 * k) for k in range(-30, 6 * 24 * 3 + 30)] + [first + timedelta(hours=42, microseconds=1)]
+    wall = [t.replace(tzinfo=timezone.utc).astimezone(tz).replace(tzinfo=None) for t in instants]
+    cfg = JdbcConfig("jdbc:mysql://h/d", time_slices=4, zone=zone, instants=frozenset({"facts"}))
+    reads = window_reads(cfg, "facts", "t", start, day)
+    assert _rendered(spark, instants, reads) == sorted((i, t) for i, t in enumerate(wall) if start <= t <= day)
+    days = set()
+    for k in range(3):
+        low, high = day - timedelta(days=k + 1), day - timedelta(days=k)
+        days |= set(_rendered(spark, instants, window_reads(cfg, "facts", "t", low, high)))
+    assert days == set(_rendered(spark, instants, reads))
+    assert len(reads) == (1 if zone == "Asia/Kolkata" else 2)
+
+
+def test_wall_clock_columns_take_one_read():
+    cfg = JdbcConfig("jdbc:mysql://h/d", time_slices=4, zone="America/New_York", zone_offset="-05:00", instants=frozenset({"facts"}))
+    reads = window_reads(cfg, "other", "t", datetime(2024, 11, 1, 8), datetime(2024, 11, 4, 8))
+    assert len(reads) == 1 and len(reads[0][1]) == 4 and "-05:00" in reads[0][0]["sessionInitStatement"]
