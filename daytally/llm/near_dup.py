@@ -17,12 +17,14 @@ No band bucket emits all its pairs.  In a star round every class is compared wit
 among its buckets' heads that shares most bands with others (mostly the original of the copies).
 The confirmed links give components, and a bucket that lies in one component is done.  What that
 leaves, buckets with several components, is finished exactly: members outside the bucket's largest
-component meet the members of the other components, in the least bucket of a pair only.  Members of a
-bucket of more than ``MEET`` do not meet there, as a large family of texts somewhat below the threshold would
-cost its square: they are joined on the rarest shingles of their full sets (prefix-filtered, with length
-and positional bounds), which every linked pair shares.  Only pairs that a second odd sketch, of the whole
-sets, allows (its differing bits never exceed the sets' differing shingles) are confirmed.  So any two
-linked classes that share a band end in one component.
+component meet the members of the other components, in the least bucket of a pair only.  Where up to
+``MEET`` members are outside, no member meets more than those.  Members of other buckets do not meet there,
+as a large family of texts somewhat below the threshold would cost its square: they are joined on the
+rarest shingles of their full sets (prefix-filtered, with length and positional bounds), which every linked
+pair shares.  In both joins a key's members are dealt over parts of about ``PART``, each of which meets all
+the members outside the largest component, so a hot key is spread over many tasks.  Only pairs that a second
+odd sketch, of the whole sets, allows (its differing bits never exceed the sets' differing shingles) are
+confirmed.  So any two linked classes that share a band end in one component.
 
 Defined cases: a text with fewer words than a shingle has its whole word sequence as its one
 shingle; without words (null, empty) the set is empty and linked with nothing; a null id names
@@ -47,7 +49,7 @@ SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 40, 5
 BITS, MAX_ODD = 512, 119
 FULL_BITS = 2048
-MEET = 64
+MEET, PART = 64, 1024
 _LONGS = BITS // 64
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -74,10 +76,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.nd
         if b - a >= size:
             out.append(np.unique(value[a : b - size + 1]))
         elif b > a:
-            whole = hashes[a]
-            for h in hashes[a + 1 : b]:
-                whole = whole * _STEP + h
-            out.append(B.mix(np.array([whole + np.uint64(b - a)])))
+            whole = hashes[a : a + 1]
+            for k in range(a + 1, b):
+                whole = whole * _STEP + hashes[k : k + 1]
+            out.append(B.mix(whole + np.uint64(b - a)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -188,20 +190,26 @@ def _near_full(a: str, b: str, percent: int) -> Column:
 
 
 def _main(rows: DataFrame, key: str) -> DataFrame:
-    """The largest component of each group, its number of members and of components."""
+    """The largest component of each group, its number of members and of those outside that component."""
     sizes = rows.groupBy(key, "component").agg(F.count("*").alias("size"))
     return sizes.groupBy(key).agg(F.max_by("component", F.struct("size", "component")).alias("main"),
-                                  F.sum("size").alias("members"), F.count("*").alias("components"))
+                                  F.sum("size").alias("members"), (F.sum("size") - F.max("size")).alias("outside"))
 
 
-def _apart(key: str) -> Column:
-    """Pairs of one group and two components, each once; ``x`` holds the rows outside the largest component."""
-    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    return (F.col(f"x.{key}") == F.col(f"y.{key}")) & (F.col("x.component") != F.col("y.component")) & once
-
+def _meet(rows: DataFrame, key: str, condition: Column) -> DataFrame:
+    """The pairs (a, b) of one group, of two components, that meet ``condition`` on ``x`` and ``y``; each once.
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    ``rows`` has the columns of ``_main``.  ``y`` holds a group's rows, dealt over parts; ``x`` the rows outside its
+    largest component, once for each part.
+    """
+    parts = F.ceil(F.col("members") / PART)
+    x = (rows.filter("component <> main")
+         .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).alias("x"))
+    y = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts)).alias("y")
+    same = (F.col(f"x.{key}") == F.col(f"y.{key}")) & (F.col("x.part") == F.col("y.part"))
+    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+    return (x.join(y, same & (F.col("x.component") != F.col("y.component")) & once & condition)
+            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
 
 
 class Linker:
@@ -266,8 +274,8 @@ class Linker:
     def rest(self, members: DataFrame) -> DataFrame:
         """Members outside their group's largest component, with the other components' members.
 
-        Up to ``MEET`` members of a bucket meet there, a pair in the least of its shared buckets only.
-        The members of larger buckets meet where they share a prefix shingle instead.
+        With up to ``MEET`` of them in a bucket they meet there, a pair in the least of its shared buckets only.
+        The members of other buckets meet where they share a prefix shingle instead.
         """
         known = members.join(_main(members, "bucket"), "bucket")
         fine = self.sets.select("node", *(F.get("odd", F.lit(k)).alias(f"o{k}") for k in range(FULL_BITS // 64)))
@@ -275,11 +283,9 @@ class Linker:
         facts = (self.classes.select("node", "n", "bands", *(f"s{k}" for k in range(_LONGS)))
                  .join(nodes, "node").join(fine, "node"))
         near = _near("x", "y", self.percent) & _near_full("x", "y", self.percent)
-        few = known.filter(F.col("members") <= MEET).join(facts, "node")
         first = F.col("x.bucket") == F.array_min(F.array_intersect("x.bands", "y.bands"))
-        small = (few.filter("component <> main").alias("x").join(few.alias("y"), _apart("bucket") & near & first)
-                 .transform(_ends))
-        pairs = self.sharing(known.filter(F.col("members") > MEET).select("node", "component").distinct())
+        small = _meet(known.filter(F.col("outside") <= MEET).join(facts, "node"), "bucket", near & first)
+        pairs = self.sharing(known.filter(F.col("outside") > MEET).select("node", "component").distinct())
         light = facts.drop("bands")
         large = (pairs.join(light.alias("x"), F.col("a") == F.col("x.node"))
                  .join(light.alias("y"), F.col("b") == F.col("y.node")).filter(near).select("a", "b"))
@@ -308,13 +314,12 @@ class Linker:
         must be enough for the similarity.
         """
         prefix = cut(self.prefixes(nodes), "prefixes")
-        rows = prefix.join(_main(prefix, "shingle").filter("components > 1"), "shingle")
+        rows = prefix.join(_main(prefix, "shingle").filter("outside > 0"), "shingle")
         small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
         left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) + 1
         bound = ((small * 100 >= large * self.percent)
                  & (left * (100 + self.percent) >= (F.col("x.n") + F.col("y.n")) * self.percent))
-        return (rows.filter("component <> main").alias("x").join(rows.alias("y"), _apart("shingle") & bound)
-                .transform(_ends).distinct())
+        return _meet(rows, "shingle", bound).distinct()
 
     def links(self) -> DataFrame:
         """Links enough to connect all classes that belong together."""

@@ -252,10 +252,11 @@ def test_near_duplicates_of_a_large_family(spark):
     assert 1 < len({c for _, c in want.values()}) < 160
 
 
-@pytest.mark.parametrize("meet", [0, 3])
-def test_near_duplicates_in_large_buckets(spark, monkeypatch, meet):
-    """The same family with members that meet in buckets, on prefix shingles, or on either."""
+@pytest.mark.parametrize(("meet", "part"), [(0, 7), (3, 1024), (64, 2)])
+def test_near_duplicates_in_large_buckets(spark, monkeypatch, meet, part):
+    """The same family with members that meet in buckets, on prefix shingles, or on either; whole keys and parts."""
     monkeypatch.setattr(near_dup, "MEET", meet)
+    monkeypatch.setattr(near_dup, "PART", part)
     test_near_duplicates_of_a_large_family(spark)
     rnd = random.Random(meet)
     rows = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(1, 12))), None) for i in range(150)]
